@@ -1,0 +1,6 @@
+"""No streaming operator is owed: every rule here reads complete tables.
+
+The stateless column expressions of :mod:`umbral.functions` (informative labels,
+significance gates, completeness bands, coordinate segments) apply unchanged to a streaming
+DataFrame, because they are ordinary columns.
+"""
