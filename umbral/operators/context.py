@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from umbral.functions import fixed as X
 from umbral.functions.text import context_term, system_term
 from umbral.operators import neighbours as N
+from umbral.session import cut
 from umbral.specs import ContextSpec
 
 
@@ -22,7 +23,7 @@ def item_context(items: DataFrame, circular: Column, length: Column, spec: Conte
     ``islands``: (record, name, start, end) with name integron or is_element. ``components``:
     (item, prefix) with prefix defence or conj. Flanks and units come from the tiled windows.
     """
-    o = N.ordinals(items, record, order)
+    o = cut(N.ordinals(items, record, order))   # read by the flanks and twice by the units
     fl = N.flanks(o, spec.window, circular, [F.col(cls).alias("c"), F.col(item).alias("i")], record)
     un = N.directons(o, spec.max_gap, circular, length, record).select(
         record, item, "unit", "unit_size", (F.col(cls) == "FUNCTIONAL").alias("_func"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from umbral.functions import fixed as X
 from umbral.operators import neighbours as N
+from umbral.session import cut
 from umbral.specs import ContextSpec
 
 MEASURES = ("left", "right", "neighborhood", "synteny")
@@ -24,7 +25,7 @@ def lineage_modal_vote(votes: DataFrame, group: Sequence[str], lineage: str = "l
     """
     g = list(group)
     named = votes.filter(F.col(value).isNotNull() & (F.col(value) != empty))
-    counts = named.groupBy(*g, lineage, value).agg(F.count(F.lit(1)).alias("_k"))
+    counts = cut(named.groupBy(*g, lineage, value).agg(F.count(F.lit(1)).alias("_k")))
     totals = counts.groupBy(*g, lineage).agg(F.sum("_k").alias("_t"))
     score = (counts.join(totals, [*g, lineage]).withColumn("_s", F.col("_k") / F.col("_t"))
              .groupBy(*g, value).agg(F.round(F.sum("_s"), 12).alias("_score")))
@@ -45,7 +46,7 @@ def occurrences(items: DataFrame, circular: Column, length: Column, spec: Contex
     Neighbours are found once; naming them at every cluster level is a projection, because
     each level's cluster id travels in the neighbour payload.
     """
-    o = N.ordinals(items, record, order)
+    o = cut(N.ordinals(items, record, order))   # read by the flanks and twice by the units
     fl = N.strand_relative(N.flanks(o, spec.window, circular, [F.col(c) for c in levels], record),
                            F.col(strand) == -1)
     un = N.directons(o, spec.max_gap, circular, length, record).select(
@@ -74,7 +75,8 @@ def conservation(occ: DataFrame, group: Sequence[str] = ("level", "family_id"),
     l, r = head("left"), head("right")
     pair = F.when((l != "") | (r != ""), F.concat_ws("|", l, r)).otherwise("")
     around = F.array_join(F.sort_array(F.array_distinct(F.filter(F.concat("left", "right"), lambda x: x != ""))), ",")
-    base = occ.withColumns({"_u": usable, "_l": l, "_r": r, "_p": pair, "_n": around})
+    base = cut(occ.select(*g, lineage, "operon", usable.alias("_u"), l.alias("_l"), r.alias("_r"), pair.alias("_p"),
+                          around.alias("_n")))   # four aggregations read it
     counts = base.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n_occurrences"), F.count_if("_u").alias("context_recurrence"),
         F.count_distinct(F.when(F.col("_u"), F.col(lineage))).alias("n_lineages"))
@@ -114,12 +116,12 @@ def scoped_conservation(occ: DataFrame, small: Column, lineage: str = "lineage",
         F.array(F.lit("all")))))
     c = conservation(both, ["_scope", *g], lineage, min_lineages)
     rest = [x for x in c.columns if x not in ("_scope", *g)]
-    everything = c.filter("_scope = 'all'").drop("_scope")
-    little = c.filter("_scope = 'small'").select(*g, *[F.col(x).alias(f"small_{x}") for x in rest])
+    pick = lambda scope, x, a: F.max(F.when(F.col("_scope") == scope, F.col(x))).alias(a)
+    wide = c.groupBy(*g).agg(*[pick("all", x, x) for x in rest], *[pick("small", x, f"small_{x}") for x in rest])
     zero = {f"small_{x}": F.coalesce(f"small_{x}", F.lit(0)) for x in
             ("n_occurrences", "context_recurrence", "n_lineages", "n_lineages_discordant")}
     zero["small_status"] = F.coalesce("small_status", F.lit(X.NO_CONTEXT))
-    return everything.join(little, g, "left").withColumns(zero)
+    return wide.withColumns(zero)
 
 
 def families_per_cluster(members: DataFrame, cluster: str, family: str) -> DataFrame:
