@@ -107,11 +107,11 @@ def number_globally(df: DataFrame, order: Sequence[Column], name: str) -> DataFr
     """
     s = cut(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
             .withColumn("_part", F.shiftright("_mid", 33)))
-    n = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    n = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    n = n.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    n = n.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
     inside = F.col("_mid") - F.shiftleft(F.col("_part"), 33)
-    return s.join(F.broadcast(n), "_part").withColumn(name, (F.col("_o") + inside).cast("bigint")).drop("_mid", "_part", "_o")
+    return s.join(F.broadcast(n), "_part").withColumn(name, (F.col("_base") + inside).cast("bigint")).drop("_mid", "_part", "_base")
 
 
 def network_nodes(members: DataFrame, reach: DataFrame, records: DataFrame, annotation: DataFrame, dark: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from umbral.checks import require_all_in
 from umbral.functions.stats import hypergeom_sf, step_up
+from umbral.session import cut
 from umbral.specs import PairSpec
 
 #: Entities per block side; a task joins at most BLOCK x BLOCK candidate pairs of one record set.
@@ -87,11 +88,12 @@ def cooccurrence(items: DataFrame, lineage_of: DataFrame, spec: PairSpec = PairS
     pairs = pair_counts(elig, record, entity, lineage).join(side("a"), "seq_a").join(side("b"), "seq_b")
     # The tail is symmetric in K and n.
     key = {"_lo": F.least("n_lineages_a", "n_lineages_b"), "_hi": F.greatest("n_lineages_a", "n_lineages_b")}
-    pairs = pairs.withColumns(key)
+    pairs = cut(pairs.withColumns(key))   # written once: the tests and the report both read it
     triples = pairs.groupBy("k", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n_tests")).withColumn(
         "n_lineages_total", total.scalar())
-    graded = step_up(triples.withColumn("p_value", hypergeom_sf(
-        F.col("k"), F.col("n_lineages_total"), F.col("_lo"), F.col("_hi")))).drop("n_tests")
+    tested = cut(triples.withColumn("p_value", hypergeom_sf(
+        F.col("k"), F.col("n_lineages_total"), F.col("_lo"), F.col("_hi"))))
+    graded = step_up(tested).drop("n_tests")
     out = pairs.filter(F.col("k") >= spec.min_lineages_together).join(graded, ["k", "_lo", "_hi"])
     k, K, n, N = F.col("k"), F.col("n_lineages_a"), F.col("n_lineages_b"), F.col("n_lineages_total")
     return out.select(
