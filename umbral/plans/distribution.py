@@ -141,8 +141,8 @@ _RAR = f"""{_REC}, rr AS (SELECT *, split_part(family_id, ':', 1) AS family_reso
   FROM (SELECT *, independent_plasmid_cluster_count AS l FROM rr) JOIN thr USING (family_resolution))"""
 
 
-def rarity_(t: Tables):
-    rec = recurrence_(t).withColumn("family_resolution", F.substring_index("family_id", ":", 1))
+def rarity_(t: Tables, rec=None):
+    rec = (recurrence_(t) if rec is None else rec).withColumn("family_resolution", F.substring_index("family_id", ":", 1))
     return M.rarity(rec, RaritySpec(widespread_percentile=80))
 
 
@@ -159,15 +159,15 @@ def rarity_counts(t: Tables):
 # ---- pairs --------------------------------------------------------------------------------
 
 _PAIR = f"""{OCC}, pres AS (SELECT DISTINCT lineage, plasmid_id, seq_id FROM occ WHERE dark),
- cnt AS (SELECT seq_id, count(DISTINCT lineage) AS n FROM pres GROUP BY 1), el AS (SELECT * FROM pres WHERE seq_id IN (SELECT seq_id FROM cnt WHERE n >= 2)),
+ lcnt AS (SELECT seq_id, count(DISTINCT lineage) AS n FROM pres GROUP BY 1), el AS (SELECT * FROM pres WHERE seq_id IN (SELECT seq_id FROM lcnt WHERE n >= 2)),
  tog AS (SELECT a, b, count(*) AS k FROM (SELECT DISTINCT x.lineage, x.seq_id AS a, y.seq_id AS b FROM el x JOIN el y ON x.plasmid_id = y.plasmid_id AND x.seq_id < y.seq_id) GROUP BY 1, 2),
  tot AS (SELECT count(DISTINCT lineage) AS N FROM occ),
- tri AS (SELECT DISTINCT k, least(ca.n, cb.n) AS lo_, greatest(ca.n, cb.n) AS hi_, tot.N FROM tog JOIN cnt ca ON ca.seq_id = a JOIN cnt cb ON cb.seq_id = b, tot),
+ tri AS (SELECT DISTINCT k, least(ca.n, cb.n) AS lo_, greatest(ca.n, cb.n) AS hi_, tot.N FROM tog JOIN lcnt ca ON ca.seq_id = a JOIN lcnt cb ON cb.seq_id = b, tot),
  pt AS (SELECT k, lo_, hi_, any_value(N) AS N, least(1.0, sum(exp(lgamma(lo_ + 1) - lgamma(i + 1) - lgamma(lo_ - i + 1) + lgamma(N - lo_ + 1) - lgamma(hi_ - i + 1) - lgamma(N - lo_ - hi_ + i + 1)
      - lgamma(N + 1) + lgamma(hi_ + 1) + lgamma(N - hi_ + 1)))) AS p
    FROM (SELECT tri.*, unnest(range(greatest(k, lo_ + hi_ - N), lo_ + 1)) AS i FROM tri) GROUP BY k, lo_, hi_),
  prs AS (SELECT a AS seq_a, b AS seq_b, ca.n AS n_lineages_a, cb.n AS n_lineages_b, k AS n_lineages_together, pt.N AS n_lineages_total, pt.p
-   FROM tog JOIN cnt ca ON ca.seq_id = a JOIN cnt cb ON cb.seq_id = b JOIN pt USING (k) WHERE pt.lo_ = least(ca.n, cb.n) AND pt.hi_ = greatest(ca.n, cb.n)),
+   FROM tog JOIN lcnt ca ON ca.seq_id = a JOIN lcnt cb ON cb.seq_id = b JOIN pt USING (k) WHERE pt.lo_ = least(ca.n, cb.n) AND pt.hi_ = greatest(ca.n, cb.n)),
  rk AS (SELECT *, p * (SELECT count(*) FROM prs) / count(*) OVER (ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS raw FROM (SELECT * REPLACE (CAST(printf('%.12e', p) AS DOUBLE) AS p) FROM prs)),
  qv AS (SELECT *, least(1.0, min(raw) OVER (ORDER BY p DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS q FROM rk),
  cooc AS (SELECT seq_a, seq_b, n_lineages_a, n_lineages_b, n_lineages_together, n_lineages_total, round(n_lineages_together / n_lineages_a, 4) AS fraction_of_a,
@@ -197,7 +197,7 @@ def partners(t: Tables):
     return out.withColumn("top_cooccurring_partner_q", F.round("top_cooccurring_partner_q", 6))
 
 
-@query("eligible_entities", f"WITH {_PAIR} SELECT seq_id, n AS n_lin FROM cnt WHERE n >= 2")
+@query("eligible_entities", f"WITH {_PAIR} SELECT seq_id, n AS n_lin FROM lcnt WHERE n >= 2")
 def eligible_entities(t: Tables):
     o = occ(t)
     pres = P.presence(o.filter("dark"), o.select("plasmid_id", "lineage").distinct())

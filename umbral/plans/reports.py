@@ -65,10 +65,11 @@ _LEFT = ("context_recurrence", "n_lineages", "lineage_left_conservation", "linea
 
 def family_table(t: Tables):
     fam = cut(X.dark(t).withColumn("n_members", F.col("family_size")))
-    rec, rar = cut(X.recurrence_(t)), X.rarity_(t)
+    rec = cut(X.recurrence_(t))
+    rar = X.rarity_(t, rec)
     syn = O.synteny(t).filter("level = 'intermediate'").withColumn("_f", F.col("family_id").cast("bigint"))
     firsts = occ(t).groupBy(F.col("family_id").alias("_f")).agg(F.concat(F.lit("intermediate:"), F.min("seq_id").cast("string")).alias("fid"))
-    by_id = lambda df: df.join(firsts, "_f").drop("family_id", "_f").withColumnRenamed("fid", "family_id")
+    by_id = lambda df: cut(df.join(firsts, "_f").drop("family_id", "_f").withColumnRenamed("fid", "family_id"))
     ctx = by_id(O.rates(t).withColumn("_f", F.col("family_id")))
     part = by_id(X.partners(t).withColumn("_f", F.col("family_id")))
     struct = t.part.filter("p_type = 'PROMO'").select(F.concat(F.lit("intermediate:"), F.col("p_partkey").cast("string")).alias("family_id"), F.col("p_brand").alias("structural_match"))
