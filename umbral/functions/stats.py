@@ -26,8 +26,18 @@ def lgamma(x: Column) -> Column:
     return (z - 0.5) * F.log(z) - z + _HALF_LOG_2PI + series - shift
 
 
+def log_factorial_ratio(over: list[Column], under: list[Column]) -> Column:
+    """log of the product of the factorials of ``over`` divided by that of ``under``.
+
+    The series is one lambda body applied to an array, so the plan stays small however many
+    factorials a formula has.
+    """
+    total = lambda xs: F.aggregate(F.array(*xs), F.lit(0.0), lambda acc, x: acc + lgamma(x + 1.0))
+    return total(over) - total(under)
+
+
 def log_choose(n: Column, k: Column) -> Column:
-    return lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+    return log_factorial_ratio([n], [k, n - k])
 
 
 def _running_sum(steps: Column, ratio) -> Column:
@@ -41,37 +51,39 @@ def _running_sum(steps: Column, ratio) -> Column:
     return F.aggregate(steps, start, fold)["total"]
 
 
+def _steps(first: Column, last: Column) -> Column:
+    return F.when(first <= last, F.sequence(first.cast("int"), last.cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
 def hypergeom_sf(k: Column, N: Column, K: Column, n: Column) -> Column:
     """P(X >= k) for n draws from N of which K are marked.
 
-    The first term of the tail is taken in log space and the rest follow from the ratio of
+    The first term of a tail is taken in log space and the rest follow from the ratio of
     neighbouring probabilities, always walking away from the mode so that every ratio is at
     most one. Below the mode the lower tail is summed and subtracted from one.
     """
     k, N, K, n = (c.cast("double") for c in (k, N, K, n))
     lo, hi = F.greatest(F.lit(0.0), n + K - N), F.least(K, n)
-    log_p = lambda i: log_choose(K, i) + log_choose(N - K, n - i) - log_choose(N, n)
-    span = lambda a, b: F.when(a <= b, F.sequence(a.cast("int"), b.cast("int"))).otherwise(
-        F.array().cast("array<int>"))
-    up = _running_sum(span(k, hi - 1),
-                      lambda i: (K - i) * (n - i) / ((i + 1.0) * (N - K - n + i + 1.0)))
-    below = k - 1
-    down = _running_sum(span(F.lit(1.0), below - lo),
-                        lambda j: ((below - j + 1) * (N - K - n + below - j + 1))
-                        / ((K - below + j) * (n - below + j)))
-    mode = F.floor((n + 1) * (K + 1) / (N + 2))
-    upper = F.least(F.lit(1.0), F.exp(log_p(k)) * up)
-    lower = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - F.exp(log_p(below)) * down))
-    return (F.when(k <= lo, 1.0).when(k > hi, 0.0).when(k > mode, upper).otherwise(lower))
+    above = k > F.floor((n + 1) * (K + 1) / (N + 2))
+    top = F.when(above, k).otherwise(k - 1)
+    first = F.exp(log_factorial_ratio([K, N - K, n, N - n], [N, top, K - top, n - top, N - K - n + top]))
+    up = _running_sum(_steps(k, hi - 1), lambda i: (K - i) * (n - i) / ((i + 1.0) * (N - K - n + i + 1.0)))
+    down = _running_sum(_steps(lo + 1, k - 1), lambda j: _lower_ratio(lo + k - j, N, K, n))
+    tail = F.when(above, first * up).otherwise(1.0 - first * down)
+    return (F.when(k <= lo, 1.0).when(k > hi, 0.0)
+            .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail))))
+
+
+def _lower_ratio(i: Column, N: Column, K: Column, n: Column) -> Column:
+    """P(X = i - 1) / P(X = i)."""
+    return i * (N - K - n + i) / ((K - i + 1.0) * (n - i + 1.0))
 
 
 def binomial_sf(x: Column, n: Column, r: Column) -> Column:
     """P(X >= x) for n trials of probability r, with x above the mean (a similarity p-value)."""
     x, n = x.cast("double"), n.cast("double")
-    first = F.exp(log_choose(n, x) + x * F.log(r) + (n - x) * F.log1p(-r))
-    steps = F.when(x < n, F.sequence(x.cast("int"), (n - 1).cast("int"))).otherwise(
-        F.array().cast("array<int>"))
-    tail = _running_sum(steps, lambda i: (n - i) / (i + 1.0) * r / (1.0 - r))
+    first = F.exp(log_factorial_ratio([n], [x, n - x]) + x * F.log(r) + (n - x) * F.log1p(-r))
+    tail = _running_sum(_steps(x, n - 1), lambda i: (n - i) / (i + 1.0) * r / (1.0 - r))
     return F.when(x <= 0, 1.0).otherwise(F.least(F.lit(1.0), first * tail))
 
 

@@ -168,7 +168,7 @@ def directons(ordered: DataFrame, max_gap: int, circular: Column, length: Column
     units = (cores.withColumn("_seen", F.max("_mark").over(upto)).join(carried, [record, "_tile"])
              .withColumn("unit", F.coalesce("_seen", "_carry")).drop("_tile", "_at", "_core", "_new", "_mark", "_seen", "_carry"))
     units = cut(units)   # read for the unit sizes and for the result
-    ends = (ordered.filter(circular & ((F.col("ord") == 0) | (F.col("ord") == F.col("n_items") - 1)))
+    ends = (units.filter(circular & ((F.col("ord") == 0) | (F.col("ord") == F.col("n_items") - 1)))
             .groupBy(record).agg(F.min_by(F.struct(start, strand), "ord").alias("_f"),
                                  F.max_by(F.struct(start, end, strand), "ord").alias("_z"),
                                  F.max(length).alias("_len")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +29,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder and forget how it was computed."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the checkpoint folder and read back.
+
+    Like a checkpoint it survives the loss of executors and ends the lineage. Unlike one, later
+    readers prune its columns and push filters into it, and its size is known exactly, so small
+    intermediate tables are broadcast and large ones never are.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/umbral-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
