@@ -52,20 +52,25 @@ def terminal_repeat_length(seq, min_repeat: int = 20) -> Column:
     runs through to the end is the longest repeat. Only real recurrences of the seed are
     compared in full, so the cost follows the number of sites, not the square of the length.
     """
-    s = _c(seq)
+    # Bound as a lambda variable, so that a computed sequence is evaluated once per row.
+    return F.transform(F.array(_c(seq)), lambda s: _repeat_of(s, min_repeat))[0]
+
+
+def _repeat_of(s: Column, min_repeat: int) -> Column:
     n = F.length(s)
     half = n - F.floor(n / 2)
     seed = F.substring(s, 1, min_repeat)
     # Records are letter sequences; quoting keeps any other character literal.
     pieces = F.split(s, F.concat(F.lit(r"(?=\Q"), seed, F.lit(r"\E)")))
-    walk = F.aggregate(
-        pieces, F.struct(F.lit(0).cast("int").alias("at"), F.lit(0).cast("int").alias("found")),
-        lambda acc, piece: F.struct(
-            (acc["at"] + F.length(piece)).alias("at"),
-            F.when((acc["found"] == 0) & (acc["at"] >= half) & (acc["at"] < n)
-                   & (F.substring(s, acc["at"] + 1, n) == F.substring(s, F.lit(1), n - acc["at"])),
-                   n - acc["at"]).otherwise(acc["found"]).alias("found")))
-    return F.when(n < 2 * min_repeat, 0).otherwise(walk["found"]).cast("int")
+    start = F.struct(F.lit(0).cast("int").alias("at"), F.lit(0).cast("int").alias("found"))
+
+    def step(acc, piece):
+        at = acc["at"] + F.length(piece)
+        late = (acc["found"] == 0) & (at >= half) & (at < n)
+        runs_through = F.substring(s, at + 1, n) == F.substring(s, F.lit(1), n - at)
+        return F.struct(at.alias("at"), F.when(late & runs_through, n - at).otherwise(acc["found"]).alias("found"))
+
+    return F.when(n < 2 * min_repeat, 0).otherwise(F.aggregate(pieces, start, step)["found"]).cast("int")
 
 
 def trim_terminal_repeat(seq, circular, min_repeat: int = 20) -> Column:

@@ -191,14 +191,14 @@ def concordance(t: Tables):
 # Order lines are hits of parts (queries) on suppliers (reference keys).
 
 _LH = """lh AS (SELECT l_partkey AS query, l_suppkey AS key, round(100 - 400 * l_discount, 2) AS pident, round(60 + 0.8 * l_quantity, 2) AS qcov, round(100 - 300 * l_tax, 2) AS scov,
-  round(l_extendedprice / 100, 2) AS bitscore, CASE WHEN l_linenumber = 1 THEN 1 ELSE 2 END AS sstart, CAST(l_quantity AS INTEGER) AS send, CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INTEGER) ELSE 99 END AS slen FROM lineitem)"""
+  l_extendedprice / 128 AS bitscore, CASE WHEN l_linenumber = 1 THEN 1 ELSE 2 END AS sstart, CAST(l_quantity AS INTEGER) AS send, CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INTEGER) ELSE 99 END AS slen FROM lineitem)"""
 
 
 def _label_hits(t: Tables):
     q = F.col("l_quantity").cast("int")
     return t.lineitem.select(F.col("l_partkey").alias("query"), F.col("l_suppkey").alias("key"), F.round(100 - 400 * F.col("l_discount"), 2).alias("pident"),
                              F.round(60 + 0.8 * F.col("l_quantity"), 2).alias("qcov"), F.round(100 - 300 * F.col("l_tax"), 2).alias("scov"),
-                             F.round(F.col("l_extendedprice") / 100, 2).alias("bitscore"), F.when(F.col("l_linenumber") == 1, 1).otherwise(2).alias("sstart"),
+                             (F.col("l_extendedprice") / 128).alias("bitscore"), F.when(F.col("l_linenumber") == 1, 1).otherwise(2).alias("sstart"),
                              q.alias("send"), F.when(F.col("l_linestatus") == "F", q).otherwise(99).alias("slen"))
 
 
@@ -227,11 +227,11 @@ def label_rows(t: Tables):
     return L.label_rows(L.best_tiered_hit(_label_hits(t), fields=()), e, "tadb", "3.0").drop("cut_off", "pident", "qcov", "scov", "bitscore")
 
 
-@query("curated_call", f"""WITH {_LH}, m AS (SELECT s_suppkey AS key, round(s_acctbal / 10 + 400, 2) AS cut_off FROM supplier WHERE s_nationkey <> 3),
+@query("curated_call", f"""WITH {_LH}, m AS (SELECT s_suppkey AS key, s_acctbal / 16 + 300 AS cut_off FROM supplier WHERE s_nationkey <> 3),
  g AS (SELECT query, key, cut_off, bitscore, CASE WHEN pident = 100 AND sstart = 1 AND send = slen THEN 'Perfect' WHEN bitscore >= cut_off THEN 'Strict' END AS call FROM lh JOIN m USING (key))
 SELECT query, call, key, cut_off, bitscore FROM g WHERE call IS NOT NULL QUALIFY row_number() OVER (PARTITION BY query ORDER BY CASE call WHEN 'Perfect' THEN 0 ELSE 1 END, bitscore DESC, key) = 1""")
 def curated_call(t: Tables):
-    m = t.supplier.filter("s_nationkey <> 3").select(F.col("s_suppkey").alias("key"), F.round(F.col("s_acctbal") / 10 + 400, 2).alias("cut_off"))
+    m = t.supplier.filter("s_nationkey <> 3").select(F.col("s_suppkey").alias("key"), (F.col("s_acctbal") / 16 + 300).alias("cut_off"))
     return L.curated_call(_label_hits(t), m, fields=("bitscore",))
 
 
@@ -402,24 +402,22 @@ def minhash_pairs(t: Tables):
     return Y.minhash_edges(t.documents.select("doc_id", "text"), "doc_id", "text", _SPEC).drop("p_value")
 
 
-_SEARCH = """kk AS (SELECT conv_id * 100 + turn AS id, substr(text, i, 12) AS h FROM (SELECT conv_id, turn, text, unnest(range(1, length(text) - 10)) AS i FROM conversations WHERE length(text) >= 12)),
- pr AS (SELECT id, h, count(*) AS c FROM kk GROUP BY 1, 2), tt AS (SELECT id, count(*) AS n, sum(c) AS t FROM pr GROUP BY 1),
- hit AS (SELECT q.id AS query, r.id AS target, count(*) AS shared, sum(q.c) AS qs, sum(r.c) AS rs FROM pr q JOIN pr r ON q.h = r.h AND q.id <> r.id GROUP BY 1, 2),
- sim AS (SELECT query, target, shared, round(100 * pow(shared / least(a.n, b.n), 1 / 12.0), 4) AS pident, round(100.0 * qs / a.t, 4) AS qcov, round(100.0 * rs / b.t, 4) AS scov FROM hit JOIN tt a ON a.id = query JOIN tt b ON b.id = target)"""
+def _search_sql(queries: str, references: str, k: int) -> str:
+    """K-mer similarity of two (id, text) relations."""
+    prof = lambda n, src: f"""{n}k AS (SELECT id, substr(text, i, {k}) AS h, count(*) AS c FROM (SELECT id, text, unnest(range(1, length(text) - {k} + 2)) AS i FROM ({src}) WHERE length(text) >= {k}) GROUP BY 1, 2),
+ {n}t AS (SELECT id, count(*) AS n, sum(c) AS t FROM {n}k GROUP BY 1)"""
+    return f"""{prof('q', queries)}, {prof('r', references)},
+ hit AS (SELECT q.id AS query, r.id AS target, count(*) AS shared, sum(q.c) AS qs, sum(r.c) AS rs FROM qk q JOIN rk r ON q.h = r.h AND q.id <> r.id GROUP BY 1, 2),
+ sim AS (SELECT query, target, shared, round(100 * pow(shared / least(a.n, b.n), 1 / {k}.0), 4) AS pident, round(100.0 * qs / a.t, 4) AS qcov, round(100.0 * rs / b.t, 4) AS scov FROM hit JOIN qt a ON a.id = query JOIN rt b ON b.id = target)"""
 
 
-def _conv(t: Tables):
-    return t.conversations.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "text")
-
-
-@query("similarity_search", f"""WITH {_SEARCH} SELECT *, row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) AS rank FROM sim WHERE pident >= 60 AND qcov >= 70
+@query("similarity_search", f"""WITH {_search_sql("SELECT -1 - item_id AS id, text FROM benchmark", "SELECT doc_id AS id, text FROM documents", 12)} SELECT *, row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) AS rank FROM sim WHERE pident >= 60 AND qcov >= 70
 QUALIFY row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) <= 25""")
 def similarity_search(t: Tables):
-    c = _conv(t)
-    return Y.similarity_search(c, c, "id", "id")
+    return Y.similarity_search(t.benchmark.select((-1 - F.col("item_id")).alias("id"), "text"), t.documents, "id", "doc_id")
 
 
-@query("representatives", f"""WITH RECURSIVE {_SEARCH}, ent AS (SELECT conv_id * 100 + turn AS id, length(text) AS len FROM conversations), o AS (SELECT id, row_number() OVER (ORDER BY len DESC, id) AS pos FROM ent),
+@query("representatives", f"""WITH RECURSIVE {_search_sql("SELECT doc_id AS id, text FROM documents", "SELECT doc_id AS id, text FROM documents", 21)}, ent AS (SELECT doc_id AS id, length(text) AS len FROM documents), o AS (SELECT id, row_number() OVER (ORDER BY len DESC, id) AS pos FROM ent),
  ok AS (SELECT m.pos AS m, r.pos AS r FROM sim JOIN o m ON m.id = query JOIN o r ON r.id = target WHERE pident >= 90 AND qcov >= 80 AND r.pos < m.pos),
  walk AS (SELECT 0 AS i, CAST([] AS BIGINT[]) AS reps UNION ALL
    SELECT i + 1, CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.m = i + 1 AND list_contains(reps, ok.r)) THEN reps ELSE list_append(reps, i + 1) END FROM walk WHERE i < (SELECT count(*) FROM o)),
@@ -427,6 +425,6 @@ def similarity_search(t: Tables):
 SELECT rep.id AS representative, mem.id AS member FROM o mem JOIN (SELECT m, min(r) AS r FROM ok WHERE r IN (SELECT pos FROM fin) AND m NOT IN (SELECT pos FROM fin) GROUP BY 1) a ON a.m = mem.pos JOIN o rep ON rep.pos = a.r
 UNION ALL SELECT o.id, o.id FROM o JOIN fin USING (pos)""")
 def representatives(t: Tables):
-    c = _conv(t)
-    hits_ = Y.similarity_search(c, c, "id", "id", min_identity=90, min_cov=80, top_k=None)
-    return Y.cluster_representatives(hits_, c.select("id", F.length("text").alias("length")), ClusterSpec("close", 90, 80), "id")
+    d = t.documents.select(F.col("doc_id").alias("id"), "text")
+    found = Y.similarity_search(d, d, "id", "id", k=21, min_identity=90, min_cov=80, top_k=None)
+    return Y.cluster_representatives(found, d.select("id", F.length("text").alias("length")), ClusterSpec("close", 90, 80), "id")

@@ -221,13 +221,13 @@ def summary_kv(t: Tables):
 
 # ---- circular sequences -------------------------------------------------------------------
 
-@query("terminal_repeat", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 25 ELSE 0 END AS repeat_len, length(text) + CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1 END AS kept FROM documents WHERE length(text) >= 60 AND regexp_matches(text, '^[^_]*$')""")
+@query("terminal_repeat", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND length(text) >= 60 THEN 25 ELSE 0 END AS repeat_len, length(text) + CASE WHEN doc_id % 2 = 0 AND length(text) >= 60 THEN 0 ELSE 1 END AS kept FROM documents""")
 def terminal_repeat(t: Tables):
-    """Whole texts; the even ones repeat their own first 25 letters at the end, framed by marks no text contains."""
-    d = t.documents.filter((F.length("text") >= 60) & ~F.col("text").contains("_")).withColumn("text", F.translate("text", "ß", "s"))
-    head = F.concat(F.lit("_"), F.substring("text", 1, 23), F.lit("_"))
-    s = F.when(F.col("doc_id") % 2 == 0, F.concat(head, F.substring(F.col("text"), F.lit(26), F.length("text")), head)).otherwise(F.concat("text", F.lit("_")))
-    x = d.select("doc_id", D.trim_terminal_repeat(s, F.lit(True)).alias("r"))
+    """Whole texts; the longer even ones repeat their own first letters at the end, framed by a mark no text contains."""
+    s = F.translate("text", "ß_", "s-")
+    head = F.concat(F.lit("_"), F.substring(s, 1, 23), F.lit("_"))
+    s = F.when((F.col("doc_id") % 2 == 0) & (F.length("text") >= 60), F.concat(head, F.substring(s, F.lit(26), F.length("text")), head)).otherwise(F.concat(s, F.lit("_")))
+    x = t.documents.select("doc_id", D.trim_terminal_repeat(s, F.lit(True)).alias("r"))
     return x.select("doc_id", F.col("r.repeat_len").alias("repeat_len"), F.length("r.trimmed").alias("kept"))
 
 

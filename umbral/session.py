@@ -42,6 +42,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work that is heavy per row.
+
+    A table read from few files would otherwise keep most of the cluster idle. Inputs that are
+    already spread wide enough are returned as they are, without a shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """``df`` with a broadcast hint when a bounded count proves it small, else unchanged.
 
