@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from umbral.functions import bind
 from umbral.functions.fixed import MAX_OVERLAP_BP
 
 
@@ -52,8 +53,7 @@ def terminal_repeat_length(seq, min_repeat: int = 20) -> Column:
     runs through to the end is the longest repeat. Only real recurrences of the seed are
     compared in full, so the cost follows the number of sites, not the square of the length.
     """
-    # Bound as a lambda variable, so that a computed sequence is evaluated once per row.
-    return F.transform(F.array(_c(seq)), lambda s: _repeat_of(s, min_repeat))[0]
+    return bind(_c(seq), lambda s: _repeat_of(s, min_repeat))
 
 
 def _repeat_of(s: Column, min_repeat: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from umbral.functions import bind
 from umbral.functions import fixed as X
 from umbral.functions.coords import is_minus
 from umbral.functions.predicates import is_informative
@@ -31,42 +32,55 @@ def parse_title(title) -> Column:
     ``RecName:`` title the product is the first ``Full=`` name, behind any qualifier that
     precedes ``RecName:``. Whatever matches nothing stays whole as the product.
     """
-    t = text_or_empty(title)
+    return bind(text_or_empty(title), _title_parts)
+
+
+def _title_parts(t: Column) -> Column:
     bracketed = t.rlike(r"(?s)\[.*\]$")
     organism = F.when(bracketed, F.trim(F.regexp_extract(t, r"(?s)\[([^\[]*)\]$", 1))).otherwise("")
     body = F.when(bracketed, F.trim(F.regexp_replace(t, r"(?s)\[[^\[]*\]$", ""))).otherwise(t)
-    first = F.substring_index(body, " ", 1)
-    rest = F.regexp_extract(body, r"(?s)^[^ ]* (.*)$", 1)
-    has_acc = (rest != "") & first.contains(".")
-    accession = F.when(has_acc, first).otherwise("")
-    product = F.when(has_acc, F.trim(rest)).otherwise(body)
+    split = bind(body, lambda b: bind(F.instr(b, F.lit(" ")), lambda at: F.when(
+        (at > 0) & F.substring_index(b, " ", 1).contains(".") & (F.length(b) > at),
+        F.struct(F.substring_index(b, " ", 1).alias("acc"), F.trim(F.substring(b, at + 1, F.length(b))).alias("product")))
+        .otherwise(F.struct(F.lit("").alias("acc"), b.alias("product")))))
+    return bind(split, lambda p: F.struct(p["acc"].alias("accession"), _recommended(p["product"]).alias("product"),
+                                          organism.alias("organism")))
+
+
+def _recommended(product: Column) -> Column:
+    """The first ``Full=`` name behind ``RecName:``, with whatever stands before it."""
     prefix = F.regexp_extract(product, r"(?s)^(.*?)RecName:", 1)
-    named = F.trim(F.regexp_extract(product, r"(?s)RecName:\s*([^;]*)", 1))
-    named = F.when(named.startswith("Full="), F.trim(F.regexp_replace(named, r"^Full=", ""))).otherwise(named)
-    product = F.when(product.contains("RecName:"), F.concat(prefix, named)).otherwise(product)
-    return F.struct(accession.alias("accession"), product.alias("product"), organism.alias("organism"))
+    name = bind(F.trim(F.regexp_extract(product, r"(?s)RecName:\s*([^;]*)", 1)), lambda n: F.when(
+        n.startswith("Full="), F.trim(F.substring(n, F.lit(6), F.length(n)))).otherwise(n))
+    return F.when(product.contains("RecName:"), F.concat(prefix, name)).otherwise(product)
+
+
+def _host(species, genus) -> Column:
+    lit = lambda c: c if isinstance(c, Column) else F.lit(c)
+    return F.struct(lit(species).alias("species"), lit(genus).alias("genus"))
 
 
 def _one_host(raw: Column) -> Column:
-    name = F.trim(F.replace(raw, F.lit("_"), F.lit(" ")))
-    none = F.struct(F.lit("").alias("species"), F.lit("").alias("genus"))
-    rejected = ~name.rlike("[A-Za-z]") | name.rlike(X.NOT_AN_ORGANISM)
-    phyto = F.lower(name).contains("phytoplasma") & ~name.startswith("Candidatus")
-    words = F.split(name, r"\s+")
+    return bind(F.trim(F.replace(raw, F.lit("_"), F.lit(" "))), lambda name: (
+        F.when(~name.rlike("[A-Za-z]") | name.rlike(X.NOT_AN_ORGANISM), _host("", ""))
+        .when(F.lower(name).contains("phytoplasma") & ~name.startswith("Candidatus"), _host("", "Candidatus Phytoplasma"))
+        .otherwise(bind(F.split(name, r"\s+"), _from_words))))
+
+
+def _from_words(words: Column) -> Column:
     candidatus = (words[0] == "Candidatus") & (F.size(words) > 1)
-    w = F.when(candidatus, F.slice(words, 2, 1000)).otherwise(words)
+    kept = F.when(candidatus, F.slice(words, F.lit(2), F.size(words))).otherwise(words)
     prefix = F.when(candidatus, "Candidatus ").otherwise("")
-    second, last = F.try_element_at(w, F.lit(2)), F.try_element_at(w, F.lit(-1))
-    not_genus = (~w[0].rlike(X.GENUS) | w[0].rlike(X.HIGHER_RANK)
-                 | F.coalesce(second.isin(*X.UNNAMED_MEMBER), F.lit(False))
-                 | ((F.size(w) > 2) & last.isin("symbiont", "endosymbiont")))
-    genus = F.concat(prefix, w[0])
-    species = F.when(second.isNull() | second.isin(*X.NOT_A_SPECIES), "").otherwise(
-        F.concat_ws(" ", genus, second))
-    return (F.when(rejected, none)
-            .when(phyto, F.struct(F.lit("").alias("species"), F.lit("Candidatus Phytoplasma").alias("genus")))
-            .when(not_genus, none)
-            .otherwise(F.struct(species.alias("species"), genus.alias("genus"))))
+
+    def named(w: Column) -> Column:
+        second, last = F.try_element_at(w, F.lit(2)), F.try_element_at(w, F.lit(-1))
+        not_genus = (~w[0].rlike(X.GENUS) | w[0].rlike(X.HIGHER_RANK) | F.coalesce(second.isin(*X.UNNAMED_MEMBER), F.lit(False))
+                     | ((F.size(w) > 2) & last.isin("symbiont", "endosymbiont")))
+        genus = F.concat(prefix, w[0])
+        species = F.when(second.isNull() | second.isin(*X.NOT_A_SPECIES), "").otherwise(F.concat_ws(" ", genus, second))
+        return F.when(not_genus, _host("", "")).otherwise(_host(species, genus))
+
+    return bind(kept, named)
 
 
 def normalise_host(name) -> Column:
@@ -75,17 +89,16 @@ def normalise_host(name) -> Column:
     Of a comma-separated list the first part that names an organism counts.
     """
     parts = F.transform(F.split(F.coalesce(_c(name), F.lit("")), ","), _one_host)
-    hit = F.try_element_at(F.filter(parts, lambda p: p["genus"] != ""), F.lit(1))
-    return F.coalesce(hit, F.struct(F.lit("").alias("species"), F.lit("").alias("genus")))
+    return F.coalesce(F.try_element_at(F.filter(parts, lambda p: p["genus"] != ""), F.lit(1)), _host("", ""))
 
 
 def first_source_wins(*candidates: tuple[str, Column]) -> Column:
     """Struct(species, genus, host_source) of the first source that names an organism."""
-    out = [F.when(normalise_host(c)["genus"] != "", F.struct(
-        normalise_host(c)["species"].alias("species"), normalise_host(c)["genus"].alias("genus"),
-        F.lit(source).alias("host_source"))) for source, c in candidates]
+    tried = F.array(*[F.struct(F.lit(source).alias("source"), _c(name).cast("string").alias("name")) for source, name in candidates])
+    found = F.transform(tried, lambda c: bind(normalise_host(c["name"]), lambda h: F.struct(
+        h["species"].alias("species"), h["genus"].alias("genus"), c["source"].alias("host_source"))))
     nothing = F.struct(*[F.lit("").alias(n) for n in ("species", "genus", "host_source")])
-    return F.coalesce(*out, nothing)
+    return F.coalesce(F.try_element_at(F.filter(found, lambda h: h["genus"] != ""), F.lit(1)), nothing)
 
 
 def transfer_class(pfams, cog_id, kegg_ko, ec) -> Column:

@@ -7,6 +7,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from umbral.functions import bind
 from umbral.functions import fixed as X
 from umbral.functions.predicates import as_evalue, blank
 from umbral.functions.text import comma_list, context_term, parse_title, text_or_empty
@@ -77,8 +78,9 @@ def labels_from_hits(hits: DataFrame, meta: DataFrame | None = None, key: str =
         {"description": F.lit(None).cast("string"), "clan": F.lit(None).cast("string")})
     label, acc, cat = text_or_empty("label"), text_or_empty("target_accession"), text_or_empty("category")
     source = F.trim("source")
-    title = parse_title("label")
-    acc_or_title = F.when(acc != "", acc).otherwise(title["accession"])
+    # Parsed once per row, and only where a branch below asks for it.
+    titled = lambda kind: bind(parse_title("label"), lambda p: F.array(_entry(
+        kind, p["product"], F.when(acc != "", acc).otherwise(p["accession"]))))
     fam = lambda a, b: F.array(_entry(a, label, acc), _entry(b, cat, acc))
     unknown = F.raise_error(F.concat(F.lit("hit source not declared: "), F.coalesce(source, F.lit("NULL"))))
     entries = (
@@ -88,8 +90,8 @@ def labels_from_hits(hits: DataFrame, meta: DataFrame | None = None, key: str =
         .when(source == "pharokka", fam("pharokka_annotation", "pharokka_category"))
         .when(source == "card", fam("card_gene_family", "card_mechanism"))
         .when(source == "vfdb", F.array(_entry("vfdb_factor", label, acc)))
-        .when(source == "swissprot", F.array(_entry("swissprot_product", title["product"], acc_or_title)))
-        .when(source == "nr", F.array(_entry("nr_product", title["product"], acc_or_title)))
+        .when(source == "swissprot", titled("swissprot_product"))
+        .when(source == "nr", titled("nr_product"))
         .otherwise(unknown.cast("array<struct<kind:string,label:string,accession:string>>")))
     return (rows.filter("informative").filter(label != "")
             .select(key, source.alias("source"), "tier", "evalue", "coverage",

@@ -14,7 +14,7 @@ from umbral.operators import similarity as Y
 from umbral.plans.bindings import CLASSIFY, OCC, THR, TIE, TIERS, hits, lengths, occ
 from umbral.plans.catalog import Tables, query
 from umbral.plans.ordered import _LABELS, entity_labels
-from umbral.session import cut
+from umbral.session import cut, spread
 from umbral.sources import files as S
 from umbral.specs import ClusterSpec, NetworkSpec, SketchSpec
 
@@ -250,7 +250,7 @@ _LROW = """lr AS (
 def _label_entries(t: Tables):
     r, s, n = F.col("l_returnflag"), F.col("l_suppkey").cast("string"), F.col("l_linenumber")
     src = F.when(r == "R", "pfam").when(r == "A", "swissprot").otherwise("pharokka")
-    h = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).select(
+    h = spread(t.lineitem).join(t.part, F.col("p_partkey") == F.col("l_partkey")).select(
         F.col("l_partkey").alias("query"), src.alias("source"), F.concat(F.lit("T"), n.cast("string")).alias("tier"),
         F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("e-7")).alias("evalue"), F.col("l_tax").cast("string").alias("coverage"),
         F.when(src == "pfam", F.col("p_name")).when(src == "swissprot", F.concat(F.lit("P"), s, F.lit(".1 RecName: Full=Toxin "), "p_type", F.lit("; AltName: Full=x [E. coli]")))
@@ -376,7 +376,7 @@ _SKETCH = """km AS (SELECT doc_id, CAST('0x' || substr(md5(substr(text, i, 21)),
 
 @query("sketches", f"WITH {_SKETCH} SELECT doc_id, count(*) AS n, min(h) AS smallest, max(h) AS largest FROM sk GROUP BY 1")
 def sketches(t: Tables):
-    return Y.sketch(t.documents, "doc_id", "text", _SPEC).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("smallest"), F.max("h").alias("largest"))
+    return Y.sketch(t.documents, "doc_id", "text", _SPEC, Y.portable_hash).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("smallest"), F.max("h").alias("largest"))
 
 
 _LINK = f"""{_SKETCH}, arr AS (SELECT doc_id, list(h ORDER BY h) AS s FROM sk GROUP BY 1),
@@ -393,13 +393,13 @@ _LINK = f"""{_SKETCH}, arr AS (SELECT doc_id, list(h ORDER BY h) AS s FROM sk GR
  reach AS (SELECT a AS id, a AS root FROM sym UNION SELECT sym.b, reach.root FROM reach JOIN sym ON sym.a = reach.id), comp AS (SELECT id, min(root) AS root FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(root, doc_id) AS lineage, 0.05 AS max_distance, 1e-10 AS max_pvalue, 21 AS kmer_size, 200 AS sketch_size FROM documents LEFT JOIN comp ON comp.id = doc_id""")
 def lineage_min_id(t: Tables):
-    return Y.minhash_lineage(t.documents.select("doc_id", "text"), "doc_id", "text", _SPEC)
+    return Y.minhash_lineage(t.documents.select("doc_id", "text"), "doc_id", "text", _SPEC, hash_=Y.portable_hash)
 
 
 @query("minhash_pairs", f"""WITH {_LINK}, sig AS (SELECT doc_id, CAST(s AS VARCHAR) AS g FROM arr), heads AS (SELECT min(doc_id) AS doc_id FROM sig GROUP BY g)
 SELECT a, b, shared, compared, round(shared / compared, 6) AS jaccard, round(d, 6) AS distance FROM near WHERE a IN (SELECT doc_id FROM heads) AND b IN (SELECT doc_id FROM heads)""")
 def minhash_pairs(t: Tables):
-    return Y.minhash_edges(t.documents.select("doc_id", "text"), "doc_id", "text", _SPEC).drop("p_value")
+    return Y.minhash_edges(t.documents.select("doc_id", "text"), "doc_id", "text", _SPEC, Y.portable_hash).drop("p_value")
 
 
 def _search_sql(queries: str, references: str, k: int) -> str:
