@@ -11,10 +11,10 @@ from umbral.functions.stats import log_choose
 from umbral.operators.graph import number_globally
 
 
-def curve_sizes(n: DataFrame, total: str = "n_total", steps: int = 10) -> DataFrame:
-    """Up to ten equal sample sizes ending on the full set."""
-    return n.select(total, F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("_i")).select(
-        total, F.floor(F.col(total) * F.col("_i") / steps).cast("bigint").alias("n_lineages")).filter("n_lineages > 0").distinct()
+def curve_sizes(total: Column, steps: int = 10) -> Column:
+    """Up to ten equal sample sizes ending on the full set, as an array."""
+    each = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.floor(total * i / steps).cast("bigint"))
+    return F.array_distinct(F.filter(each, lambda s: s > 0))
 
 
 def rarefaction_expected(axis: DataFrame, found: DataFrame, lineage: str = "lineage", family: str = "family_id") -> DataFrame:
@@ -23,12 +23,12 @@ def rarefaction_expected(axis: DataFrame, found: DataFrame, lineage: str = "line
     ``axis`` lists every lineage, ``found`` the (lineage, family) incidences. Families collapse
     to a histogram of their lineage counts, so each curve point reads one row per distinct count.
     """
-    n = axis.agg(F.count_distinct(lineage).alias("n_total"))
+    n = axis.agg(F.count_distinct(lineage)).scalar()
     hist = (found.select(lineage, family).distinct().groupBy(family).agg(F.count(F.lit(1)).alias("f"))
-            .groupBy("f").agg(F.count(F.lit(1)).alias("m")))
+            .groupBy("f").agg(F.count(F.lit(1)).alias("m")).withColumn("n_total", n))
+    sized = hist.withColumn("n_lineages", F.explode(curve_sizes(F.col("n_total"))))
     N, s, f = (F.col(c).cast("double") for c in ("n_total", "n_lineages", "f"))
     unseen = F.when(N - f < s, 0.0).otherwise(F.exp(log_choose(N - f, s) - log_choose(N, s)))
-    sized = hist.join(F.broadcast(curve_sizes(n)), F.lit(True))   # ten sizes
     return sized.groupBy("n_lineages").agg(F.round(F.sum(F.col("m") * (1.0 - unseen)), 4).alias("mean_families"))
 
 
@@ -38,24 +38,23 @@ def rarefaction_sampled(axis: DataFrame, found: DataFrame, replicates: int = 20,
 
     Each replicate is one hash-ordered ranking of the lineages; a sample of size s is its first
     s, so a family is seen from its best-ranked lineage on. The ranking is taken by a range sort
-    per replicate (no one-task window) and a curve point counts families by a small histogram.
+    (no one-task window) and a curve point counts families map-side.
     ``order(lineage, replicate)`` gives the shuffle key; the default is a seeded hash.
     """
     key = order or (lambda l, r: F.xxhash64(F.lit(seed), r, l))
     reps = F.explode(F.sequence(F.lit(1), F.lit(replicates)))
+    n = axis.agg(F.count_distinct(lineage).alias("n_total"))
     ax = axis.select(lineage).distinct().withColumn("replicate", reps)
     ax = ax.withColumn("_o", key(F.col(lineage), F.col("replicate")))
     num = number_globally(ax, [F.asc("replicate"), F.asc("_o"), F.asc(lineage)], "_g")
-    n = axis.agg(F.count_distinct(lineage).alias("n_total"))
-    ranks = num.withColumn("rank", F.col("_g") - (F.col("replicate") - 1) * n.scalar() + 1)
-    seen = (found.select(lineage, family).distinct().join(ranks.select(lineage, "replicate", "rank"), lineage)
-            .groupBy("replicate", family).agg(F.min("rank").alias("first")))
-    sizes = F.broadcast(curve_sizes(n))
-    # Ten thresholds per family, counted map-side.
-    reached = seen.join(sizes, F.col("first") <= F.col("n_lineages")).groupBy("replicate", "n_lineages").agg(
-        F.count(F.lit(1)).alias("k"))
-    grid = sizes.select("n_lineages", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    full = grid.join(reached, ["replicate", "n_lineages"], "left").withColumn("k", F.coalesce("k", F.lit(0)))
+    ranks = num.withColumn("n_total", n.scalar()).withColumn("rank", F.col("_g") - (F.col("replicate") - 1) * F.col("n_total") + 1)
+    seen = (found.select(lineage, family).distinct().join(ranks.select(lineage, "replicate", "rank", "n_total"), lineage)
+            .groupBy("replicate", family).agg(F.min("rank").alias("first"), F.max("n_total").alias("n_total")))
+    reached = seen.select("replicate", F.explode(F.filter(curve_sizes(F.col("n_total")), lambda s: s >= F.col("first"))).alias("n_lineages"))
+    counts = reached.groupBy("replicate", "n_lineages").agg(F.count(F.lit(1)).alias("k"))
+    # A sample that holds no family still counts, with zero.
+    grid = n.select(F.explode(curve_sizes(F.col("n_total"))).alias("n_lineages")).withColumn("replicate", reps)
+    full = grid.join(counts, ["replicate", "n_lineages"], "left").withColumn("k", F.coalesce("k", F.lit(0)))
     return full.groupBy("n_lineages").agg(F.round(F.avg("k"), 2).alias("mean_families"), F.min("k").alias("min_families"),
                                           F.max("k").alias("max_families"), F.lit(replicates).alias("n_replicates"))
 
@@ -92,6 +91,15 @@ def fraction_histogram(families: DataFrame, value: str = "percentage_dark_in_fam
     return families.filter(F.col(size) >= min_size).groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n_families"))
 
 
+def value_counts(rows: DataFrame, value: str, count: str = "n_nodes") -> DataFrame:
+    """How many rows carry each value: the degree table, and twice over the community sizes."""
+    return rows.groupBy(value).agg(F.count(F.lit(1)).alias(count))
+
+
+def community_sizes(nodes: DataFrame, community: str = "community_id") -> DataFrame:
+    return value_counts(value_counts(nodes, community, "size"), "size", "n_communities")
+
+
 def class_counts(families: DataFrame) -> DataFrame:
     return families.groupBy("family_class", F.when(F.col("dark_only") == 1, "dark-only").otherwise("mixed").alias("darkness")).agg(
         F.count(F.lit(1)).alias("n_families"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from umbral.functions.predicates import is_informative
 from umbral.session import cut
+from umbral.sources.sinks import summary_kv
 from umbral.specs import NetworkSpec
 
 
@@ -138,22 +139,32 @@ def network_nodes(members: DataFrame, reach: DataFrame, records: DataFrame, anno
     return out if community is None else out.join(community, node, "left")
 
 
-def network_summary(nodes: DataFrame, edges: DataFrame, node: str = "node_id") -> DataFrame:
-    """(metric, value) rows; a share of an empty set is NULL, never zero."""
+def network_summary(nodes: DataFrame, edges: DataFrame, spec: NetworkSpec = NetworkSpec(), node: str = "node_id") -> DataFrame:
+    """(metric, value) rows with the parameters beside them; a share of an empty set is NULL, never zero.
+
+    A dark singleton is a node of one member that is dark. With a ``community_id`` column the
+    communities of two or more nodes are counted too.
+    """
     flag = nodes.select(F.col(node), "dark")
     ends = edges.select(F.col("source").alias("x"), F.col("target").alias("y"))
     adj = ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y")))
     touch = adj.join(flag.select(F.col(node).alias("y"), F.col("dark").alias("_yd")), "y").groupBy("x").agg(
         F.max((F.col("_yd") == 0).cast("int")).alias("_bright"))
     n = nodes.join(touch.withColumnRenamed("x", node), node, "left")
-    d = F.col("dark") == 1
-    con, bri = d & (F.col("degree") > 0), d & (F.col("degree") > 0) & (F.col("_bright") == 1)
+    d, linked = F.col("dark") == 1, F.col("degree") > 0
+    lone = (F.col("n_members") == 1) & (F.col("dark_fraction") == 1)
     agg = n.agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("dark").isNull()).alias("nodes_not_measured"),
-                F.count_if(d).alias("dark_nodes"), F.count_if(con).alias("dark_nodes_connected"),
-                F.count_if(bri).alias("dark_connected_to_bright"))
+                F.count_if(d).alias("dark_nodes"), F.count_if(d & linked).alias("dark_nodes_connected"),
+                F.count_if(d & linked & (F.col("_bright") == 1)).alias("dark_connected_to_bright"),
+                F.count_if(lone).alias("dark_family_singletons"),
+                F.count_if(lone & linked).alias("dark_family_singletons_with_edge"))
     share = lambda p, q: F.round(F.col(p) / F.nullif(F.col(q), F.lit(0)), 4)
-    wide = agg.withColumn("edges", edges.agg(F.count(F.lit(1))).scalar()).withColumns({
-        "share_dark_nodes_connected": share("dark_nodes_connected", "dark_nodes"),
-        "share_dark_connected_to_bright": share("dark_connected_to_bright", "dark_nodes_connected")})
-    from umbral.sources.sinks import summary_kv
-    return summary_kv(wide)
+    extra = {"edges": edges.agg(F.count(F.lit(1))).scalar(),
+             "share_dark_nodes_connected": share("dark_nodes_connected", "dark_nodes"),
+             "share_dark_connected_to_bright": share("dark_connected_to_bright", "dark_nodes_connected"),
+             "min_cov_either_protein": F.lit(spec.min_cov), "max_evalue": F.lit(spec.max_evalue),
+             "max_out_edges": F.lit(spec.max_out_edges), "dark_brightness": F.lit(spec.dark_brightness)}
+    if "community_id" in nodes.columns:
+        sizes = nodes.groupBy("community_id").agg(F.count(F.lit(1)).alias("k"))
+        extra["communities_2plus"] = sizes.agg(F.count_if(F.col("k") >= 2)).scalar()
+    return summary_kv(agg.withColumns(extra))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from umbral.functions import bind
 from umbral.functions import fixed as X
 from umbral.functions.predicates import as_evalue, blank
 from umbral.functions.text import comma_list, context_term, parse_title, text_or_empty
+from umbral.specs import LabelSource
 
 
 def identity_tier(pident, qcov, scov) -> Column:
@@ -45,16 +46,20 @@ def curated_call(hits: DataFrame, models: DataFrame, query: str = "query", key:
         F.min_by(F.struct("call", key, "cut_off", *fields), rank).alias("_w")).select(query, "_w.*")
 
 
-def label_rows(best: DataFrame, entries: DataFrame, source: str, version: str | None,
+def label_rows(best: DataFrame, entries: DataFrame, source: LabelSource | str, version: str | None = None,
                grade: str = "tier", key: str = "key", query: str = "query") -> DataFrame:
-    """One row per label of the winning entry. ``entries``: key, subject, labels ARRAY<(label, sub_label)>."""
+    """One row per label of the winning entry. ``entries``: key, subject, labels ARRAY<(label, sub_label)>.
+
+    A known database goes by its name; any other brings its own :class:`LabelSource`.
+    """
+    src = source if isinstance(source, LabelSource) else LabelSource(source, X.LABEL_KIND[source], version)
     optional = lambda c: F.col(c).cast("string") if c in best.columns else F.lit("")
     return (best.join(entries.select(key, "subject", "labels"), key)
-            .select(F.col(query).alias("seq_id"), F.lit(source).alias("source"),
-                    F.lit(X.LABEL_KIND[source]).alias("label_kind"), F.inline("labels"),
+            .select(F.col(query).alias("seq_id"), F.lit(src.name).alias("source"),
+                    F.lit(src.kind).alias("label_kind"), F.inline("labels"),
                     F.col(grade).cast("string").alias("tier"),
                     *[optional(c).alias(c) for c in ("cut_off", "pident", "qcov", "scov", "bitscore")],
-                    "subject", F.lit(version).cast("string").alias("database_version")))
+                    "subject", F.lit(src.version).cast("string").alias("database_version")))
 
 
 def _entry(kind, label, accession) -> Column:
@@ -114,7 +119,7 @@ def labels_from_orthology(rows: DataFrame, key: str = "seq_id") -> DataFrame:
 
 
 def merge_labels(rows: DataFrame, releases: Mapping[str, tuple[str, str]], key: str = "protein_id",
-                 tie: Sequence[str] = ("tier", "accession")) -> DataFrame:
+                 tie: Sequence[str] = ("tier", "accession"), kinds: Sequence[str] = X.KINDS) -> DataFrame:
     """One row per (entity, source, kind, label, sub_label); the best E-value gives its evidence.
 
     The accession is that of the best row, or of the best row that has one. An undeclared kind
@@ -124,7 +129,7 @@ def merge_labels(rows: DataFrame, releases: Mapping[str, tuple[str, str]], key:
     for c in ("sub_label", "accession", "evidence_evalue", "evidence_coverage", "via_representative"):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit("" if c == "sub_label" else None).cast("string"))
-    known = F.when(F.col("kind").isin(*X.KINDS), F.col("kind")).otherwise(
+    known = F.when(F.col("kind").isin(*kinds), F.col("kind")).otherwise(
         F.raise_error(F.concat(F.lit("undeclared label kind "), F.col("kind"))).cast("string"))
     rank = F.struct(as_evalue("evidence_evalue").alias("_e"), *[F.col(c) for c in tie])
     acc_rank = F.when(~blank("accession"), rank)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from umbral.functions.predicates import is_closed, status_of
 from umbral.functions.text import first_source_wins
 from umbral.operators import classify as C
+from umbral.operators import curves as U
 from umbral.operators import graph as G
 from umbral.operators import labels as L
 from umbral.operators import registry as R
@@ -352,12 +353,26 @@ def network_nodes(t: Tables):
 
 @query("network_summary", f"""WITH {_NODE}, adj AS (SELECT source AS x, target AS y FROM ne UNION ALL SELECT target, source FROM ne),
  br AS (SELECT x AS node_id, max(CASE WHEN dark = 0 THEN 1 ELSE 0 END) AS b FROM adj JOIN nodes ON nodes.node_id = y GROUP BY 1),
- a AS (SELECT count(*) AS nodes, count(*) FILTER (dark IS NULL) AS nm, count(*) FILTER (dark = 1) AS dn, count(*) FILTER (dark = 1 AND degree > 0) AS dc, count(*) FILTER (dark = 1 AND degree > 0 AND b = 1) AS db FROM nodes LEFT JOIN br USING (node_id))
-SELECT metric, CAST(value AS DOUBLE) AS value FROM (SELECT unnest(['nodes', 'nodes_not_measured', 'dark_nodes', 'dark_nodes_connected', 'dark_connected_to_bright', 'edges', 'share_dark_nodes_connected', 'share_dark_connected_to_bright']) AS metric,
-  unnest([nodes, nm, dn, dc, db, (SELECT count(*) FROM ne), round(dc / nullif(dn, 0), 4), round(db / nullif(dc, 0), 4)]) AS value FROM a)""")
+ a AS (SELECT count(*) AS nodes, count(*) FILTER (dark IS NULL) AS nm, count(*) FILTER (dark = 1) AS dn, count(*) FILTER (dark = 1 AND degree > 0) AS dc, count(*) FILTER (dark = 1 AND degree > 0 AND b = 1) AS db,
+   count(*) FILTER (n_members = 1 AND dark_fraction = 1) AS sg, count(*) FILTER (n_members = 1 AND dark_fraction = 1 AND degree > 0) AS sge FROM nodes LEFT JOIN br USING (node_id))
+SELECT metric, CAST(value AS DOUBLE) AS value FROM (SELECT unnest(['nodes', 'nodes_not_measured', 'dark_nodes', 'dark_nodes_connected', 'dark_connected_to_bright', 'dark_family_singletons', 'dark_family_singletons_with_edge', 'edges',
+   'share_dark_nodes_connected', 'share_dark_connected_to_bright', 'min_cov_either_protein', 'max_evalue', 'max_out_edges', 'dark_brightness']) AS metric,
+  unnest([nodes, nm, dn, dc, db, sg, sge, (SELECT count(*) FROM ne), round(dc / nullif(dn, 0), 4), round(db / nullif(dc, 0), 4), 0.5, 1e-4, 4, 0.3]::DOUBLE[]) AS value FROM a)""")
 def network_summary(t: Tables):
     e = cut(_net_edges(t))
-    return G.network_summary(cut(_nodes(t, e)), e)
+    return G.network_summary(cut(_nodes(t, e)), e, NetworkSpec(dark_brightness=0.3))
+
+
+@query("degree_counts", f"""WITH {_NET}, d AS (SELECT node_id, count(*) AS degree FROM (SELECT source AS node_id FROM ne UNION ALL SELECT target FROM ne) GROUP BY 1) SELECT degree, count(*) AS n_nodes FROM d GROUP BY 1""")
+def degree_counts(t: Tables):
+    e = _net_edges(t)
+    ends = e.select(F.col("source").alias("node_id")).unionByName(e.select(F.col("target").alias("node_id")))
+    return U.value_counts(U.value_counts(ends, "node_id", "degree"), "degree")
+
+
+@query("community_sizes")
+def community_sizes(t: Tables):
+    return U.community_sizes(communities(t))
 
 
 @query("communities")

@@ -1,4 +1,4 @@
-"""Session helpers: lineage cutting for iterative operators and a bounded broadcast."""
+"""Session helpers: cutting lineage, spreading narrow inputs, a local session."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -52,15 +51,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """``df`` with a broadcast hint when a bounded count proves it small, else unchanged.
-
-    The count reads at most ``max_rows + 1`` rows, so the check itself cannot run away.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def local_session(cpus: int | str = 8, app: str = "umbral") -> SparkSession:
     """A local session for tests and the benchmark."""
     return (SparkSession.builder.master(f"local[{cpus}]").appName(app)
