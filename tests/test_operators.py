@@ -20,7 +20,7 @@ from umbral.operators import registry as R
 from umbral.operators import report as E
 from umbral.operators import similarity as Y
 from umbral.operators import synteny as S
-from umbral.specs import ClusterSpec, NetworkSpec, PairSpec, RaritySpec, SketchSpec, TierSpec
+from umbral.specs import ClusterSpec, PairSpec, SketchSpec, TierSpec
 
 
 def test_interval_union_counts_positions(spark):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,6 +79,20 @@ def dark_families(families: DataFrame, members: DataFrame, reach: DataFrame, dar
             .withColumn("representative", F.coalesce("_self", "_first")).drop("_self", "_first"))
 
 
+def dark_members(dark_fams: DataFrame, members: DataFrame, reach: DataFrame, dark: DataFrame, primary: str,
+                 resolution: str = "resolution", rep: str = "representative", entity: str = "seq_id") -> DataFrame:
+    """(family_id, entity, on_small): the dark members of the dark families, one row each.
+
+    Later stages measure these members only. They stay rows: a list per family would gather an
+    unbounded group, and a sink can join them where a file format asks for it.
+    """
+    mem = members.filter(F.col(resolution) == primary).select(
+        F.concat_ws(":", resolution, F.col(rep).cast("string")).alias("family_id"), entity)
+    return (mem.join(dark_fams.select("family_id"), "family_id", "left_semi").join(dark.select(entity), entity, "left_semi")
+            .join(reach.select(entity, F.col("on_small").cast("int").alias("on_small")), entity)
+            .select("family_id", entity, "on_small"))
+
+
 def family_records(members: DataFrame, items: DataFrame, family: str = "family_id", entity: str = "seq_id",
                    record: str = "plasmid_id") -> DataFrame:
     """(family, record, n_copies): the pre-aggregated input of every distribution count."""

@@ -9,7 +9,7 @@ from umbral.functions.predicates import is_informative, soft_masked_fraction
 from umbral.operators import classify as C
 from umbral.operators import coverage as V
 from umbral.operators import dedup as D
-from umbral.plans.bindings import CLASSIFY, COVER, HITS, THR, TIE, TIERS, hits, lengths
+from umbral.plans.bindings import CLASSIFY, HITS, THR, TIE, TIERS, hits, lengths
 from umbral.plans.catalog import Tables, query
 
 # ---- exact identity -----------------------------------------------------------------------

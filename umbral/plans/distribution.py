@@ -9,7 +9,6 @@ from umbral.operators import families as M
 from umbral.operators import pairs as P
 from umbral.plans.bindings import OCC, occ
 from umbral.plans.catalog import Tables, query
-from umbral.session import cut
 from umbral.specs import PairSpec, RaritySpec
 
 # Two resolutions; a cluster's representative is its smallest entity.
@@ -77,6 +76,12 @@ def dark_families(t: Tables):
     return dark(t)
 
 
+@query("dark_members", f"""WITH {_DARK} SELECT darkfam.family_id, mem.seq_id, CAST(on_small AS INTEGER) AS on_small FROM darkfam JOIN mem ON darkfam.family_id = 'intermediate:' || mem.representative AND mem.resolution = 'intermediate'
+  JOIN cls USING (seq_id) JOIN reach USING (seq_id) WHERE dark""")
+def dark_members(t: Tables):
+    return M.dark_members(dark(t), members(t), M.entity_reach(occ(t), F.col("small")), classes(t).filter("dark"), "intermediate")
+
+
 # Records are users; nations give hosts (a region is a genus), part of them unnamed.
 _REG = """reg AS (
   SELECT DISTINCT plasmid_id, CASE WHEN plasmid_id % 4 <> 3 AND c_nationkey % 5 <> 4 THEN n_name END AS species, CASE WHEN plasmid_id % 4 <> 3 THEN r_name END AS genus,

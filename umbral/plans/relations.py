@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from umbral.functions.predicates import is_closed, status_of
-from umbral.functions.text import first_source_wins
 from umbral.operators import classify as C
 from umbral.operators import curves as U
 from umbral.operators import graph as G
