@@ -20,7 +20,7 @@ from umbral.operators import registry as R
 from umbral.operators import report as E
 from umbral.operators import similarity as Y
 from umbral.operators import synteny as S
-from umbral.specs import ClusterSpec, PairSpec, SketchSpec, TierSpec
+from umbral.specs import ClusterSpec, LabelSource, PairSpec, SketchSpec, TierSpec
 
 
 def test_interval_union_counts_positions(spark):
@@ -345,6 +345,13 @@ def test_label_contracts(spark):
         B.merge_labels(spark.createDataFrame([("p", "s", "T", "odd", "l")], "protein_id string, source string, tier string, kind string, label string"), {"s": ("d", "1")}).collect()
 
 
+def test_a_new_label_source_needs_no_code(spark):
+    best = spark.createDataFrame([("q", 1, "k", 99.0)], "query string, tier int, key string, pident double")
+    entries = spark.createDataFrame([("k", "S1", [("toxin", "x")])], "key string, subject string, labels array<struct<label:string,sub_label:string>>")
+    r = B.label_rows(best, entries, LabelSource("mydb", "my_kind", "7")).first()
+    assert (r.source, r.label_kind, r.label, r.sub_label, r.tier, r.pident, r.qcov, r.subject, r.database_version) == ("mydb", "my_kind", "toxin", "x", "1", "99.0", "", "S1", "7")
+
+
 def test_consensus_and_projection(spark):
     al = spark.createDataFrame([("f", "MA-K"), ("f", "MG-K"), ("f", "MAC."), ("f", "-AC-"), ("g", "x")], "family_id string, aligned string")
     assert {r.family_id: r.consensus for r in A.family_consensus(al).collect()} == {"f": "MA", "g": "X"}

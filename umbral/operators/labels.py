@@ -119,7 +119,7 @@ def labels_from_orthology(rows: DataFrame, key: str = "seq_id") -> DataFrame:
 
 
 def merge_labels(rows: DataFrame, releases: Mapping[str, tuple[str, str]], key: str = "protein_id",
-                 tie: Sequence[str] = ("tier", "accession"), kinds: Sequence[str] = X.KINDS) -> DataFrame:
+                 tie: Sequence[str] = ("tier", "accession", "evidence_coverage", "via_representative"), kinds: Sequence[str] = X.KINDS) -> DataFrame:
     """One row per (entity, source, kind, label, sub_label); the best E-value gives its evidence.
 
     The accession is that of the best row, or of the best row that has one. An undeclared kind

@@ -268,12 +268,12 @@ def labels_explode(t: Tables):
 @query("merge_labels", f"""WITH {_LROW}, b AS (SELECT *, row_number() OVER w AS r, row_number() OVER (PARTITION BY query, source, kind, label ORDER BY accession = '', CAST(evalue AS DOUBLE), tier, accession) AS ra FROM le
   WINDOW w AS (PARTITION BY query, source, kind, label ORDER BY CAST(evalue AS DOUBLE), tier, accession, coverage))
 SELECT query AS protein_id, source, max(CASE WHEN r = 1 THEN tier END) AS tier, kind, label, '' AS sub_label, max(CASE WHEN ra = 1 AND accession <> '' THEN accession END) AS accession,
-  max(CASE WHEN r = 1 THEN evalue END) AS evidence_evalue, CASE source WHEN 'pfam' THEN 'Pfam-A' WHEN 'swissprot' THEN 'Swiss-Prot' ELSE 'PHROGs' END AS database,
+  max(CASE WHEN r = 1 THEN evalue END) AS evidence_evalue, max(CASE WHEN r = 1 THEN coverage END) AS evidence_coverage, CASE source WHEN 'pfam' THEN 'Pfam-A' WHEN 'swissprot' THEN 'Swiss-Prot' ELSE 'PHROGs' END AS database,
   CASE source WHEN 'pfam' THEN '37' WHEN 'swissprot' THEN '2026' ELSE '4' END AS database_version, CAST(NULL AS VARCHAR) AS via_representative FROM b GROUP BY query, source, kind, label""")
 def merge_labels(t: Tables):
     rows = _label_entries(t).withColumnsRenamed({"query": "protein_id", "evalue": "evidence_evalue", "coverage": "evidence_coverage"})
     rel = {"pfam": ("Pfam-A", "37"), "swissprot": ("Swiss-Prot", "2026"), "pharokka": ("PHROGs", "4")}
-    return L.merge_labels(rows, rel).drop("evidence_coverage")
+    return L.merge_labels(rows, rel)
 
 
 @query("labels_by_type", f"""WITH {OCC}, {_LABELS}, v AS (SELECT DISTINCT seq_id, split_part(term, ':', 1) AS ty, source || ':' || label AS v FROM term WHERE term IS NOT NULL)
