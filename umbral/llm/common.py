@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from umbral.session import ensure_checkpoint_dir
+
 #: Text bytes that a Python worker works on at a time; a longer single text makes a slice of its own.
 SLICE_BYTES = 6 << 20
 
@@ -67,3 +70,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def list_array(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def materialise(df: DataFrame) -> tuple[DataFrame, str]:
+    """(``df`` written once under the session's checkpoint folder and read back, its path).
+
+    Like a checkpoint it survives lost executors and cuts the lineage; later readers prune columns.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path

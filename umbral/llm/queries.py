@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from umbral.llm.labelled import in_fold
+from umbral.llm.mixing import mix, mix_sql
 from umbral.llm.quality import quality_scores
 from umbral.llm.toxicity import toxicity_scores
 
@@ -35,3 +36,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), in_fold(4, 2))
+
+
+@register("op4_source_mix", mix_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
