@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from umbral.llm.labelled import in_fold
+from umbral.llm.linecrf import fit_lines, judge
 from umbral.llm.mixing import mix, mix_sql
 from umbral.llm.quality import quality_scores
 from umbral.llm.toxicity import toxicity_scores
@@ -41,3 +42,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_source_mix", mix_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
+
+
+@register("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return judge(docs, fit_lines(docs, table(spark, sf_dir, "labels")))
