@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from umbral.llm.labelled import in_fold
 from umbral.llm.linecrf import fit_lines, judge
 from umbral.llm.mixing import mix, mix_sql
+from umbral.llm.pii import detect, fit_pii
 from umbral.llm.quality import quality_scores
 from umbral.llm.toxicity import toxicity_scores
 
@@ -48,3 +49,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge(docs, fit_lines(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op3_pii")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return detect(docs, fit_pii(docs))
