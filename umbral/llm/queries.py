@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from umbral.llm.labelled import in_fold
 from umbral.llm.linecrf import fit_lines, judge
 from umbral.llm.mixing import mix, mix_sql
+from umbral.llm.packing import PackSpec, pack
 from umbral.llm.pii import detect, fit_pii
 from umbral.llm.quality import quality_scores
 from umbral.llm.toxicity import toxicity_scores
@@ -55,3 +57,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return detect(docs, fit_pii(docs))
+
+
+@register("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), PackSpec(public_tokenizers.path("word_bpe_49k.json")))

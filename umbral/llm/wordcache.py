@@ -55,16 +55,16 @@ class WordEncoder:
 
     def _fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(lengths, ids) of words; those whose borders the ids themselves show are encoded many to a text."""
+        column = pa.array(words, pa.string())
         if self.mode == "leading":
             # a word starts with its space, and only its first id holds a space
-            plain = np.fromiter((w[:1] == " " and len(w) > 1 and not any(x in w for x in self.special) for w in words), bool, len(words))
+            plain = np.asarray(pc.starts_with(column, " "), bool) & (np.asarray(pc.binary_length(column)) > 1)
             pieces = np.ones(len(words), np.int64)
         else:
-            column = pa.array(words, pa.string())
             plain = np.asarray(pc.match_substring_regex(column, _PLAIN), bool)
-            for x in self.special:
-                plain &= ~np.asarray(pc.match_substring(column, x), bool)
             pieces = np.asarray(pc.count_substring_regex(column, _PRETOKEN), np.int64)
+        for x in self.special:
+            plain &= ~np.asarray(pc.match_substring(column, x), bool)
         lengths, chunks, order = np.zeros(len(words), np.int64), [], []
         many = np.flatnonzero(plain)
         for i in range(0, len(many), 400):
