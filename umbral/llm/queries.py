@@ -13,6 +13,7 @@ from umbral.llm.mixing import mix, mix_sql
 from umbral.llm.packing import PackSpec, pack
 from umbral.llm.pii import detect, fit_pii
 from umbral.llm.quality import quality_scores
+from umbral.llm.repair import RepairSpec, token_files
 from umbral.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), PackSpec(public_tokenizers.path("word_bpe_49k.json")))
+
+
+@register("op9_token_files")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), RepairSpec(public_tokenizers.path("byte_bpe_50k.json")))
