@@ -72,6 +72,12 @@ def list_array(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
+def hashed_share(df: DataFrame, n: int, total: int, *key: str) -> DataFrame:
+    """About ``n`` of the ``total`` rows of ``df``, the same ones on every run: those whose key hashes low."""
+    share = min(1.0, n / max(total, 1))
+    return df.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def materialise(df: DataFrame) -> tuple[DataFrame, str]:
     """(``df`` written once under the session's checkpoint folder and read back, its path).
 

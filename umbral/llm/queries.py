@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from umbral.llm.labelled import in_fold
 from umbral.llm.linecrf import fit_lines, judge
 from umbral.llm.mixing import mix, mix_sql
+from umbral.llm.neighbours import search
 from umbral.llm.packing import PackSpec, pack
 from umbral.llm.pii import detect, fit_pii
 from umbral.llm.quality import quality_scores
@@ -68,3 +70,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_token_files")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), RepairSpec(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register("op7_nearest_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
