@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbral.llm.common import doc_frame, slices
+from umbral.llm.common import doc_frame, hashed_share, slices
 
 #: Kinds in the order in which spans at the same start are listed; label 0 is "none of them".
 KINDS = ("email", "ip", "card", "phone")
@@ -49,7 +49,7 @@ _DOT = re.compile(r"[(\[{]dot[)\]}]", re.I)
 
 @dataclass(frozen=True)
 class PiiSpec:
-    sample: int = 1500         # documents that the field is fitted on
+    sample: int = 4000         # documents among which the field is fitted
     max_chars: int = 20_000    # longer texts are not fitted on; all are searched whole
     epochs: int = 60
     rounds: int = 6            # message passing
@@ -246,9 +246,9 @@ def infer(g: Graph, field: Field, spec: PiiSpec) -> np.ndarray:
 
 
 def fit_pii(docs: DataFrame, spec: PiiSpec = PiiSpec()) -> Field:
-    """A field fitted on at most ``sample`` documents that hold a digit or an at sign."""
-    base = doc_frame(docs).filter((F.length("text") <= spec.max_chars) & F.col("text").rlike("[0-9@]"))
-    rows = base.select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "text").limit(spec.sample).select("text")
+    """A field fitted on those of about ``sample`` documents that hold a digit or an at sign."""
+    rows = hashed_share(doc_frame(docs), spec.sample, docs.count(), "doc_id")
+    rows = rows.filter((F.length("text") <= spec.max_chars) & F.col("text").rlike("[0-9@]")).select("text").limit(2 * spec.sample)
     texts = sorted(r["text"] for r in rows.collect())
     return fit_field([graph(texts, [base_spans(t) for t in texts])] if texts else [], spec)
 
