@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from umbral.llm.jaccard import near_duplicates
 from umbral.llm.labelled import in_fold
 from umbral.llm.linecrf import fit_lines, judge
 from umbral.llm.mixing import mix, mix_sql
@@ -75,3 +76,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_nearest_neighbours")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@register("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
