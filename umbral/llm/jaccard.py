@@ -354,3 +354,15 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
     delete_path(spark, met_path)
     delete_path(spark, sets_path)
     return out
+
+
+def one_of_each(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, one row per doc_id (the smallest text).
+
+    Rows without an id stay, as nothing links them.
+    """
+    found = near_duplicates(docs, spec)
+    keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.struct(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")]))
+    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").withColumn("_first", F.row_number().over(first)).filter("_first = 1")
+    return named.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))

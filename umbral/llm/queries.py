@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from umbral.llm.attribution import CountSpec, section_counts
 from umbral.llm.jaccard import near_duplicates
 from umbral.llm.labelled import in_fold
 from umbral.llm.linecrf import fit_lines, judge
@@ -81,3 +82,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_counts(table(spark, sf_dir, "documents"), CountSpec(public_tokenizers.path("byte_bpe_50k.json")))
