@@ -17,6 +17,9 @@ from umbral.session import ensure_checkpoint_dir
 SLICE_BYTES = 6 << 20
 
 
+_MULT, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
 def doc_frame(docs: DataFrame, *columns: str) -> DataFrame:
     """doc_id and text (null: empty) of ``docs``, with the further ``columns`` named."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *columns)
@@ -72,6 +75,30 @@ def list_array(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
+def repeated_words(code: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+    """Per text, the words inside ``width``-word windows that occur twice or more in that text."""
+    n = len(code)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    start = np.flatnonzero(np.arange(n) + width <= offsets[1:][text]) if n else np.zeros(0, np.int64)
+    if not len(start):
+        return np.zeros(len(offsets) - 1, np.int64)
+    mixed = (code.astype(np.uint64) + np.uint64(1)) * _MULT
+    mixed ^= mixed >> np.uint64(32)
+    h = text[start].astype(np.uint64) * _SALT
+    for k in range(width):
+        h = (h ^ mixed[start + k]) * _MULT
+        h ^= h >> np.uint64(29)
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:]] |= same
+    twice[order[:-1]] |= same
+    edge = np.zeros(n + 1, np.int64)
+    edge[start[twice]] += 1
+    np.add.at(edge, start[twice] + width, -1)
+    return segment_sum((np.cumsum(edge[:-1]) > 0).astype(np.int64), offsets)
+
+
 def hashed_share(df: DataFrame, n: int, total: int, *key: str) -> DataFrame:
     """About ``n`` of the ``total`` rows of ``df``, the same ones on every run: those whose key hashes low."""
     share = min(1.0, n / max(total, 1))

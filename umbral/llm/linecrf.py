@@ -26,11 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umbral.llm.common import doc_frame, segment_sum, slices, split_words
+from umbral.llm.common import doc_frame, repeated_words, segment_sum, slices, split_words
 from umbral.llm.labelled import training_sample
 
 CONTENT, BOILERPLATE = 0, 1
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass(frozen=True)
@@ -221,30 +220,6 @@ def fit_lines(docs: DataFrame, labels: DataFrame, held_out: Column | None = None
     return train_chain(chains, y, spec) if len(set(y.tolist())) == 2 else untrained()
 
 
-def repeated_words(code: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
-    """Per text, the words inside ``width``-word windows that occur twice or more in that text."""
-    n = len(code)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    start = np.flatnonzero(np.arange(n) + width <= offsets[1:][text]) if n else np.zeros(0, np.int64)
-    if not len(start):
-        return np.zeros(len(offsets) - 1, np.int64)
-    mixed = (code.astype(np.uint64) + np.uint64(1)) * _A
-    mixed ^= mixed >> np.uint64(32)
-    h = text[start].astype(np.uint64) * _B
-    for k in range(width):
-        h = (h ^ mixed[start + k]) * _A
-        h ^= h >> np.uint64(29)
-    order = np.argsort(h, kind="stable")
-    same = h[order[1:]] == h[order[:-1]]
-    twice = np.zeros(len(h), bool)
-    twice[order[1:]] |= same
-    twice[order[:-1]] |= same
-    edge = np.zeros(n + 1, np.int64)
-    edge[start[twice]] += 1
-    np.add.at(edge, start[twice] + width, -1)
-    return segment_sum((np.cumsum(edge[:-1]) > 0).astype(np.int64), offsets)
-
-
 def judge(docs: DataFrame, model: ChainModel, spec: LineSpec = LineSpec()) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, content_words, base_failed, kept) per row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

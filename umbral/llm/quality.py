@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings averaged per document.
 
-Every word and every character n-gram of it has a learned vector in a hashed table. A document is
-the mean of the vectors of all its features, a softmax over that mean gives the class, and vectors
+Every word and every character n-gram of it has a learned vector in a hashed table, and so has the
+fact that a word stands in an n-gram of words which the text has already used: a hashed word n-gram whose
+hash is that of "seen before". A document is the mean of the vectors of all its features, a softmax over that mean gives the class, and vectors
 and softmax are trained together by stochastic gradient descent in numpy on a bounded sample.
 
 Because the output is linear in the mean, a fitted model scores through one number per bucket: the
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umbral.llm.common import doc_frame, segment_sum, slices
+from umbral.llm.common import doc_frame, repeated_words, segment_sum, slices
 from umbral.llm.labelled import training_sample
 from umbral.llm.subword import coded_words, platt, sigmoid
 
@@ -36,6 +37,8 @@ class QualitySpec:
     rate: float = 8.0
     per_class: int = 1500     # documents of each class in the training sample
     max_chars: int = 20_000   # longer texts are not trained on; all texts are scored whole
+    repeat_window: int = 5    # words of an n-gram that counts as seen before
+    repeat_mass: int = 10     # features that one word in such an n-gram counts as
     threshold: float = 0.3
     seed: int = 11
 
@@ -58,6 +61,9 @@ def _bags(spec: QualitySpec):
                 flat = np.concatenate([feats.ids[feats.starts[w]:feats.starts[w + 1]] for w in word]) if len(word) else np.zeros(0, np.int32)
                 bucket, at = np.unique(flat, return_inverse=True)
                 mass = np.bincount(at, weights=np.repeat(n, feats.count[word]), minlength=len(bucket)) if len(word) else np.zeros(0)
+                seen = spec.repeat_mass * repeated_words(index[a:b], np.array([0, b - a]), spec.repeat_window)[0]
+                if seen:
+                    bucket, mass = np.append(bucket, 1 << spec.bits), np.append(mass, seen)
                 ids.append(bucket.astype(np.int32).tobytes())
                 shares.append((mass / max(mass.sum(), 1)).astype(np.float32).tobytes())
             yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("y").cast(pa.int32()), pa.array(ids, pa.binary()),
@@ -68,7 +74,7 @@ def _bags(spec: QualitySpec):
 def train_average(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, spec: QualitySpec) -> LinearModel:
     """Joint descent on vectors and softmax, one document at a time, the rate falling linearly."""
     rng = np.random.default_rng(spec.seed)
-    vectors = rng.uniform(-1 / spec.dim, 1 / spec.dim, (1 << spec.bits, spec.dim)).astype(np.float32)
+    vectors = rng.uniform(-1 / spec.dim, 1 / spec.dim, ((1 << spec.bits) + 1, spec.dim)).astype(np.float32)
     out = np.zeros((2, spec.dim), np.float32)
     out[1, :spec.dim // 2], out[0, spec.dim // 2:] = 0.1, 0.1
     bias = np.zeros(2, np.float32)
@@ -97,7 +103,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out: Column, spec: Qual
                 label: str = "quality") -> LinearModel:
     """The model fitted on the bounded sample, its logits set to the class shares of all labels."""
     sample, counts = training_sample(docs, labels, label, held_out, spec.per_class, spec.max_chars)
-    flat = LinearModel(np.zeros(1 << spec.bits, np.float32), float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))))
+    flat = LinearModel(np.zeros((1 << spec.bits) + 1, np.float32), float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))))
     if len(counts) < 2:
         return flat
     rows = sorted(sample.mapInArrow(_bags(spec), "doc_id long, y int, ids binary, shares binary").collect(), key=lambda r: r["doc_id"])
@@ -122,6 +128,8 @@ def score_quality(docs: DataFrame, model: LinearModel, spec: QualitySpec = Quali
             offsets, index, feats = coded_words(batch.column("text"), spec.bits)
             total = segment_sum(feats.word_sums(table)[index], offsets)
             count = segment_sum(feats.count[index], offsets)
+            seen = spec.repeat_mass * repeated_words(index, offsets, spec.repeat_window)
+            total, count = total + seen * float(table[-1]), count + seen
             score = sigmoid(total / np.maximum(count, 1) + intercept)
             yield pa.record_batch([batch.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
