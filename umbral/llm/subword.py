@@ -65,20 +65,22 @@ def sigmoid(x):
 
 
 def platt(logit: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """(slope, intercept) of a logistic fit of labels on logits, by damped Newton steps."""
-    a, b = 1.0, 0.0
+    """(slope, intercept) of a logistic fit of labels on logits, by Newton steps with halving."""
     n1, n0 = label.sum(), (1 - label).sum()
     if not n1 or not n0:
         return 1.0, 0.0
     soft = np.where(label == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.stack([logit, np.ones_like(logit)], 1)
+    loss = lambda w: float(np.sum(np.logaddexp(0, x @ w) - soft * (x @ w)))
+    w = np.array([0.0, np.log(n1 / n0)])
     for _ in range(rounds):
-        p = sigmoid(a * logit + b)
-        g = x.T @ (p - soft)
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        size = np.abs(step).max()
-        a, b = a - step[0] * min(1, 5 / size), b - step[1] * min(1, 5 / size)
-        if size < 1e-7:
+        p = sigmoid(x @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2), x.T @ (p - soft))
+        size, before = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * step) > before:
+            size /= 2
+        w = w - size * step
+        if before - loss(w) < 1e-10 * max(1.0, before):
             break
+    a, b = w
     return float(a), float(b)

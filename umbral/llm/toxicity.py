@@ -34,9 +34,10 @@ class ToxicitySpec:
     warm_epochs: int = 2
     epochs: int = 10
     rate: float = 0.6
-    decay: float = 1e-4       # shrinking of the vectors that a step touches
+    decay: float = 1e-3       # shrinking of the vectors that a step touches
     per_class: int = 1200     # documents of each class in the training sample
     max_chars: int = 12_000   # longer texts are not trained on; all texts are scored whole
+    spare: int = 4            # one sample document in so many is for the calibration
     threshold: float = 0.3
     seed: int = 5
 
@@ -144,12 +145,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, spec: Tox
         return flat
     texts = [tuple(np.frombuffer(r[c], np.int32) for c in ("words", "starts", "ids")) for r in rows]
     del rows
-    table, intercept = train_bags(texts, y, spec)
+    # one document in ``spare`` is kept from training, for a calibration on texts the vectors have not seen
+    aside = np.arange(len(y)) % spec.spare == spec.spare - 1
+    if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
+        aside[:] = False
+    fit = np.flatnonzero(~aside)
+    table, intercept = train_bags([texts[i] for i in fit], y[fit], spec)
     top = np.array([top_bag(w, np.add.reduceat(table[ids].astype(np.float64), st[:-1]), np.diff(st), np.array([0, len(w)]), spec.window, 0.0)[0]
                     if len(w) else np.nan for w, st, ids in texts])
     ok = ~np.isnan(top)
-    slope, shift = platt(top[ok], y[ok])
-    prior = np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))
+    check = ok & aside if len(set(y[ok & aside].tolist())) == 2 else ok
+    slope, shift = platt(top[check], y[check])
+    share = y[check].mean()
+    prior = np.log(counts[1] / counts[0]) - np.log(share / (1 - share)) if 0 < share < 1 else 0.0
     return BagModel(table, intercept, slope, float(shift + prior), float(top[ok].min()))
 
 
