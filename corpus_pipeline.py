@@ -13,6 +13,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from umbral.llm.common import ship_package
 from umbral.llm.jaccard import one_of_each
 from umbral.llm.linecrf import fit_lines, kept_documents
 from umbral.llm.mixing import mixed_documents
@@ -23,26 +24,31 @@ from umbral.session import ensure_checkpoint_dir
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the line field keep."""
+    ship_package(spark)
     return kept_documents(docs, fit_lines(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    ship_package(spark)
     return one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data masked."""
+    ship_package(spark)
     return masked_documents(docs, fit_pii(docs))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
+    ship_package(spark)
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document stands in the token sequences."""
+    ship_package(spark)
     return pack(docs, PackSpec(public_tokenizers.path("word_bpe_49k.json")))
 
 

@@ -364,5 +364,6 @@ def one_of_each(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataFrame
     found = near_duplicates(docs, spec)
     keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.struct(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")]))
-    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").withColumn("_first", F.row_number().over(first)).filter("_first = 1")
+    at = "_first" + "_" * max(map(len, docs.columns))       # a name that no column has
+    named = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").withColumn(at, F.row_number().over(first)).filter(F.col(at) == 1)
     return named.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from umbral.llm.attribution import CountSpec, section_counts
+from umbral.llm.common import ship_package
 from umbral.llm.jaccard import near_duplicates
 from umbral.llm.labelled import in_fold
 from umbral.llm.linecrf import fit_lines, judge
@@ -30,7 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def register(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = query
         if sql is not None:
             ORACLES[name] = sql
         return fn
