@@ -138,7 +138,7 @@ def frequent_shingles(frame: DataFrame, spec: JaccardSpec) -> tuple[np.ndarray,
 
 
 def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
-    """(doc_id, n, cls, vec, cells): size, class, point and cells of the set of every row."""
+    """(doc_id, n, cls, cells): size, class and cells of the set of every row."""
     shared = frame.sparkSession.sparkContext.broadcast(frequent_shingles(frame, spec))
 
     def run(batches):
@@ -159,13 +159,12 @@ def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
             keep = n - -(-spec.percent * n // 100) + 1
             keep = np.where(n > 0, keep, 0)
             first = order[(np.arange(len(h)) - offsets[:-1][row]) < keep[row]] if len(h) else order
-            cell = (mixed[first] >> np.uint64(24)).astype(np.uint32).view(np.int32)
-            vec = count_vectors(offsets, h, spec.groups)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(class_of(offsets, h)), pa.array([v.tobytes() for v in vec], pa.binary()),
-                                   list_array(np.concatenate([[0], np.cumsum(keep)]), cell, pa.int32())], names=["doc_id", "n", "cls", "vec", "cells"])
+            cell = (mixed[first] >> np.uint64(16)).view(np.int64)
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(class_of(offsets, h)),
+                                   list_array(np.concatenate([[0], np.cumsum(keep)]), cell, pa.int64())], names=["doc_id", "n", "cls", "cells"])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(run, f"doc_id {kind}, n long, cls long, vec binary, cells array<int>")
+    return frame.mapInArrow(run, f"doc_id {kind}, n long, cls long, cells array<long>")
 
 
 class Boxes:
@@ -308,13 +307,15 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
     frame = doc_frame(docs)
     rows, rows_path = materialise(points(frame, spec))
     linked = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = linked.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("cells").alias("cells"))
-    cells = classes.select(F.explode("cells").alias("cell"), "cls", "rep", "n")
+    # a cell's rows carry the class alone; what else is known of it joins the few rows whose cell is shared
+    cells = linked.groupBy("cls").agg(F.first("cells").alias("cells")).select(F.explode("cells").alias("cell"), "cls")
     in_cell = Window.partitionBy("cell")
-    met, met_path = materialise(cells.withColumn("_n", F.count(F.lit(1)).over(in_cell)).filter("_n > 1"))
+    shared = cells.withColumn("_n", F.count(F.lit(1)).over(in_cell)).filter("_n > 1")
+    met, met_path = materialise(shared.join(linked.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "cls"))
     # sets and points of the classes that meet another one
     meeting = met.select("cls", "rep").distinct()
-    source = frame.filter(F.col("doc_id").isNotNull()).join(meeting.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    source = (frame.filter(F.col("doc_id").isNotNull()).join(meeting.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+              .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")))     # a row that repeats counts once
 
     def sets_of(batches):
         for batch in slices(batches):
@@ -323,7 +324,7 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
             yield pa.record_batch([pa.array(class_of(offsets, h)), pa.array([v.tobytes() for v in vec], pa.binary()), list_array(offsets, h.view(np.int64), pa.int64())],
                                   names=["cls", "vec", "h"])
 
-    sets, sets_path = materialise(source.mapInArrow(sets_of, "cls long, vec binary, h array<long>").dropDuplicates(["cls"]))
+    sets, sets_path = materialise(source.mapInArrow(sets_of, "cls long, vec binary, h array<long>"))
     # rows of one doc_id are one document
     edges = (linked.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.collect_set("cls").alias("all")).filter("a <> z")
              .select("a", F.explode("all").alias("b")).filter("a <> b"))
@@ -341,6 +342,7 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
                      .join(comp.select(F.col("cls").alias("b"), F.col("comp").alias("_cb")), "b").filter("_ca <> _cb").select("a", "b"))
         edges, _ = materialise(edges.unionByName(similar(pairs, sets, spec)))
         comp, _ = materialise(connected_components(meeting.select("cls"), edges, "cls", component="comp"))
+    comp = meeting.select("cls", F.col("cls").alias("comp")) if comp is None else comp
     apart = met.join(comp, "cls").withColumn("_low", F.min("comp").over(in_cell)).withColumn("_high", F.max("comp").over(in_cell)).filter("_low <> _high")
     apart = apart.select("cell", "_n", "cls", "n", "comp").join(sets.select("cls", "vec"), "cls")
     more = similar(cell_candidates(apart, spec), sets, spec)
