@@ -183,6 +183,34 @@ def test_communities_split_cliques(spark):
     assert got[99] == 2 and {got[i] for i in range(5)} == {0} and {got[i] for i in range(10, 15)} == {1}
 
 
+def test_communities_end_on_two_nodes_that_swap(spark):
+    c = G.communities(spark.createDataFrame([(1,), (2,), (3,), (4,)], "node_id int"), spark.createDataFrame([(1, 2, 1e-3), (3, 4, 1e-3)], "source int, target int, evalue double"))
+    assert {r.node_id: r.community_id for r in c.collect()} == {1: 0, 2: 0, 3: 1, 4: 1}
+
+
+def test_equal_texts_are_linked_to_their_head(spark):
+    text = "".join("acgt"[(i * i + i // 7) % 4] for i in range(900))
+    got = Y.minhash_edges(spark.createDataFrame([(1, text), (2, text), (3, text)], "id int, s string"), "id", "s").collect()
+    assert {(r.a, r.b, r.jaccard, r.distance) for r in got} == {(1, 2, 1.0, 0.0), (1, 3, 1.0, 0.0)}
+
+
+@pytest.mark.parametrize("finish", [0, 5, 50_000])
+def test_chains_cluster_like_the_greedy_walk(spark, finish):
+    n = 12 if finish == 0 else 200
+    ent = spark.createDataFrame([(i, 1000 - i) for i in range(n)], "seq_id int, length int")
+    pairs = spark.createDataFrame([(i + 1, i, 99.0, 99.0, 99.0) for i in range(n - 1)], "query int, target int, pident double, qcov double, scov double")
+    if finish == 5:
+        pairs = pairs.filter("query % 9 <> 0")      # short chains settle in rounds, the rest is walked
+    got = {r.member: r.representative for r in Y.cluster_representatives(pairs, ent, finish=finish).collect()}
+    reps, want = set(), {}
+    for i in range(n):
+        linked = i > 0 and not (finish == 5 and i % 9 == 0)
+        want[i] = i - 1 if linked and i - 1 in reps else i
+        if want[i] == i:
+            reps.add(i)
+    assert got == want
+
+
 def test_brightness_is_null_when_unmeasured(spark):
     ann = spark.createDataFrame([("a", "FUNCTIONAL", "NOT_MEASURED", None), ("b", "NOT_SEARCHED", None, None), ("c", "NONE", "NONE", 0.0)],
                                 "seq_id string, functional_class string, annot_completeness string, explained_fraction double")

@@ -71,30 +71,33 @@ def node_brightness(annotation: DataFrame, members: DataFrame, node: str = "node
     return members.select(node, entity).join(annotation, entity, "left").groupBy(node).agg(F.max(bright).alias("brightness"))
 
 
-def communities(nodes: DataFrame, edges: DataFrame, node: str = "node_id", rounds: int = 10,
-                weight: Column | None = None) -> DataFrame:
-    """(node, community_id): synchronous weighted label propagation.
-
-    Every round a node takes the label with the largest summed edge weight, ties to the
-    smallest label; its own label competes with half the weight of its lightest edge's
-    average so that two-node swaps settle. Labels are numbered by (size desc, smallest member).
-    Deterministic, and not bit-equal to an asynchronous order-dependent propagation.
+def communities(nodes: DataFrame, edges: DataFrame, node: str = "node_id", weight: Column | None = None) -> DataFrame:
+    """(node, community_id): synchronous weighted label propagation, to its end.
+
+    Every round each node takes the label with the largest summed edge weight among its neighbours,
+    ties to the smallest label; a node without edges keeps its own. As edges weigh the same in both
+    directions, the labels end at a fixed point or alternate between two states: the rounds stop
+    when a state equals the one before the last, and a node's label is the smaller of the two.
+    Should the states repeat after a longer cycle, that is detected and raised, never cut short.
+    Labels are numbered by (size desc, smallest member).
     """
     w = edge_weight("evalue") if weight is None else weight
     half = edges.select(F.col("source").alias("u"), F.col("target").alias("v"), w.alias("w"))
     adj = cut(half.unionByName(half.select(F.col("v").alias("u"), F.col("u").alias("v"), "w")))
-    own = adj.groupBy("u").agg((F.avg("w") * 0.5).alias("w"))
-    lab = cut(nodes.select(F.col(node).alias("u"), F.col(node).alias("l")).distinct())
-    for _ in range(rounds):
-        heard = adj.join(lab.select(F.col("u").alias("v"), "l"), "v").select("u", "l", "w")
-        kept = own.join(lab, "u").select("u", "l", "w")
-        vote = heard.unionByName(kept).groupBy("u", "l").agg(F.round(F.sum("w"), 9).alias("s"))
+    lab = cut(nodes.select(F.col(node).alias("u"), F.col(node).alias("l"), F.lit(None).cast(nodes.schema[node].dataType).alias("p")).distinct())
+    seen: set = set()
+    while True:
+        vote = adj.join(lab.select(F.col("u").alias("v"), "l"), "v").groupBy("u", "l").agg(F.round(F.sum("w"), 9).alias("s"))
         best = vote.groupBy("u").agg(F.min_by("l", F.struct((-F.col("s")).alias("a"), F.col("l").alias("b"))).alias("n"))
-        nxt = cut(lab.join(best, "u", "left").select("u", F.coalesce("n", "l").alias("n"), "l"))
-        moved = nxt.filter("n <> l").limit(1).count()
-        lab = nxt.select("u", F.col("n").alias("l"))
+        nxt = cut(lab.join(best, "u", "left").select("u", F.coalesce("n", "l").alias("n"), "l", "p"))
+        moved, state = nxt.agg(F.count_if(~F.col("n").eqNullSafe(F.col("p"))), F.sum(F.xxhash64("u", "n", "l").cast("decimal(38,0)"))).first()
         if not moved:
             break
+        if state in seen:
+            raise RuntimeError("the labels repeat after more than two rounds")
+        seen.add(state)
+        lab = nxt.select("u", F.col("n").alias("l"), F.col("l").alias("p"))
+    lab = nxt.select("u", F.least("n", "l").alias("l"))
     sizes = lab.groupBy("l").agg(F.count(F.lit(1)).alias("s"), F.min("u").alias("m"))
     order = number_globally(sizes, [F.desc("s"), F.asc("m")], "community_id")
     return lab.join(order.select("l", "community_id"), "l").select(F.col("u").alias(node), "community_id")

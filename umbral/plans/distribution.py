@@ -245,11 +245,6 @@ def rarefaction_ranked(t: Tables):
     return U.rarefaction_sampled(*_axis_found(t), order=key)
 
 
-@query("rarefaction_sampled")
-def rarefaction_sampled(t: Tables):
-    return U.rarefaction_sampled(*_axis_found(t), seed=20260916)
-
-
 @query("stratified_sample", """SELECT c_custkey, c_mktsegment, c_nationkey, turn FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY md5('7:' || c_custkey), c_custkey) AS turn FROM customer)
 ORDER BY turn, c_mktsegment, c_nationkey LIMIT 100""")
 def stratified_sample(t: Tables):

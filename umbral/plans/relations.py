@@ -368,14 +368,23 @@ def degree_counts(t: Tables):
     return U.value_counts(U.value_counts(ends, "node_id", "degree"), "degree")
 
 
-@query("community_sizes")
+_COMM = f"""{_NET}, nw AS (SELECT source, target, CASE WHEN evalue > 0 THEN -log10(evalue) ELSE 300.0 END AS w FROM ne), adj AS (SELECT source AS u, target AS v, w FROM nw UNION ALL SELECT target, source, w FROM nw),
+ st AS (SELECT 0 AS i, u, u AS l, CAST(NULL AS VARCHAR) AS p FROM (SELECT DISTINCT u FROM adj)
+   UNION ALL SELECT i + 1, u, n, l FROM (SELECT st.i, st.u, st.l, st.p, b.n, count(*) FILTER (b.n IS DISTINCT FROM st.p) OVER () AS moved FROM st JOIN (
+     SELECT u, l AS n FROM (SELECT adj.u, x.l, round(sum(w), 9) AS s FROM adj JOIN st x ON x.u = adj.v GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY u ORDER BY s DESC, l) = 1) b ON b.u = st.u) WHERE moved > 0),
+ fin AS (SELECT u, CASE WHEN p IS NULL THEN l ELSE least(l, p) END AS l FROM st WHERE i = (SELECT max(i) FROM st)),
+ num AS (SELECT l, row_number() OVER (ORDER BY count(*) DESC, min(u)) - 1 AS community_id FROM fin GROUP BY 1),
+ comm AS (SELECT u AS node_id, community_id FROM fin JOIN num USING (l))"""
+
+
+@query("community_sizes", f"WITH RECURSIVE {_COMM} SELECT size, count(*) AS n_communities FROM (SELECT count(*) AS size FROM comm GROUP BY community_id) GROUP BY 1")
 def community_sizes(t: Tables):
     return U.community_sizes(communities(t))
 
 
-@query("communities")
+@query("communities", f"WITH RECURSIVE {_COMM} SELECT * FROM comm")
 def communities(t: Tables):
-    e = _net_edges(t)
+    e = cut(_net_edges(t))
     n = e.select(F.col("source").alias("node_id")).unionByName(e.select(F.col("target").alias("node_id"))).distinct()
     return G.communities(n, e)
 
@@ -410,7 +419,8 @@ def lineage_min_id(t: Tables):
 
 
 @query("minhash_pairs", f"""WITH {_LINK}, sig AS (SELECT doc_id, CAST(s AS VARCHAR) AS g FROM arr), heads AS (SELECT min(doc_id) AS doc_id FROM sig GROUP BY g)
-SELECT a, b, shared, compared, round(shared / compared, 6) AS jaccard, round(d, 6) AS distance FROM near WHERE a IN (SELECT doc_id FROM heads) AND b IN (SELECT doc_id FROM heads)""")
+SELECT a, b, shared, compared, round(shared / compared, 6) AS jaccard, round(d, 6) AS distance FROM near WHERE (a IN (SELECT doc_id FROM heads) AND b IN (SELECT doc_id FROM heads))
+  OR (SELECT g FROM sig WHERE doc_id = b) = (SELECT g FROM sig WHERE doc_id = a) AND a IN (SELECT doc_id FROM heads)""")
 def minhash_pairs(t: Tables):
     return Y.minhash_edges(t.documents.select("doc_id", "text"), "doc_id", "text", _SPEC, Y.portable_hash).drop("p_value")
 
@@ -427,7 +437,7 @@ def _search_sql(queries: str, references: str, k: int) -> str:
 @query("similarity_search", f"""WITH {_search_sql("SELECT -1 - item_id AS id, text FROM benchmark", "SELECT doc_id AS id, text FROM documents", 12)} SELECT *, row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) AS rank FROM sim WHERE pident >= 60 AND qcov >= 70
 QUALIFY row_number() OVER (PARTITION BY query ORDER BY shared DESC, target) <= 25""")
 def similarity_search(t: Tables):
-    return Y.similarity_search(t.benchmark.select((-1 - F.col("item_id")).alias("id"), "text"), t.documents, "id", "doc_id")
+    return Y.similarity_search(t.benchmark.select((-1 - F.col("item_id")).alias("id"), "text"), t.documents, "id", "doc_id", top_k=25)
 
 
 @query("representatives", f"""WITH RECURSIVE {_search_sql("SELECT doc_id AS id, text FROM documents", "SELECT doc_id AS id, text FROM documents", 21)}, ent AS (SELECT doc_id AS id, length(text) AS len FROM documents), o AS (SELECT id, row_number() OVER (ORDER BY len DESC, id) AS pos FROM ent),

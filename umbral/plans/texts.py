@@ -33,11 +33,6 @@ def parse_titles(t: Tables):
     return t.part.select("p_partkey", T.parse_title(title).alias("x")).select("p_partkey", "x.*")
 
 
-@query("parse_url", r"""SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS accession, regexp_extract(url, '//([^/]+)', 1) AS host FROM pages""")
-def parse_url(t: Tables):
-    return t.pages.select("page_id", F.regexp_extract("url", r"^([a-z]+)://", 1).alias("accession"), F.regexp_extract("url", r"//([^/]+)", 1).alias("host"))
-
-
 def _headers(t: Tables):
     """The same parts written in each source's header grammar."""
     k, n, ty, sz = _txt("p_partkey"), F.col("p_name"), F.col("p_type"), _txt("p_size")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running an "
                                "iterative operator on a cluster")
         configured = tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp")
@@ -44,11 +45,11 @@ def cut(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores, for work that is heavy per row.
 
-    A table read from few files would otherwise keep most of the cluster idle. Inputs that are
-    already spread wide enough are returned as they are, without a shuffle.
+    A table read from few files would otherwise keep most of the cluster idle. Inputs of at least as
+    many files are returned as they are, without a shuffle; only the file list is looked at.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want) if len(df.inputFiles()) < want else df
 
 
 def local_session(cpus: int | str = 8, app: str = "umbral") -> SparkSession:

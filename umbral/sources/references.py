@@ -70,7 +70,7 @@ def oritdb(h: Column) -> tuple[Column, Column]:
     role = _fail("header starts with no role", h, "string")
     for k, v in ORIT_ROLES.items():
         role = F.when(prefix == k, F.lit(v)).otherwise(role)
-    own = F.slice(t, 2, 1_000_000)
+    own = F.slice(t, F.lit(2), F.greatest(F.size(t), F.lit(1)))
     at = F.array_position(F.transform(own, lambda x: x.startswith("id=")), True).cast("int")
     before = F.when(at > 0, at - 1).otherwise(F.size(own))
     family = F.when(before > 2, F.try_element_at(own, before)).otherwise("")
