@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -128,8 +129,12 @@ def materialise(df: DataFrame) -> tuple[DataFrame, str]:
     """(``df`` written once under the session's checkpoint folder and read back, its path).
 
     Like a checkpoint it survives lost executors and cuts the lineage; later readers prune columns.
+    Spark drops a finished query's shuffle files when the driver collects its garbage, which it may
+    not do for long; it is asked to, so that the files of one step are gone while the next one runs.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path), path

@@ -295,6 +295,9 @@ def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
 
 def similar(pairs: DataFrame, sets: DataFrame, spec: JaccardSpec) -> DataFrame:
     """Those (a, b) of ``pairs`` whose sets (cls, h) are similar enough: the exact check."""
+    pairs, _ = materialise(pairs)        # its size is known from here on: a small one is sent to the sets, not the sets to it
+    named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    sets = sets.select("cls", "h").join(named, "cls", "left_semi")
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("h").alias("_ha")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("h").alias("_hb")), "b"))
     shared = F.size(F.array_intersect("_ha", "_hb"))
