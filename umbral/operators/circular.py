@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from umbral.session import cut
+
 
 def resolve_twins(calls: DataFrame, record: str = "plasmid_id", call: str = "call_id", start: str = "start",
                   end: str = "end", strand: str = "strand", partial: str = "partial", length: str = "length",
@@ -21,6 +23,7 @@ def resolve_twins(calls: DataFrame, record: str = "plasmid_id", call: str = "cal
     margin = F.least(s - 1, F.col(extended) - e)
     base = calls.select(record, call, F.col(start).alias("s"), F.col(end).alias("e"), F.col(strand).alias("st"),
                         (F.col(partial).cast("int") != 0).alias("p"), L.alias("L"), margin.alias("mg"))
+    base = cut(base)
     bins = lambda a, b: F.explode(F.sequence(F.floor(a / bin_width), F.floor(b / bin_width)))
     first = lambda a1, a2: F.floor(F.greatest(a1, a2) / bin_width) == F.col("_bin")
     b = (base.filter("e > L").select(record, F.col(call).alias("jb"), (F.col("s") - F.col("L")).alias("bs"),
@@ -35,7 +38,7 @@ def resolve_twins(calls: DataFrame, record: str = "plasmid_id", call: str = "cal
         F.struct(F.col(call).alias("c"), (lost == F.col(call)).cast("int").alias("d")),
         F.struct(F.col("jb").alias("c"), (lost == F.col("jb")).cast("int").alias("d")))).alias("x"))
         .groupBy(record, F.col("x.c").alias(call)).agg(F.max("x.d").alias("_drop")))
-    m = base.join(fate, [record, call], "left")
+    m = cut(base.join(fate, [record, call], "left"))
     lone = F.col("_drop").isNull()
     alive = m.filter((F.coalesce("_drop", F.lit(0)) == 0) & ~(lone & F.col("p")))
     in_copy = alive.filter(lone & (F.col("s") > F.col("L")))

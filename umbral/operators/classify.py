@@ -11,6 +11,7 @@ from umbral.functions import fixed as X
 from umbral.functions.predicates import (artefact_reasons, as_evalue, completeness_band, is_domain_named,
                                          is_informative, reasons, significance_gate)
 from umbral.operators.coverage import covered_fraction, merged_length
+from umbral.session import cut
 from umbral.specs import Thresholds, TierSpec
 
 
@@ -63,7 +64,7 @@ def summarise_hits(admitted: DataFrame, key: str = "seq_id", tie: Sequence[str]
         F.bool_and(F.when(inf, is_domain_named("label"))).alias("_domain"),
         F.bool_or(inf & ~F.col("spanned")).alias("_family"),
         F.bool_or(~inf & F.col("spanned")).alias("_dark_span"),
-        F.count_distinct(F.when(~inf, F.col("tier_idx"))).alias("n_dark_databases"),
+        F.bit_count(F.coalesce(F.bit_or(F.when(~inf, F.expr("shiftleft(1L, tier_idx)"))), F.lit(0).cast("long"))).alias("n_dark_databases"),
         F.min(F.when(~inf, rung)).alias("_rung"))
 
 
@@ -135,6 +136,7 @@ def resolve_annotation(own: DataFrame, selection: DataFrame, transferred: DataFr
     ``own`` is :func:`classify` with the label lists joined on. ``selection`` holds (key, role,
     search_representative). ``transferred`` holds (key, transfer_class, transfer_label).
     """
+    own = cut(own)      # read by the rows of its own and by those that copy from it
     artefacts = selection.filter("role = 'artefact_antifam'").select(key)
     ps = (transferred.filter("transfer_class = 'ANNOTATED'").join(artefacts, key, "left_anti")
           .select(key, F.lit("plasmidscope").alias("annot_source"), F.lit("PS").alias("annot_tier"),
@@ -233,12 +235,15 @@ def best_hit(hits: DataFrame, key: str, order: Sequence[str], fields: Sequence[s
 
 def expand_to_items(items: DataFrame, annotation: DataFrame, flags: DataFrame | None = None,
                     key: str = "seq_id") -> DataFrame:
-    """Entity annotation over every item. On a name collision the item's column wins."""
+    """Entity annotation over every item. On a name collision the item's column wins.
+
+    Annotation and flags have one row per entity: they are joined to each other first, so the items
+    meet one side in one join, which adaptive execution can split where an entity is hot.
+    """
     side = annotation.drop(*[c for c in annotation.columns if c in items.columns and c != key])
-    out = items.join(side, key, "left")
     if flags is not None:
-        out = out.join(flags.drop(*[c for c in flags.columns if c in out.columns and c != key]), key, "left")
-    return out
+        side = side.join(flags.drop(*[c for c in flags.columns if c in items.columns + side.columns and c != key]), key, "full")
+    return items.join(side, key, "left")
 
 
 def working_subset(entities: DataFrame, named: DataFrame, resolved: DataFrame,

@@ -266,19 +266,19 @@ def working_subset(t: Tables):
 @query("orthology_union", """
 SELECT p.p_partkey AS seq_id, CASE WHEN p_brand = 'Brand#1' THEN p_type WHEN s.k IS NOT NULL THEN 'L' || s.k ELSE '' END AS cog_category,
   CASE WHEN p_brand = 'Brand#1' THEN 'plasmidscope' WHEN s.k IS NOT NULL THEN 'emapper' ELSE '' END AS orthology_source
-FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS k FROM lineitem WHERE l_quantity = 50 GROUP BY 1) s ON s.l_partkey = p_partkey""")
+FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS k FROM lineitem GROUP BY 1) s ON s.l_partkey = p_partkey""")
 def orthology_union(t: Tables):
     named = t.part.select(F.col("p_partkey").alias("seq_id"))
     transferred = t.part.filter("p_brand = 'Brand#1'").select(F.col("p_partkey").alias("seq_id"), F.col("p_type").alias("cog_category"))
-    searched = t.lineitem.filter("l_quantity = 50").groupBy(F.col("l_partkey").alias("seq_id")).agg(
+    searched = t.lineitem.groupBy(F.col("l_partkey").alias("seq_id")).agg(
         F.concat(F.lit("L"), F.min("l_suppkey").cast("string")).alias("cog_category"))
     return C.orthology_union(named, transferred, searched, ["cog_category"])
 
 
 @query("set_agreement", """SELECT count(*) FILTER (p_partkey IS NOT NULL AND k IS NOT NULL) AS n_both, count(*) FILTER (k IS NULL) AS n_left_only,
-  count(*) FILTER (p_partkey IS NULL) AS n_right_only FROM part FULL OUTER JOIN (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 48) ON k = p_partkey""")
+  count(*) FILTER (p_partkey IS NULL) AS n_right_only FROM part FULL OUTER JOIN (SELECT DISTINCT l_partkey AS k FROM lineitem) ON k = p_partkey""")
 def set_agreement(t: Tables):
-    return checks.set_agreement(t.part.select(F.col("p_partkey").alias("k")), t.lineitem.filter("l_quantity > 48").select(F.col("l_partkey").alias("k")), "k")
+    return checks.set_agreement(t.part.select(F.col("p_partkey").alias("k")), t.lineitem.select(F.col("l_partkey").alias("k")), "k")
 
 
 @query("drift_check", """SELECT CAST(1000 AS DOUBLE) AS declared, count(*) AS actual, round(abs(1000 - count(*)) / count(*), 6) AS drift,

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from umbral.session import cut
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,7 +26,13 @@ class Tables:
     """``t.lineitem`` is the parquet table of that name under the data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir, self._made = spark, sf_dir, {}
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """``build()`` written as a table the first time this query asks for ``name``, and read by all later uses."""
+        if name not in self._made:
+            self._made[name] = cut(build())
+        return self._made[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")

@@ -20,6 +20,10 @@ _MEM = """mem AS (
 
 
 def members(t: Tables):
+    return t.once("members", lambda: _members(t))
+
+
+def _members(t: Tables):
     o = occ(t).select("seq_id", "family_id", "close_id").distinct()
     rep = lambda c, name: o.join(o.groupBy(c).agg(F.min("seq_id").alias("representative")), c).select(
         "seq_id", F.lit(name).alias("resolution"), "representative")
@@ -27,14 +31,22 @@ def members(t: Tables):
 
 
 def classes(t: Tables):
+    return t.once("classes", lambda: _classes(t))
+
+
+def _classes(t: Tables):
     k = F.col("k")
     return occ(t).select("seq_id", F.when(k % 7 == 0, "NOT_SEARCHED").otherwise(F.col("functional_class")).alias("functional_class"),
                          ((k % 7 != 0) & (k % 3 != 0) & (F.col("t") != 4)).alias("dark")).distinct()
 
 
+def reach(t: Tables):
+    return t.once("reach", lambda: M.entity_reach(occ(t), F.col("small")))
+
+
 def families(t: Tables):
     c = classes(t)
-    return M.protein_families(members(t), M.entity_reach(occ(t), F.col("small")), c.select("seq_id", "functional_class"), c.filter("dark"))
+    return M.protein_families(members(t), reach(t), c.select("seq_id", "functional_class"), c.filter("dark"))
 
 
 _FAM = f"""{OCC}, {_MEM}, fam AS (
@@ -67,7 +79,7 @@ _DARK = f"""{_FAM}, darkfam AS (
 
 def dark(t: Tables):
     o, c = occ(t), classes(t)
-    return M.dark_families(families(t), members(t), M.entity_reach(o, F.col("small")), c.filter("dark"), o.select("seq_id", "plasmid_id"),
+    return M.dark_families(t.once("families", lambda: families(t)), members(t), reach(t), c.filter("dark"), o.select("seq_id", "plasmid_id"),
                            o.select("plasmid_id", "mob_cluster").distinct(), "intermediate")
 
 
@@ -79,7 +91,7 @@ def dark_families(t: Tables):
 @query("dark_members", f"""WITH {_DARK} SELECT darkfam.family_id, mem.seq_id, CAST(on_small AS INTEGER) AS on_small FROM darkfam JOIN mem ON darkfam.family_id = 'intermediate:' || mem.representative AND mem.resolution = 'intermediate'
   JOIN cls USING (seq_id) JOIN reach USING (seq_id) WHERE dark""")
 def dark_members(t: Tables):
-    return M.dark_members(dark(t), members(t), M.entity_reach(occ(t), F.col("small")), classes(t).filter("dark"), "intermediate")
+    return M.dark_members(dark(t), members(t), reach(t), classes(t).filter("dark"), "intermediate")
 
 
 # Records are users; nations give hosts (a region is a genus), part of them unnamed.
@@ -91,6 +103,10 @@ _REG = """reg AS (
 
 
 def registry(t: Tables):
+    return t.once("registry", lambda: _registry(t))
+
+
+def _registry(t: Tables):
     u = F.col("plasmid_id")
     return (occ(t).select("plasmid_id", "mob_cluster").distinct().join(t.customer, u == F.col("c_custkey"))
             .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))

@@ -143,21 +143,21 @@ def record_registry(t: Tables):
 
 @query("record_class", """SELECT o_orderkey AS plasmid_id, coalesce(min_cls, 'pMOBless') AS class FROM orders LEFT JOIN (
   SELECT l_orderkey, CASE min(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'R' THEN 1 ELSE 2 END) WHEN 0 THEN 'pCONJ' WHEN 1 THEN 'pdCONJ' ELSE 'pMOB' END AS min_cls
-  FROM lineitem WHERE l_quantity > 40 GROUP BY 1) ON l_orderkey = o_orderkey""")
+  FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def record_class(t: Tables):
     r = F.col("l_returnflag")
-    s = t.lineitem.filter("l_quantity > 40").select(F.col("l_orderkey").alias("plasmid_id"),
+    s = t.lineitem.select(F.col("l_orderkey").alias("plasmid_id"),
                                                    F.when(r == "A", "Plasmids/T4SS_typeF").when(r == "R", "dCONJ_typeG").otherwise("MOB").alias("system"))
     return R.record_class(t.orders.select(F.col("o_orderkey").alias("plasmid_id")), s)
 
 
-@query("record_flag", """WITH v AS (SELECT l_orderkey, string_agg(DISTINCT l_orderkey || '|provirus_' || l_linenumber, ',' ORDER BY l_orderkey || '|provirus_' || l_linenumber) AS genomad_virus FROM lineitem WHERE l_quantity = 50 GROUP BY 1),
+@query("record_flag", """WITH v AS (SELECT l_orderkey, string_agg(DISTINCT l_orderkey || '|provirus_' || l_linenumber, ',' ORDER BY l_orderkey || '|provirus_' || l_linenumber) AS genomad_virus FROM lineitem GROUP BY 1),
  h AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_discount = 0.1 AND l_tax = 0.08 GROUP BY 1)
 SELECT CAST(o_orderkey AS VARCHAR) AS plasmid_id, coalesce(genomad_virus, '') AS genomad_virus, coalesce(n, 0) AS n_virus_hallmarks, CAST(genomad_virus IS NOT NULL OR coalesce(n, 0) >= 1 AS INTEGER) AS phage_plasmid
 FROM orders LEFT JOIN v ON v.l_orderkey = o_orderkey LEFT JOIN h ON h.l_orderkey = o_orderkey""")
 def record_flag(t: Tables):
     o = F.col("l_orderkey").cast("string")
-    calls = S.virus_calls(t.lineitem.filter("l_quantity = 50").select(F.concat(o, F.lit("|provirus_"), F.col("l_linenumber").cast("string")).alias("seq_name")))
+    calls = S.virus_calls(t.lineitem.select(F.concat(o, F.lit("|provirus_"), F.col("l_linenumber").cast("string")).alias("seq_name")))
     genes = t.lineitem.select(F.concat_ws("_", o, F.col("l_linenumber").cast("string")).alias("gene"),
                               ((F.col("l_discount") == 0.1) & (F.col("l_tax") == 0.08)).cast("int").alias("virus_hallmark"))
     return R.record_flag(t.orders.select(F.col("o_orderkey").cast("string").alias("plasmid_id")), calls, S.hallmark_counts(genes))
@@ -297,10 +297,10 @@ def labels_from_orthology(t: Tables):
 
 
 @query("stage_status", """SELECT s_name AS source, CASE WHEN s_nationkey % 5 = 0 THEN 'NOT_RUN' WHEN n IS NULL THEN 'NO_HIT' ELSE 'SUCCESS' END AS status, CASE WHEN s_nationkey % 5 <> 0 THEN 'v' || s_nationkey END AS version,
-  CASE WHEN s_nationkey % 5 <> 0 THEN coalesce(n, 0) END AS n_entities FROM supplier LEFT JOIN (SELECT l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem WHERE l_quantity = 50 AND l_tax = 0 GROUP BY 1) ON l_suppkey = s_suppkey""")
+  CASE WHEN s_nationkey % 5 <> 0 THEN coalesce(n, 0) END AS n_entities FROM supplier LEFT JOIN (SELECT l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey""")
 def stage_status(t: Tables):
     exp = t.supplier.select(F.col("s_suppkey"), F.col("s_name").alias("source"), F.concat(F.lit("v"), F.col("s_nationkey").cast("string")).alias("version"), (F.col("s_nationkey") % 5 != 0).alias("ran"))
-    found = t.lineitem.filter("l_quantity = 50 AND l_tax = 0").join(exp.select(F.col("s_suppkey").alias("l_suppkey"), "source"), "l_suppkey").select("source", F.col("l_partkey").alias("seq_id"))
+    found = t.lineitem.join(exp.select(F.col("s_suppkey").alias("l_suppkey"), "source"), "l_suppkey").select("source", F.col("l_partkey").alias("seq_id"))
     return L.stage_status(found, exp)
 
 

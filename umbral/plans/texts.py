@@ -138,10 +138,10 @@ def emapper_records(t: Tables):
     return e.select("query", "cog_category", F.array_join("kegg_pathways", "|").alias("kegg_pathways"), "preferred_name", F.array_join("pfams", "|").alias("pfams"))
 
 
-@query("number_elements", f"""WITH {OCC} SELECT plasmid_id, plasmid_id || '|IS' || row_number() OVER (PARTITION BY plasmid_id ORDER BY orf_id) AS is_id, 'F' || k AS family, start, CAST(k % 2 = 0 AS INTEGER) AS complete, CASE WHEN k % 3 = 0 THEN '' ELSE 'AC:GT' END AS tir FROM occ WHERE t = 1""")
+@query("number_elements", f"""WITH {OCC} SELECT plasmid_id, plasmid_id || '|IS' || row_number() OVER (PARTITION BY plasmid_id ORDER BY orf_id) AS is_id, 'F' || k AS family, start, CAST(k % 2 = 0 AS INTEGER) AS complete, CASE WHEN k % 3 = 0 THEN '' ELSE 'AC:GT' END AS tir FROM occ""")
 def number_elements(t: Tables):
     k = F.col("k")
-    raw = occ(t).filter("t = 1").select(F.col("plasmid_id").alias("seqID"), F.concat(F.lit("F"), k.cast("string")).alias("family"), F.lit("c1").alias("cluster"), F.col("start").alias("isBegin"), F.col("end").alias("isEnd"),
+    raw = occ(t).select(F.col("plasmid_id").alias("seqID"), F.concat(F.lit("F"), k.cast("string")).alias("family"), F.lit("c1").alias("cluster"), F.col("start").alias("isBegin"), F.col("end").alias("isEnd"),
                                         F.lit("").alias("strand"), F.when(k % 2 == 0, "c").otherwise("p").alias("type"), F.lit("1e-5").alias("E-value"), F.when(k % 3 == 0, "-:-").otherwise("AC:GT").alias("tir"), "orf_id")
     return S.number_elements(raw, ["orf_id"]).select("plasmid_id", "is_id", "family", F.col("start").cast("bigint").alias("start"), "complete", "tir")
 
@@ -303,7 +303,7 @@ def pairwise_rates(t: Tables):
     return _rates(t)
 
 
-@query("consensus_label", """WITH h AS (SELECT l_partkey AS family_id, CASE WHEN l_linenumber <= 3 THEN 'DUF' || l_suppkey ELSE 'Fam' || l_suppkey END AS label, CAST(round(l_discount * 100) AS INTEGER) || 'e-4' AS evalue FROM lineitem WHERE l_quantity > 48
+@query("consensus_label", """WITH h AS (SELECT l_partkey AS family_id, CASE WHEN l_linenumber <= 3 THEN 'DUF' || l_suppkey ELSE 'Fam' || l_suppkey END AS label, CAST(round(l_discount * 100) AS INTEGER) || 'e-4' AS evalue FROM lineitem
    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY CAST(CAST(round(l_discount * 100) AS INTEGER) || 'e-4' AS DOUBLE), CASE WHEN l_linenumber <= 3 THEN 'DUF' || l_suppkey ELSE 'Fam' || l_suppkey END) = 1)
 SELECT p_partkey AS family_id, CASE WHEN p_size > 10 THEN 'SUCCESS' ELSE 'NOT_RUN' END AS consensus_status, CASE WHEN p_size > 10 THEN CAST(label IS NOT NULL AS INTEGER) END AS consensus_hit,
   CASE WHEN p_size > 10 THEN coalesce(label, '') END AS consensus_label, CASE WHEN p_size > 10 THEN evalue END AS consensus_ievalue, CASE WHEN p_size > 10 THEN CAST(coalesce(label, 'DUF') LIKE 'DUF%' AS INTEGER) END AS collectively_novel
@@ -311,6 +311,6 @@ FROM part LEFT JOIN h ON h.family_id = p_partkey""")
 def consensus_label(t: Tables):
     fam = t.part.select(F.col("p_partkey").alias("family_id"), "p_size")
     s = _txt("l_suppkey")
-    h = t.lineitem.filter("l_quantity > 48").select(F.col("l_partkey").alias("family_id"), F.when(F.col("l_linenumber") <= 3, F.concat(F.lit("DUF"), s)).otherwise(F.concat(F.lit("Fam"), s)).alias("label"),
+    h = t.lineitem.select(F.col("l_partkey").alias("family_id"), F.when(F.col("l_linenumber") <= 3, F.concat(F.lit("DUF"), s)).otherwise(F.concat(F.lit("Fam"), s)).alias("label"),
                                                    F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("e-4")).alias("evalue"))
     return A.consensus_label(fam.select("family_id"), fam.filter("p_size > 10").select("family_id"), h)
