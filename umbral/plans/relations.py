@@ -319,6 +319,21 @@ def _net_edges(t: Tables):
     return G.top_k_edges(h)
 
 
+def _comm(nodes: str) -> str:
+    """Weighted label propagation over ``ne`` from the node ids in ``nodes`` (u), to its fixed point or two-round cycle."""
+    return f"""nw AS (SELECT source, target, CASE WHEN evalue > 0 THEN -log10(evalue) ELSE 300.0 END AS w FROM ne),
+ adj AS (SELECT source AS u, target AS v, w FROM nw UNION ALL SELECT target, source, w FROM nw),
+ st AS (SELECT 0 AS i, u, u AS l, CAST(NULL AS VARCHAR) AS p FROM ({nodes})
+   UNION ALL SELECT i + 1, u, n, l FROM (SELECT st.i, st.u, st.l, st.p, coalesce(b.n, st.l) AS n, count(*) FILTER (coalesce(b.n, st.l) IS DISTINCT FROM st.p) OVER () AS moved FROM st LEFT JOIN (
+     SELECT u, l AS n FROM (SELECT adj.u, x.l, round(sum(w), 9) AS s FROM adj JOIN st x ON x.u = adj.v GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY u ORDER BY s DESC, l) = 1) b ON b.u = st.u) WHERE moved > 0),
+ fin AS (SELECT u, CASE WHEN p IS NULL THEN l ELSE least(l, p) END AS l FROM st WHERE i = (SELECT max(i) FROM st)),
+ num AS (SELECT l, row_number() OVER (ORDER BY count(*) DESC, min(u)) - 1 AS community_id FROM fin GROUP BY 1),
+ comm AS (SELECT u AS node_id, community_id FROM fin JOIN num USING (l))"""
+
+
+_ENDS = "SELECT source AS u FROM ne UNION SELECT target FROM ne"
+
+
 @query("top_k_edges", f"WITH {_NET} SELECT source, target, evalue, CASE WHEN evalue > 0 THEN round(-log10(evalue), 3) ELSE 300.0 END AS weight FROM ne")
 def top_k_edges(t: Tables):
     return _net_edges(t).withColumn("weight", F.round(G.edge_weight("evalue"), 3))
@@ -332,7 +347,8 @@ _NODE = f"""{CLASSIFY}, {_NET}, nm AS (SELECT 'n' || p_partkey % 400 AS node_id,
   LEFT JOIN (SELECT node_id, max(CASE WHEN functional_class = 'FUNCTIONAL' AND annot_completeness = 'NOT_MEASURED' THEN 1.0 ELSE explained_fraction END) AS br FROM nm JOIN annotation USING (seq_id) GROUP BY 1) b USING (node_id)
   LEFT JOIN (SELECT node_id, arg_min(annot_label, (-c, annot_label)) AS label FROM (SELECT node_id, annot_label, count(*) AS c FROM nm JOIN annotation USING (seq_id)
      WHERE functional_class IN ('FUNCTIONAL', 'DOMAIN_ONLY') GROUP BY 1, 2) GROUP BY 1) l USING (node_id)
-  LEFT JOIN (SELECT node_id, count(*) AS degree FROM (SELECT source AS node_id FROM ne UNION ALL SELECT target FROM ne) GROUP BY 1) d USING (node_id))"""
+  LEFT JOIN (SELECT node_id, count(*) AS degree FROM (SELECT source AS node_id FROM ne UNION ALL SELECT target FROM ne) GROUP BY 1) d USING (node_id)),
+ {_comm("SELECT DISTINCT node_id AS u FROM nm UNION " + _ENDS)}"""
 
 
 def _nodes(t: Tables, edges):
@@ -341,21 +357,22 @@ def _nodes(t: Tables, edges):
     reach = t.lineitem.groupBy(F.col("l_partkey").alias("seq_id")).agg(F.count(F.lit(1)).alias("n_copies"))
     rec = t.lineitem.select(F.col("l_partkey").alias("seq_id"), F.col("l_orderkey").alias("plasmid_id"))
     dk = ann.filter(F.col("functional_class").isin("NONE", "UNCHARACTERIZED_HOMOLOG")).select("seq_id")
-    return G.network_nodes(mem, reach, rec, ann, dk, edges, spec=NetworkSpec(dark_brightness=0.3))
+    ids = mem.select("node_id").unionByName(edges.select(F.col("source").alias("node_id"))).unionByName(edges.select(F.col("target").alias("node_id"))).distinct()
+    return G.network_nodes(mem, reach, rec, ann, dk, edges, G.communities(ids, edges), NetworkSpec(dark_brightness=0.3))
 
 
-@query("network_nodes", f"WITH {_NODE} SELECT * FROM nodes")
+@query("network_nodes", f"WITH RECURSIVE {_NODE} SELECT nodes.*, community_id FROM nodes LEFT JOIN comm USING (node_id)")
 def network_nodes(t: Tables):
-    return _nodes(t, _net_edges(t))
+    return _nodes(t, cut(_net_edges(t)))
 
 
-@query("network_summary", f"""WITH {_NODE}, adj AS (SELECT source AS x, target AS y FROM ne UNION ALL SELECT target, source FROM ne),
- br AS (SELECT x AS node_id, max(CASE WHEN dark = 0 THEN 1 ELSE 0 END) AS b FROM adj JOIN nodes ON nodes.node_id = y GROUP BY 1),
+@query("network_summary", f"""WITH RECURSIVE {_NODE}, adj2 AS (SELECT source AS x, target AS y FROM ne UNION ALL SELECT target, source FROM ne),
+ br AS (SELECT x AS node_id, max(CASE WHEN dark = 0 THEN 1 ELSE 0 END) AS b FROM adj2 JOIN nodes ON nodes.node_id = y GROUP BY 1),
  a AS (SELECT count(*) AS nodes, count(*) FILTER (dark IS NULL) AS nm, count(*) FILTER (dark = 1) AS dn, count(*) FILTER (dark = 1 AND degree > 0) AS dc, count(*) FILTER (dark = 1 AND degree > 0 AND b = 1) AS db,
    count(*) FILTER (n_members = 1 AND dark_fraction = 1) AS sg, count(*) FILTER (n_members = 1 AND dark_fraction = 1 AND degree > 0) AS sge FROM nodes LEFT JOIN br USING (node_id))
 SELECT metric, CAST(value AS DOUBLE) AS value FROM (SELECT unnest(['nodes', 'nodes_not_measured', 'dark_nodes', 'dark_nodes_connected', 'dark_connected_to_bright', 'dark_family_singletons', 'dark_family_singletons_with_edge', 'edges',
-   'share_dark_nodes_connected', 'share_dark_connected_to_bright', 'min_cov_either_protein', 'max_evalue', 'max_out_edges', 'dark_brightness']) AS metric,
-  unnest([nodes, nm, dn, dc, db, sg, sge, (SELECT count(*) FROM ne), round(dc / nullif(dn, 0), 4), round(db / nullif(dc, 0), 4), 0.5, 1e-4, 4, 0.3]::DOUBLE[]) AS value FROM a)""")
+   'share_dark_nodes_connected', 'share_dark_connected_to_bright', 'min_cov_either_protein', 'max_evalue', 'max_out_edges', 'dark_brightness', 'communities_2plus']) AS metric,
+  unnest([nodes, nm, dn, dc, db, sg, sge, (SELECT count(*) FROM ne), round(dc / nullif(dn, 0), 4), round(db / nullif(dc, 0), 4), 0.5, 1e-4, 4, 0.3, (SELECT count(*) FROM (SELECT count(*) AS k FROM nodes JOIN comm USING (node_id) GROUP BY community_id) WHERE k >= 2)]::DOUBLE[]) AS value FROM a)""")
 def network_summary(t: Tables):
     e = cut(_net_edges(t))
     return G.network_summary(cut(_nodes(t, e)), e, NetworkSpec(dark_brightness=0.3))
@@ -368,21 +385,12 @@ def degree_counts(t: Tables):
     return U.value_counts(U.value_counts(ends, "node_id", "degree"), "degree")
 
 
-_COMM = f"""{_NET}, nw AS (SELECT source, target, CASE WHEN evalue > 0 THEN -log10(evalue) ELSE 300.0 END AS w FROM ne), adj AS (SELECT source AS u, target AS v, w FROM nw UNION ALL SELECT target, source, w FROM nw),
- st AS (SELECT 0 AS i, u, u AS l, CAST(NULL AS VARCHAR) AS p FROM (SELECT DISTINCT u FROM adj)
-   UNION ALL SELECT i + 1, u, n, l FROM (SELECT st.i, st.u, st.l, st.p, b.n, count(*) FILTER (b.n IS DISTINCT FROM st.p) OVER () AS moved FROM st JOIN (
-     SELECT u, l AS n FROM (SELECT adj.u, x.l, round(sum(w), 9) AS s FROM adj JOIN st x ON x.u = adj.v GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY u ORDER BY s DESC, l) = 1) b ON b.u = st.u) WHERE moved > 0),
- fin AS (SELECT u, CASE WHEN p IS NULL THEN l ELSE least(l, p) END AS l FROM st WHERE i = (SELECT max(i) FROM st)),
- num AS (SELECT l, row_number() OVER (ORDER BY count(*) DESC, min(u)) - 1 AS community_id FROM fin GROUP BY 1),
- comm AS (SELECT u AS node_id, community_id FROM fin JOIN num USING (l))"""
-
-
-@query("community_sizes", f"WITH RECURSIVE {_COMM} SELECT size, count(*) AS n_communities FROM (SELECT count(*) AS size FROM comm GROUP BY community_id) GROUP BY 1")
+@query("community_sizes", f"WITH RECURSIVE {_NET}, {_comm(_ENDS)} SELECT size, count(*) AS n_communities FROM (SELECT count(*) AS size FROM comm GROUP BY community_id) GROUP BY 1")
 def community_sizes(t: Tables):
     return U.community_sizes(communities(t))
 
 
-@query("communities", f"WITH RECURSIVE {_COMM} SELECT * FROM comm")
+@query("communities", f"WITH RECURSIVE {_NET}, {_comm(_ENDS)} SELECT * FROM comm")
 def communities(t: Tables):
     e = cut(_net_edges(t))
     n = e.select(F.col("source").alias("node_id")).unionByName(e.select(F.col("target").alias("node_id"))).distinct()
