@@ -41,7 +41,7 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 class JaccardSpec:
     width: int = 5                # words of a shingle
     percent: int = 80             # 100 * intersection >= percent * union
-    groups: int = 64              # coordinates of a point
+    groups: int = 256             # coordinates of a point
     leaf: int = 16                # points, or boxes, that make a box
     block: int = 2048             # points of a cell that one task compares with as many others
     common: int = 1 << 19         # shingles ordered by their counts, at most; all others come first
@@ -95,7 +95,20 @@ def count_vectors(offsets: np.ndarray, h: np.ndarray, groups: int) -> np.ndarray
     """The point of every set: its shingles per group."""
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     cell = row * groups + ((h * _B) >> np.uint64(40)).astype(np.int64) % groups
-    return np.minimum(np.bincount(cell, minlength=(len(offsets) - 1) * groups), 65535).astype(np.uint16).reshape(-1, groups)
+    return np.bincount(cell, minlength=(len(offsets) - 1) * groups).reshape(-1, groups)
+
+
+def pack_vectors(vec: np.ndarray) -> pa.Array:
+    """Points as bytes, in the narrowest width that holds their counts."""
+    top = vec.max(axis=1, initial=0)
+    return pa.array([v.astype("<u1" if t < 256 else "<u2" if t < 65536 else "<u4").tobytes() for v, t in zip(vec, top.tolist())], pa.binary())
+
+
+def unpack_vectors(column, groups: int) -> np.ndarray:
+    cells = column.to_pylist()
+    if all(len(c) == groups for c in cells):
+        return np.frombuffer(b"".join(cells), np.uint8).reshape(-1, groups)
+    return np.stack([np.frombuffer(c, f"<u{len(c) // groups}").astype(np.uint32) for c in cells])
 
 
 def frequent_shingles(frame: DataFrame, spec: JaccardSpec) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +151,7 @@ def frequent_shingles(frame: DataFrame, spec: JaccardSpec) -> tuple[np.ndarray,
 
 
 def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
-    """(doc_id, n, cls, cells): size, class and cells of the set of every row."""
+    """(doc_id, n, cls, vec, cells): size, class, point and cells of the set of every row."""
     shared = frame.sparkSession.sparkContext.broadcast(frequent_shingles(frame, spec))
 
     def run(batches):
@@ -160,11 +173,11 @@ def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
             keep = np.where(n > 0, keep, 0)
             first = order[(np.arange(len(h)) - offsets[:-1][row]) < keep[row]] if len(h) else order
             cell = (mixed[first] >> np.uint64(16)).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(class_of(offsets, h)),
-                                   list_array(np.concatenate([[0], np.cumsum(keep)]), cell, pa.int64())], names=["doc_id", "n", "cls", "cells"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(class_of(offsets, h)), pack_vectors(count_vectors(offsets, h, spec.groups)),
+                                   list_array(np.concatenate([[0], np.cumsum(keep)]), cell, pa.int64())], names=["doc_id", "n", "cls", "vec", "cells"])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(run, f"doc_id {kind}, n long, cls long, cells array<long>")
+    return frame.mapInArrow(run, f"doc_id {kind}, n long, cls long, vec binary, cells array<long>")
 
 
 class Boxes:
@@ -176,7 +189,7 @@ class Boxes:
         place = np.empty(len(n), np.int64)
         place[slab] = np.arange(len(n)) // (leaf * leaf)
         self.order = np.lexsort((vec[:, spread], place))
-        v, s, c = vec[self.order].astype(np.int32), n[self.order], comp[self.order]
+        v, s, c = vec[self.order], n[self.order], comp[self.order]
         self.levels = [(v, s, s, c, np.ones(len(c), bool))]
         while len(self.levels[-1][1]) > leaf:
             upper, low, high, comp, one = self.levels[-1]
@@ -195,7 +208,7 @@ def _may_link(a, b, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     keep = []
     for at in range(0, len(out), 1 << 14):
         x, y = i[out[at:at + (1 << 14)]], j[out[at:at + (1 << 14)]]
-        shared = np.minimum(upper_a[x], upper_b[y]).sum(axis=1)
+        shared = np.minimum(upper_a[x], upper_b[y]).sum(axis=1, dtype=np.int64)
         keep.append((100 + percent) * shared >= percent * (low_a[x] + low_b[y]))
     ok[out] = np.concatenate(keep) if keep else False
     return ok
@@ -233,11 +246,26 @@ def small_cells(edge: np.ndarray, vec: np.ndarray, n: np.ndarray, comp: np.ndarr
     left = np.repeat(edge[1:], size) - 1 - np.arange(edge[-1])      # later rows of the cell
     i = np.repeat(np.arange(edge[-1]), left)
     j = i + 1 + (np.arange(len(i)) - np.repeat(np.cumsum(left) - left, left))
-    level = (vec.astype(np.int32), n, n, comp, np.ones(len(n), bool))
+    level = (vec, n, n, comp, np.ones(len(n), bool))
     ok = _may_link(level, level, i, j, spec.percent)
     return i[ok], j[ok]
 
 
+def bounded(pairs: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
+    """Those (a, b) of ``pairs`` that the bound on their points leaves; info: (cls, n, vec)."""
+    side = lambda c: info.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("vec").alias(f"v{c}"))
+
+    def run(batches):
+        for batch in batches:
+            va, vb = unpack_vectors(batch.column("va"), spec.groups), unpack_vectors(batch.column("vb"), spec.groups)
+            na, nb = np.asarray(batch.column("na"), np.int64), np.asarray(batch.column("nb"), np.int64)
+            at, apart = np.arange(len(na)), np.zeros(len(na), bool)
+            ok = _may_link((va, na, na, at, apart), (vb, nb, nb, at, apart), at, at, spec.percent)
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+
+
 def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
     """(a, b): pairs of classes of different components that share a cell and survive its R-tree.
 
@@ -255,7 +283,7 @@ def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
         key = np.stack([np.asarray(t.column(c).combine_chunks(), np.int64) for c in ("cell", "_i", "_j")])
         edge = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [len(t)]])
         cls, n, comp, own = (np.asarray(t.column(c).combine_chunks(), np.int64) for c in ("cls", "n", "comp", "_own"))
-        vec = np.frombuffer(b"".join(t.column("vec").to_pylist()), np.uint16).reshape(-1, spec.groups)
+        vec = unpack_vectors(t.column("vec"), spec.groups)
         size = np.diff(edge)
         few = np.flatnonzero((size > 1) & (size <= spec.leaf))
         out = []
@@ -293,72 +321,71 @@ def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
 
 
-def similar(pairs: DataFrame, sets: DataFrame, spec: JaccardSpec) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose sets (cls, h) are similar enough: the exact check."""
-    pairs, _ = materialise(pairs)        # its size is known from here on: a small one is sent to the sets, not the sets to it
+def similar(pairs: DataFrame, frame: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
+    """Those (a, b) of ``pairs`` whose sets are similar enough: the exact check, written as a table.
+
+    The sets of the classes that the pairs name are made from the texts of their representatives.
+    """
+    spark = frame.sparkSession
+    pairs, pairs_path = materialise(pairs)
     named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    sets = sets.select("cls", "h").join(named, "cls", "left_semi")
+    ids = info.join(named, "cls", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    source = (frame.filter(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
+              .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")))     # a row that repeats counts once
+
+    def sets_of(batches):
+        for batch in slices(batches):
+            offsets, h = shingle_sets(batch.column("text"), spec.width)
+            yield pa.record_batch([pa.array(class_of(offsets, h)), list_array(offsets, h.view(np.int64), pa.int64())], names=["cls", "h"])
+
+    sets, sets_path = materialise(source.mapInArrow(sets_of, "cls long, h array<long>"))
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("h").alias("_ha")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("h").alias("_hb")), "b"))
     shared = F.size(F.array_intersect("_ha", "_hb"))
-    return both.filter((100 + spec.percent) * shared >= spec.percent * (F.size("_ha") + F.size("_hb"))).select("a", "b")
+    found, _ = materialise(both.filter((100 + spec.percent) * shared >= spec.percent * (F.size("_ha") + F.size("_hb"))).select("a", "b"))
+    delete_path(spark, pairs_path)
+    delete_path(spark, sets_path)
+    return found
 
 
 def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest doc_id that links lead to."""
     spark = docs.sparkSession
     frame = doc_frame(docs)
-    rows, rows_path = materialise(points(frame, spec))
+    rows, _ = materialise(points(frame, spec))
     linked = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    # a cell's rows carry the class alone; what else is known of it joins the few rows whose cell is shared
+    info, info_path = materialise(linked.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("vec").alias("vec")))
+    # a cell's rows carry the class alone; its size joins the few rows whose cell is shared
     cells = linked.groupBy("cls").agg(F.first("cells").alias("cells")).select(F.explode("cells").alias("cell"), "cls")
     in_cell = Window.partitionBy("cell")
-    shared = cells.withColumn("_n", F.count(F.lit(1)).over(in_cell)).filter("_n > 1")
-    met, met_path = materialise(shared.join(linked.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "cls"))
-    # sets and points of the classes that meet another one
-    meeting = met.select("cls", "rep").distinct()
-    source = (frame.filter(F.col("doc_id").isNotNull()).join(meeting.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-              .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")))     # a row that repeats counts once
-
-    def sets_of(batches):
-        for batch in slices(batches):
-            offsets, h = shingle_sets(batch.column("text"), spec.width)
-            vec = count_vectors(offsets, h, spec.groups)
-            yield pa.record_batch([pa.array(class_of(offsets, h)), pa.array([v.tobytes() for v in vec], pa.binary()), list_array(offsets, h.view(np.int64), pa.int64())],
-                                  names=["cls", "vec", "h"])
-
-    sets, sets_path = materialise(source.mapInArrow(sets_of, "cls long, vec binary, h array<long>"))
+    met = cells.withColumn("_n", F.count(F.lit(1)).over(in_cell)).filter("_n > 1").join(info.select("cls", "n"), "cls")
+    met, met_path = materialise(met)
+    meeting = met.select("cls").distinct()
     # rows of one doc_id are one document
     edges = (linked.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.collect_set("cls").alias("all")).filter("a <> z")
              .select("a", F.explode("all").alias("b")).filter("a <> b"))
     band = F.floor(F.log("n") / F.log(F.lit(100 / spec.percent))).cast("int")
-    comp = None
+    comp = meeting.select("cls", F.col("cls").alias("comp"))
     for star in range(spec.star_rounds):
         # every class of a cell against one head of its band of sizes, unless they are known to be linked
+        known = met.join(comp, "cls").withColumn("_band", band)
         order = F.xxhash64("cls", F.lit(star))
-        known = met if comp is None else met.join(comp, "cls")
-        head = known.groupBy("cell", band.alias("_band")).agg(F.min_by("cls", order).alias("head"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
-        pairs = known.withColumn("_band", band).join(head, ["cell", "_band"]).filter("cls <> head")
-        pairs = pairs.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
-        if comp is not None:
-            pairs = (pairs.join(comp.select(F.col("cls").alias("a"), F.col("comp").alias("_ca")), "a")
-                     .join(comp.select(F.col("cls").alias("b"), F.col("comp").alias("_cb")), "b").filter("_ca <> _cb").select("a", "b"))
-        edges, _ = materialise(edges.unionByName(similar(pairs, sets, spec)))
-        comp, _ = materialise(connected_components(meeting.select("cls"), edges, "cls", component="comp"))
-    comp = meeting.select("cls", F.col("cls").alias("comp")) if comp is None else comp
+        head = (known.groupBy("cell", "_band").agg(F.min_by(F.struct("cls", "comp"), order).alias("_head"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+                .select("cell", "_band", F.col("_head.cls").alias("head"), F.col("_head.comp").alias("_hc")))
+        pairs = known.join(head, ["cell", "_band"]).filter("comp <> _hc").select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
+        edges, _ = materialise(edges.unionByName(similar(bounded(pairs, info, spec), frame, info, spec)))
+        comp, _ = materialise(connected_components(meeting, edges, "cls", component="comp"))
     apart = met.join(comp, "cls").withColumn("_low", F.min("comp").over(in_cell)).withColumn("_high", F.max("comp").over(in_cell)).filter("_low <> _high")
-    apart = apart.select("cell", "_n", "cls", "n", "comp").join(sets.select("cls", "vec"), "cls")
-    more = similar(cell_candidates(apart, spec), sets, spec)
-    edges, _ = materialise(edges.unionByName(more))
-    comp, _ = materialise(connected_components(linked.select("cls"), edges, "cls", component="comp"))
-    lowest = linked.join(comp, "cls").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = comp.join(lowest, "comp").select("cls", "component_id")
-    alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = (rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("cls")).alias("cls")).join(named, "cls", "left")
-           .select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")))
+    apart = apart.select("cell", "_n", "cls", "n", "comp").join(info.select("cls", "vec"), "cls")
+    edges, _ = materialise(edges.unionByName(similar(cell_candidates(apart, spec), frame, info, spec)))
+    comp, _ = materialise(connected_components(info.select("cls"), edges, "cls", component="comp"))
+    lowest = linked.select("doc_id", "cls").join(comp, "cls").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    named, _ = materialise(comp.join(lowest, "comp").select("cls", "component_id"))
     delete_path(spark, met_path)
-    delete_path(spark, sets_path)
-    return out
+    delete_path(spark, info_path)
+    alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return (rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("cls")).alias("cls")).join(named, "cls", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataFrame:
