@@ -66,6 +66,27 @@ def test_commented_tables_meet_their_own_header(spark, rows, tmp_path):
     assert rows(S.component_hits(t)) == [("h1", "g1", "", ""), ("h2", "g2", "m", "")]
 
 
+def test_order_holds_over_many_splits(spark, tmp_path):
+    """Small splits are read in any order; numbers and headers still follow the file."""
+    with open(tmp_path / "is", "w") as fh:
+        fh.write("seqID\tfamily\tcluster\tisBegin\tisEnd\tstrand\tE-value\ttype\ttir\n" + "".join(f"r1\tF{i}\tc\t{i}\t9\t+\t1\tp\t-:-\n" for i in range(400)))
+    with open(tmp_path / "sys.tsv", "w") as fh:
+        fh.write("# c\nhit_id\tgene_name\n" + "".join(f"h{i}\tg{i}\n" for i in range(400)))
+    with open(tmp_path / "x.fa", "w") as fh:
+        fh.write("".join(f">s{i}\nACGTACGT\n" for i in range(400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        got = {r.is_id: r.family for r in S.read_is_elements(spark, str(tmp_path / "is")).collect()}
+        assert got == {f"r1|IS{i + 1}": f"F{i}" for i in range(400)}
+        t = S.read_commented_tsv(spark, str(tmp_path / "sys.tsv"), ["hit_id", "gene_name"]).collect()
+        assert sorted((r.hit_id, r.gene_name) for r in t) == sorted((f"h{i}", f"g{i}") for i in range(400))
+        f = [r.header for r in S.read_fasta_full(spark, str(tmp_path / "x.fa")).orderBy("file_order").collect()]
+        assert f == [f"s{i}" for i in range(400)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_integrons_and_elements(spark, rows, tmp_path):
     cols = "\t".join(["ID_integron", "ID_replicon", "element", "pos_beg", "pos_end", "strand", "evalue", "type_elt", "annotation", "model", "type", "default", "distance_2attC", "considered_topology"])
     with open(tmp_path / "i", "w") as fh:

@@ -24,6 +24,16 @@ def fasta_rows(raw: DataFrame, value: str = "value") -> DataFrame:
     return rows
 
 
+def in_file_order(raw: DataFrame, name: str) -> DataFrame:
+    """``raw`` as read, with ``name``: a key that sorts rows as they stand in their files.
+
+    A task may read several splits of a file in any order, so a row number alone does not; the place
+    of its split does, and within a split the number rises.
+    """
+    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                    F.monotonically_increasing_id().alias("row")).alias(name))
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(plasmid_id, seq); gzip by suffix. The id is the header up to white space; an empty header raises."""
     raw = spark.read.text(path, lineSep="\n>")
@@ -35,7 +45,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fasta_full(spark: SparkSession, path: str) -> DataFrame:
     """(header, seq, file_order): whole header, upper-case letters, no white space, no final '*'."""
-    raw = spark.read.text(path, lineSep="\n>").withColumn("file_order", F.monotonically_increasing_id())
+    raw = in_file_order(spark.read.text(path, lineSep="\n>"), "file_order")
     seq = F.regexp_replace(F.upper(F.regexp_replace("body", r"\s", "")), r"\*+$", "")
     return fasta_rows(raw).select(F.trim("header").alias("header"), seq.alias("seq"), "file_order")
 
@@ -165,7 +175,7 @@ def read_commented_tsv(spark: SparkSession, path, columns: Sequence[str]) -> Dat
     The header repeats per file and may order its columns differently, so rows meet their own
     file's header by file name: one small row per file.
     """
-    raw = spark.read.text(path).withColumn("_f", F.input_file_name()).withColumn("_n", F.monotonically_increasing_id())
+    raw = in_file_order(spark.read.text(path), "_n").withColumn("_f", F.col("_n.file"))
     raw = raw.filter(~F.col("value").startswith("#") & F.col("value").rlike(r"\S"))
     head = raw.groupBy("_f").agg(F.min(F.struct("_n", "value")).alias("_h"))
     rows = raw.join(head, "_f").filter(F.col("_n") != F.col("_h._n"))
@@ -197,7 +207,7 @@ def read_integrons(spark: SparkSession, path) -> DataFrame:
 
 def read_is_elements(spark: SparkSession, path) -> DataFrame:
     """Insertion elements numbered '<record>|IS<n>' in file order."""
-    raw = read_tsv(spark, path).withColumn("_n", F.monotonically_increasing_id())
+    raw = in_file_order(read_tsv(spark, path), "_n")
     return number_elements(raw, ["_n"]).drop("_n")
 
 
