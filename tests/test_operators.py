@@ -188,6 +188,16 @@ def test_communities_end_on_two_nodes_that_swap(spark):
     assert {r.node_id: r.community_id for r in c.collect()} == {1: 0, 2: 0, 3: 1, 4: 1}
 
 
+def test_sketch_of_a_repetitive_text_is_exact(spark):
+    """So few k-mers pass the first limit that the text is sketched again without it."""
+    spec = SketchSpec(k=11, size=50)
+    mixed = "".join("acgt"[(i * i + i // 5 + i // 11) % 4] for i in range(120)) + "acgt" * 2000
+    df = spark.createDataFrame([(1, mixed), (2, "acgt" * 2000)], "id int, s string")
+    got = {(r.id, r.h) for r in Y.sketch(df, "id", "s", spec).collect()}
+    assert got == {(r.id, r.h) for r in Y._smallest(df, "id", "s", spec, Y.fast_hash, limited=False).collect()}
+    assert sum(i == 1 for i, _ in got) == 50 and sum(i == 2 for i, _ in got) == 4
+
+
 def test_equal_texts_are_linked_to_their_head(spark):
     text = "".join("acgt"[(i * i + i // 7) % 4] for i in range(900))
     got = Y.minhash_edges(spark.createDataFrame([(1, text), (2, text), (3, text)], "id int, s string"), "id", "s").collect()

@@ -276,6 +276,15 @@ def merge_labels(t: Tables):
     return L.merge_labels(rows, rel)
 
 
+@query("labels_of_members", """SELECT p_partkey AS protein_id, p_brand AS source, p_name AS label, CAST(NULL AS BIGINT) AS via_representative FROM part
+UNION ALL SELECT m.p_partkey, r.p_brand, r.p_name, r.p_partkey FROM part m JOIN part r ON r.p_partkey = m.p_partkey - m.p_partkey % 10 WHERE m.p_partkey % 10 <> 0""")
+def labels_of_members(t: Tables):
+    k = F.col("p_partkey")
+    rows = t.part.select(k.alias("protein_id"), F.col("p_brand").alias("source"), F.col("p_name").alias("label"))
+    members = t.part.filter(k % 10 != 0).select(k.alias("seq_id"), (k - k % 10).alias("search_representative"))
+    return L.copy_labels_to_members(rows, members)
+
+
 @query("labels_by_type", f"""WITH {OCC}, {_LABELS}, v AS (SELECT DISTINCT seq_id, split_part(term, ':', 1) AS ty, source || ':' || label AS v FROM term WHERE term IS NOT NULL)
 SELECT seq_id, {", ".join(f"coalesce(string_agg(v, '; ' ORDER BY v) FILTER (ty = '{x}'), '') AS {x}_labels" for x in ("amr", "metal", "ta", "conj_role", "mge", "antidefence"))} FROM v GROUP BY 1""")
 def labels_by_type(t: Tables):

@@ -8,6 +8,7 @@ from umbral.functions import coords as D
 from umbral.functions import text as T
 from umbral.operators import alignment as A
 from umbral.operators.circular import resolve_twins
+from umbral.operators import registry as R
 from umbral.plans.bindings import OCC, occ
 from umbral.plans.catalog import Tables, query
 from umbral.sources import files as S
@@ -218,12 +219,24 @@ def summary_kv(t: Tables):
 
 @query("terminal_repeat", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND length(text) >= 60 THEN 25 ELSE 0 END AS repeat_len, length(text) + CASE WHEN doc_id % 2 = 0 AND length(text) >= 60 THEN 0 ELSE 1 END AS kept FROM documents""")
 def terminal_repeat(t: Tables):
+    x = t.documents.select("doc_id", D.trim_terminal_repeat(_repeated(), F.lit(True)).alias("r"))
+    return x.select("doc_id", F.col("r.repeat_len").alias("repeat_len"), F.length("r.trimmed").alias("kept"))
+
+
+def _repeated():
     """Whole texts; the longer even ones repeat their own first letters at the end, framed by a mark no text contains."""
     s = F.translate("text", "ß_", "s-")
     head = F.concat(F.lit("_"), F.substring(s, 1, 23), F.lit("_"))
-    s = F.when((F.col("doc_id") % 2 == 0) & (F.length("text") >= 60), F.concat(head, F.substring(s, F.lit(26), F.length("text")), head)).otherwise(F.concat(s, F.lit("_")))
-    x = t.documents.select("doc_id", D.trim_terminal_repeat(s, F.lit(True)).alias("r"))
-    return x.select("doc_id", F.col("r.repeat_len").alias("repeat_len"), F.length("r.trimmed").alias("kept"))
+    return F.when((F.col("doc_id") % 2 == 0) & (F.length("text") >= 60), F.concat(head, F.substring(s, F.lit(26), F.length("text")), head)).otherwise(F.concat(s, F.lit("_")))
+
+
+@query("trimmed_records", """SELECT plasmid_id, circular, small, record_bp, repeat_bp, record_bp - repeat_bp AS molecule_bp, record_bp - repeat_bp AS kept FROM (
+  SELECT doc_id AS plasmid_id, doc_id % 3 <> 0 AS circular, n_chars < 500 AS small, length(text) + CASE WHEN doc_id % 2 = 0 AND length(text) >= 60 THEN 25 ELSE 1 END AS record_bp,
+    CASE WHEN doc_id % 3 <> 0 AND doc_id % 2 = 0 AND length(text) >= 60 THEN 25 ELSE 0 END AS repeat_bp FROM documents)""")
+def trimmed_records(t: Tables):
+    seqs = t.documents.select(F.col("doc_id").alias("plasmid_id"), _repeated().alias("seq"))
+    scope = t.documents.select(F.col("doc_id").alias("plasmid_id"), (F.col("doc_id") % 3 != 0).alias("circular"), (F.col("n_chars") < 500).alias("small"))
+    return R.trimmed_records(seqs, scope).withColumn("kept", F.length("seq")).drop("seq")
 
 
 @query("extract_segment", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN reverse(translate(nt, 'ACGTNacgtn', 'TGCANtgcan')) ELSE nt END AS nt FROM (
