@@ -164,7 +164,7 @@ def test_tree_bounds_never_lose_a_pair():
     vec = np.maximum(base[rng.integers(0, 8, 200)] + rng.integers(-1, 2, (200, 16)) * (rng.random((200, 16)) < 0.1), 0).astype(np.uint16)
     n, comp = vec.sum(axis=1).astype(np.int64), rng.integers(0, 60, 200)
     for side in (np.zeros(200, np.int64), rng.integers(0, 2, 200)):
-        i, j = jaccard.tree_pairs(vec, n, comp, side, spec)
+        i, j = jaccard.tree_pairs(vec, n, comp, n, side, spec)
         got = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
         want = set()
         for a in range(200):

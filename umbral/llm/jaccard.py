@@ -43,9 +43,9 @@ class JaccardSpec:
     percent: int = 80             # 100 * intersection >= percent * union
     groups: int = 256             # coordinates of a point
     leaf: int = 16                # points, or boxes, that make a box
-    block: int = 2048             # points of a cell that one task compares with as many others
+    block: int = 512              # points of a cell that one task compares with as many others
     common: int = 1 << 19         # shingles ordered by their counts, at most; all others come first
-    star_rounds: int = 2
+    star_rounds: int = 4          # at most; none follows a round that finds no link
 
 
 def shingle_sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,27 +183,32 @@ def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
 class Boxes:
     """A packed R-tree over points in order of size: level 0 holds the points, each further level boxes of ``leaf`` below."""
 
-    def __init__(self, vec: np.ndarray, n: np.ndarray, comp: np.ndarray, leaf: int):
+    def __init__(self, vec: np.ndarray, n: np.ndarray, comp: np.ndarray, rest: np.ndarray, leaf: int):
         spread = int(np.argmax(vec.astype(np.float64).var(axis=0))) if len(vec) > leaf else 0
         slab = np.argsort(n, kind="stable")
         place = np.empty(len(n), np.int64)
         place[slab] = np.arange(len(n)) // (leaf * leaf)
         self.order = np.lexsort((vec[:, spread], place))
         v, s, c = vec[self.order], n[self.order], comp[self.order]
-        self.levels = [(v, s, s, c, np.ones(len(c), bool))]
+        self.levels = [(v, s, s, rest[self.order], c, np.ones(len(c), bool))]
         while len(self.levels[-1][1]) > leaf:
-            upper, low, high, comp, one = self.levels[-1]
+            upper, low, high, rest, comp, one = self.levels[-1]
             at = np.arange(0, len(low), leaf)
             same = np.minimum.reduceat(comp, at) == np.maximum.reduceat(comp, at)
-            self.levels.append((np.maximum.reduceat(upper, at, axis=0), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), comp[at],
+            self.levels.append((np.maximum.reduceat(upper, at, axis=0), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(rest, at), comp[at],
                                 same & np.logical_and.reduceat(one, at)))
         self.leaf = leaf
 
 
 def _may_link(a, b, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of boxes (i of a, j of b) may hold a pair of points that are similar enough and in different components."""
-    (upper_a, low_a, high_a, comp_a, one_a), (upper_b, low_b, high_b, comp_b, one_b) = a, b
+    """Which pairs of boxes (i of a, j of b) may hold a pair of points that are similar enough and in different components.
+
+    ``rest`` is what a set has from the cell's shingle on: where that is the first one two sets share,
+    they share no more than that. A pair that a later cell drops for it is kept by its first one.
+    """
+    (upper_a, low_a, high_a, rest_a, comp_a, one_a), (upper_b, low_b, high_b, rest_b, comp_b, one_b) = a, b
     ok = (100 * high_a[i] >= percent * low_b[j]) & (100 * high_b[j] >= percent * low_a[i]) & ~(one_a[i] & one_b[j] & (comp_a[i] == comp_b[j]))
+    ok &= (100 + percent) * np.minimum(rest_a[i], rest_b[j]) >= percent * (low_a[i] + low_b[j])
     out = np.flatnonzero(ok)
     keep = []
     for at in range(0, len(out), 1 << 14):
@@ -214,9 +219,9 @@ def _may_link(a, b, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     return ok
 
 
-def tree_pairs(vec: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndarray, spec: JaccardSpec) -> tuple[np.ndarray, np.ndarray]:
+def tree_pairs(vec: np.ndarray, n: np.ndarray, comp: np.ndarray, rest: np.ndarray, side: np.ndarray, spec: JaccardSpec) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of one cell that no box rules out; with two sides only pairs across them."""
-    tree = Boxes(vec, n, comp, spec.leaf)
+    tree = Boxes(vec, n, comp, rest, spec.leaf)
     top = tree.levels[-1]
     i, j = np.triu_indices(len(top[1]))
     for depth in range(len(tree.levels) - 1, -1, -1):
@@ -240,13 +245,13 @@ def tree_pairs(vec: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndarra
     return i, j
 
 
-def small_cells(edge: np.ndarray, vec: np.ndarray, n: np.ndarray, comp: np.ndarray, spec: JaccardSpec) -> tuple[np.ndarray, np.ndarray]:
+def small_cells(edge: np.ndarray, vec: np.ndarray, n: np.ndarray, comp: np.ndarray, rest: np.ndarray, spec: JaccardSpec) -> tuple[np.ndarray, np.ndarray]:
     """As ``tree_pairs`` for many cells of at most one leaf each, given by their edges."""
     size = np.diff(edge)
     left = np.repeat(edge[1:], size) - 1 - np.arange(edge[-1])      # later rows of the cell
     i = np.repeat(np.arange(edge[-1]), left)
     j = i + 1 + (np.arange(len(i)) - np.repeat(np.cumsum(left) - left, left))
-    level = (vec, n, n, comp, np.ones(len(n), bool))
+    level = (vec, n, n, rest, comp, np.ones(len(n), bool))
     ok = _may_link(level, level, i, j, spec.percent)
     return i[ok], j[ok]
 
@@ -260,7 +265,7 @@ def bounded(pairs: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
             va, vb = unpack_vectors(batch.column("va"), spec.groups), unpack_vectors(batch.column("vb"), spec.groups)
             na, nb = np.asarray(batch.column("na"), np.int64), np.asarray(batch.column("nb"), np.int64)
             at, apart = np.arange(len(na)), np.zeros(len(na), bool)
-            ok = _may_link((va, na, na, at, apart), (vb, nb, nb, at, apart), at, at, spec.percent)
+            ok = _may_link((va, na, na, na, at, apart), (vb, nb, nb, nb, at, apart), at, at, spec.percent)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
@@ -269,33 +274,33 @@ def bounded(pairs: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
 def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
     """(a, b): pairs of classes of different components that share a cell and survive its R-tree.
 
-    ``rows``: (cell, _n rows in it, cls, n, vec, comp). A cell of more than ``block`` rows becomes
+    ``rows``: (cell, _n rows in it, cls, its place pos there, n, vec, comp). A cell of more than ``block`` rows becomes
     pairs of blocks; the parts are streamed in sorted order, so a task holds one part at a time.
     """
     blocks = F.ceil(F.col("_n") / spec.block).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     with_ = F.explode(F.sequence(F.lit(0), blocks - 1))
     parts = (rows.withColumn("_own", own).withColumn("_other", with_)
-             .select("cell", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "cls", "n", "vec", "comp"))
+             .select("cell", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "cls", "n", (F.col("n") - F.col("pos")).alias("rest"), "vec", "comp"))
     parts = parts.repartition("cell", "_i", "_j").sortWithinPartitions("cell", "_i", "_j")
 
     def flush(t: pa.Table):
         key = np.stack([np.asarray(t.column(c).combine_chunks(), np.int64) for c in ("cell", "_i", "_j")])
         edge = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [len(t)]])
-        cls, n, comp, own = (np.asarray(t.column(c).combine_chunks(), np.int64) for c in ("cls", "n", "comp", "_own"))
+        cls, n, comp, own, rest = (np.asarray(t.column(c).combine_chunks(), np.int64) for c in ("cls", "n", "comp", "_own", "rest"))
         vec = unpack_vectors(t.column("vec"), spec.groups)
         size = np.diff(edge)
         few = np.flatnonzero((size > 1) & (size <= spec.leaf))
         out = []
         if len(few):
             rows_ = np.concatenate([np.arange(edge[g], edge[g + 1]) for g in few])
-            i, j = small_cells(np.concatenate([[0], np.cumsum(size[few])]), vec[rows_], n[rows_], comp[rows_], spec)
+            i, j = small_cells(np.concatenate([[0], np.cumsum(size[few])]), vec[rows_], n[rows_], comp[rows_], rest[rows_], spec)
             across = (key[1, rows_[i]] == key[2, rows_[i]]) | (own[rows_[i]] != own[rows_[j]])
             out.append((rows_[i][across], rows_[j][across]))
         for g in np.flatnonzero(size > spec.leaf):
             s = slice(edge[g], edge[g + 1])
             sides = own[s] if key[1, edge[g]] != key[2, edge[g]] else np.zeros(size[g], np.int64)
-            i, j = tree_pairs(vec[s], n[s], comp[s], sides, spec)
+            i, j = tree_pairs(vec[s], n[s], comp[s], rest[s], sides, spec)
             out.append((i + edge[g], j + edge[g]))
         i = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
         j = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64)
@@ -356,7 +361,7 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
     linked = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     info, info_path = materialise(linked.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("vec").alias("vec")))
     # a cell's rows carry the class alone; its size joins the few rows whose cell is shared
-    cells = linked.groupBy("cls").agg(F.first("cells").alias("cells")).select(F.explode("cells").alias("cell"), "cls")
+    cells = linked.groupBy("cls").agg(F.first("cells").alias("cells")).select(F.posexplode("cells").alias("pos", "cell"), "cls")
     in_cell = Window.partitionBy("cell")
     met = cells.withColumn("_n", F.count(F.lit(1)).over(in_cell)).filter("_n > 1").join(info.select("cls", "n"), "cls")
     met, met_path = materialise(met)
@@ -369,14 +374,17 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
     for star in range(spec.star_rounds):
         # every class of a cell against one head of its band of sizes, unless they are known to be linked
         known = met.join(comp, "cls").withColumn("_band", band)
-        order = F.xxhash64("cls", F.lit(star))
+        order = F.xxhash64("cls", F.pmod("cell", F.lit(4)), F.lit(star))      # a few heads for cells with the same members
         head = (known.groupBy("cell", "_band").agg(F.min_by(F.struct("cls", "comp"), order).alias("_head"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
                 .select("cell", "_band", F.col("_head.cls").alias("head"), F.col("_head.comp").alias("_hc")))
         pairs = known.join(head, ["cell", "_band"]).filter("comp <> _hc").select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
-        edges, _ = materialise(edges.unionByName(similar(bounded(pairs, info, spec), frame, info, spec)))
+        found = similar(bounded(pairs, info, spec), frame, info, spec)
+        if found.isEmpty():
+            break
+        edges, _ = materialise(edges.unionByName(found))
         comp, _ = materialise(connected_components(meeting, edges, "cls", component="comp"))
     apart = met.join(comp, "cls").withColumn("_low", F.min("comp").over(in_cell)).withColumn("_high", F.max("comp").over(in_cell)).filter("_low <> _high")
-    apart = apart.select("cell", "_n", "cls", "n", "comp").join(info.select("cls", "vec"), "cls")
+    apart = apart.select("cell", "_n", "cls", "pos", "n", "comp").join(info.select("cls", "vec"), "cls")
     edges, _ = materialise(edges.unionByName(similar(cell_candidates(apart, spec), frame, info, spec)))
     comp, _ = materialise(connected_components(info.select("cls"), edges, "cls", component="comp"))
     lowest = linked.select("doc_id", "cls").join(comp, "cls").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
