@@ -45,6 +45,7 @@ class JaccardSpec:
     leaf: int = 16                # points, or boxes, that make a box
     block: int = 512              # points of a cell that one task compares with as many others
     common: int = 1 << 19         # shingles ordered by their counts, at most; all others come first
+    early: int = 16               # first shared cells of a set by which a pair knows that an earlier cell has it
     star_rounds: int = 4          # at most; none follows a round that finds no link
 
 
@@ -271,17 +272,34 @@ def bounded(pairs: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
+def not_earlier(early: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether a pair of rows of one cell has no common cell before it among the first cells of both.
+
+    ``early`` has the first cells of each row's set in the common order (padded, by numbers that no two rows
+    share), ``at`` how many of them precede the row's own cell. The pair is handed over by the first of its
+    common cells in these lists, and by every cell after it only where the lists do not show that one.
+    """
+    out = np.ones(len(i), bool)
+    width = np.arange(early.shape[1])
+    for s in range(0, len(i), 1 << 13):
+        a, b = i[s:s + (1 << 13)], j[s:s + (1 << 13)]
+        same = early[a][:, :, None] == early[b][:, None, :]
+        same &= (width[None, :] < at[a][:, None])[:, :, None] & (width[None, :] < at[b][:, None])[:, None, :]
+        out[s:s + len(a)] = ~same.any(axis=(1, 2))
+    return out
+
+
 def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
     """(a, b): pairs of classes of different components that share a cell and survive its R-tree.
 
-    ``rows``: (cell, _n rows in it, cls, its place pos there, n, vec, comp). A cell of more than ``block`` rows becomes
+    ``rows``: (cell, _n rows in it, cls, its place pos there, n, vec, comp, early: the first shared cells of cls). A cell of more than ``block`` rows becomes
     pairs of blocks; the parts are streamed in sorted order, so a task holds one part at a time.
     """
     blocks = F.ceil(F.col("_n") / spec.block).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     with_ = F.explode(F.sequence(F.lit(0), blocks - 1))
     parts = (rows.withColumn("_own", own).withColumn("_other", with_)
-             .select("cell", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "cls", "n", (F.col("n") - F.col("pos")).alias("rest"), "vec", "comp"))
+             .select("cell", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "cls", "n", (F.col("n") - F.col("pos")).alias("rest"), "vec", "comp", "early"))
     parts = parts.repartition("cell", "_i", "_j").sortWithinPartitions("cell", "_i", "_j")
 
     def flush(t: pa.Table):
@@ -304,6 +322,16 @@ def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
             out.append((i + edge[g], j + edge[g]))
         i = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
         j = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64)
+        if len(i):
+            lists = t.column("early").combine_chunks()
+            held = np.diff(np.asarray(lists.offsets, np.int64))
+            row, place = np.repeat(np.arange(len(t)), held), np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+            early, at = np.zeros((len(t), spec.early), np.int64), held.copy()
+            early[row, place] = np.asarray(lists.flatten(), np.int64)
+            own_cell = np.flatnonzero(early[row, place] == key[0][row])
+            at[row[own_cell]] = place[own_cell]
+            first = not_earlier(early, at, i, j)
+            i, j = i[first], j[first]
         pair = np.unique(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]), axis=1)
         return pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
@@ -384,13 +412,16 @@ def near_duplicates(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataF
         edges, _ = materialise(edges.unionByName(found))
         comp, _ = materialise(connected_components(meeting, edges, "cls", component="comp"))
     apart = met.join(comp, "cls").withColumn("_low", F.min("comp").over(in_cell)).withColumn("_high", F.max("comp").over(in_cell)).filter("_low <> _high")
-    apart = apart.select("cell", "_n", "cls", "pos", "n", "comp").join(info.select("cls", "vec"), "cls")
+    apart, apart_path = materialise(apart.select("cell", "_n", "cls", "pos", "n", "comp"))
+    early = apart.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "cell"))), 1, spec.early)["cell"].alias("early"))
+    apart = apart.join(info.select("cls", "vec"), "cls").join(early, "cls")
     edges, _ = materialise(edges.unionByName(similar(cell_candidates(apart, spec), frame, info, spec)))
     comp, _ = materialise(connected_components(info.select("cls"), edges, "cls", component="comp"))
     lowest = linked.select("doc_id", "cls").join(comp, "cls").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named, _ = materialise(comp.join(lowest, "comp").select("cls", "component_id"))
     delete_path(spark, met_path)
     delete_path(spark, info_path)
+    delete_path(spark, apart_path)
     alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("cls")).alias("cls")).join(named, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id")))
