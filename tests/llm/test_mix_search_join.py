@@ -94,6 +94,29 @@ def test_search_recall_order_and_cases(spark):
     assert neighbours.search(vectors.filter("vec_id > 3500"), F.col("vec_id") == 4100, spec).count() == 0
 
 
+def test_repeated_rows_take_one_place(spark):
+    """Rows 0 (a query) and 1 (a near candidate) stand twelve times, row 2 with twelve vectors; no two distances are equal."""
+    rng = np.random.default_rng(3)
+    x = {i: [rng.normal(size=8) * (0.1 + 0.05 * i)] for i in range(40)}
+    x[2] = [x[0][0] + rng.normal(size=8) * 0.01 for _ in range(12)]
+    rows = [(i, v.tolist()) for i, vs in x.items() for v in vs] + 11 * [(i, x[i][0].tolist()) for i in (0, 1)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    for q in (0, 20):
+        d = {i: min(float(np.sqrt(((v - x[q][0]) ** 2).sum())) for v in vs) for i, vs in x.items() if i != q}
+        found = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [v for _, v, _ in found] == sorted(d, key=d.get)[:10]
+        assert [s for *_, s in found] == pytest.approx(sorted(d.values())[:10])
+
+
+def test_leaves_are_opened_until_they_hold_enough_ids(spark):
+    """Around query 0 stand forty vectors of one id, over several leaves; with one visit, leaves are opened by the ids they hold."""
+    rng = np.random.default_rng(4)
+    rows = [(0, [0.0, 0.1])] + [(1, (rng.normal(size=2)).tolist()) for _ in range(40)] + [(i, (rng.normal(size=2) + 50 + i).tolist()) for i in range(2, 15)]
+    spec = neighbours.TreeSpec(leaf_size=4, recall=0.0)
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, spec).collect()
+    assert len({r["vec_id"] for r in got}) == len(got) == 10
+
+
 def shingles(t):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])

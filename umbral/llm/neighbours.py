@@ -4,7 +4,7 @@ A tree of centroids is fitted on a bounded sample of distinct vectors. Every vec
 leaf of its nearest centroids. A query keeps a priority queue of branches by the distance to their
 centroids, takes the nearest, and opens leaves one after the other. How many it opens is calibrated:
 on queries from the sample, against their true neighbours in the sample, the number is widened until
-the wanted recall is reached; it is widened further for a query whose leaves hold too few vectors.
+the wanted recall is reached; it is widened further for a query whose leaves hold too few ids.
 
 The distributed part joins queries and vectors by leaf. Leaves with many vectors or many visits are
 split into blocks both ways, so a task never holds more than a block of each, however common one
@@ -13,7 +13,7 @@ double precision from the original vectors.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, and rows
 without an id, take no part, nor do vectors of another length than the most frequent one. Rows that
-repeat a vec_id are one candidate at their nearest; a query id that repeats asks with its smallest
+repeat a vec_id are one candidate at their nearest and take one of the k places; a query id that repeats asks with its smallest
 vector. Equal distances go to the smaller vec_id. Other columns are ignored; with fewer candidates
 than asked for all are returned; an empty table gives an empty result.
 """
@@ -114,7 +114,7 @@ def leaf_of(tree: Tree, x: np.ndarray) -> np.ndarray:
 
 
 def best_bins(tree: Tree, q: np.ndarray, visits: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
-    """Leaves in the order the queue opens them: ``visits`` of them, more until they hold ``least`` vectors."""
+    """Leaves in the order the queue opens them: ``visits`` of them, more until they hold ``least`` ids."""
     out, have, queue = [], 0, [(0.0, 0)]
     while queue and (len(out) < visits or (held is not None and have < least)):
         _, node = heapq.heappop(queue)
@@ -164,22 +164,24 @@ def top_of_block(q: np.ndarray, query_id: np.ndarray, x: np.ndarray, vec_id: np.
     norm = (x * x).sum(1)
     order = np.argsort(vec_id, kind="stable")
     x, vec_id, norm = x[order], vec_id[order], norm[order]
+    ids, first = np.unique(vec_id, return_index=True)      # an id with several vectors takes one place, at its nearest
+    own = np.searchsorted(ids, query_id)
     out_q, out_v, out_d = [], [], []
     for at in range(0, len(q), 256):
         part = q[at:at + 256]
         rough = norm[None, :] - 2 * part @ x.T
         scale = norm.max() + (part * part).sum(1)
         for i in range(len(part)):
-            d = rough[i]
-            limit = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
-            limit = limit + 1e-9 * scale[i]
-            near = np.flatnonzero((d <= limit) & (vec_id != query_id[at + i]))
-            if len(near) <= k and len(d) > k:      # the query's own row was among the k nearest
-                limit = np.partition(d, k)[k] + 1e-9 * scale[i]
-                near = np.flatnonzero((d <= limit) & (vec_id != query_id[at + i]))
+            d, q_id = rough[i], query_id[at + i]
+            least = d.copy() if len(ids) == len(d) else np.minimum.reduceat(d, first)
+            if own[at + i] < len(ids) and ids[own[at + i]] == q_id:
+                least[own[at + i]] = np.inf
+            limit = np.partition(least, k - 1)[k - 1] if len(least) > k else np.inf
+            near = np.flatnonzero((d <= limit + 1e-9 * scale[i]) & (vec_id != q_id))
             exact = np.sqrt(((x[near] - part[i]) ** 2).sum(axis=1))
-            best = np.lexsort((vec_id[near], exact))[:k]
-            out_q.append(np.full(len(best), query_id[at + i])), out_v.append(vec_id[near][best]), out_d.append(exact[best])
+            best = np.lexsort((vec_id[near], exact))
+            best = best[np.sort(np.unique(vec_id[near][best], return_index=True)[1])[:k]]
+            out_q.append(np.full(len(best), q_id)), out_v.append(vec_id[near][best]), out_d.append(exact[best])
     join = lambda z, t: np.concatenate(z).astype(t) if z else np.zeros(0, t)
     return join(out_q, np.int64), join(out_v, np.int64), join(out_d, np.float64)
 
@@ -188,12 +190,12 @@ def search(vectors: DataFrame, is_query: Column, spec: TreeSpec = TreeSpec(), id
     """(query_id, rank, vec_id, score): the nearest found of every query; ``is_query`` may use vec_id."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors, id_column, column)
-    size = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "n").first()
+    size = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c"), F.count_distinct("vec_id").alias("ids")).orderBy(F.desc("c"), "n").first()
     empty = "query_id long, rank int, vec_id long, score double"
     if size is None:
         return spark.createDataFrame([], empty)
-    rows = rows.filter(F.size("v") == size["n"])
-    sample = hashed_share(rows, spec.sample, size["c"], "vec_id").select("v").limit(2 * spec.sample).toArrow()
+    rows = rows.filter(F.size("v") == size["n"]).dropDuplicates()
+    sample = hashed_share(rows, spec.sample, size["ids"], "vec_id").select("v").limit(2 * spec.sample).toArrow()
     if not len(sample):
         sample = rows.select("v").limit(1).toArrow()
     x = np.unique(np.asarray(sample.column("v").combine_chunks().flatten(), np.float64).reshape(-1, size["n"]), axis=0)
@@ -207,7 +209,8 @@ def search(vectors: DataFrame, is_query: Column, spec: TreeSpec = TreeSpec(), id
 
     index, _ = materialise(rows.mapInArrow(place, "vec_id long, leaf int, v array<double>"))
     held = np.zeros(tree.leaves, np.int64)      # one number per leaf: bounded by the tree
-    for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():
+    homes = index.groupBy("vec_id").agg(F.min("leaf").alias("leaf"))      # an id counts in one leaf, however many hold its vectors
+    for r in homes.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():
         held[r["leaf"]] = r["n"]
     held_shared = spark.sparkContext.broadcast(held)
 
@@ -228,10 +231,10 @@ def search(vectors: DataFrame, is_query: Column, spec: TreeSpec = TreeSpec(), id
     sizes = (index.groupBy("leaf").agg(F.count(F.lit(1)).alias("_held")).join(asked, "leaf")
              .select("leaf", F.ceil(F.col("_held") / block).cast("int").alias("_nv"), F.ceil(F.col("_asked") / spec.block).cast("int").alias("_nq")))
     sizes, _ = materialise(sizes)               # one row per leaf
-    salt = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    salt = lambda n, *c: F.pmod(F.xxhash64(*c), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = visits.join(F.broadcast(sizes), "leaf").withColumn("_q", salt("query_id", F.col("_nq"))).withColumn("_v", every("_nv")).select("leaf", "_v", "_q", "query_id", "q")
-    right = index.join(F.broadcast(sizes), "leaf").withColumn("_v", salt("vec_id", F.col("_nv"))).withColumn("_q", every("_nq")).select("leaf", "_v", "_q", "vec_id", "v")
+    left = visits.join(F.broadcast(sizes), "leaf").withColumn("_q", salt(F.col("_nq"), "query_id")).withColumn("_v", every("_nv")).select("leaf", "_v", "_q", "query_id", "q")
+    right = index.join(F.broadcast(sizes), "leaf").withColumn("_v", salt(F.col("_nv"), "vec_id", "v")).withColumn("_q", every("_nq")).select("leaf", "_v", "_q", "vec_id", "v")
 
     def meet(asks: pa.Table, vecs: pa.Table) -> pa.Table:
         q, x = asks.column("q").combine_chunks(), vecs.column("v").combine_chunks()
