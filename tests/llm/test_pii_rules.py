@@ -65,6 +65,18 @@ def test_alike_mentions_take_the_label():
     assert every[1] == [] and every[2] == []
 
 
+@pytest.mark.parametrize("last", [False, True])
+def test_evidence_reaches_every_mention(last):
+    """The only pattern match stands fifty mentions from the furthest one, which takes its label all the same."""
+    train = [f"mail u{i}@h{i}.example.com now and card 41111111111111{i:02d} or +1 (389) 555-01{i:02d} in 19{i:02d} for {i} items" for i in range(60)]
+    field = pii.fit_field([pii.graph(train, [pii.base_spans(t) for t in train])], pii.PiiSpec())
+    parts = ["Ask jo.do@mail.example.com first."] + ["Later jo.do(at)mail.example.com again."] * 50
+    text = " ".join(parts[::-1] if last else parts)
+    every = pii.find_spans([text], field, pii.PiiSpec())[1][0]
+    assert [(text[s:e], pii.NAMES[k]) for s, k, e in every if k >= len(pii.KINDS)] == [("jo.do(at)mail.example.com", "email_like")] * 50
+    assert "jo.do" not in pii.mask(text, every)
+
+
 def test_one_pair_of_nodes_is_exact():
     """With one edge, message passing is exact: beliefs equal the sums over all labellings."""
     rng = np.random.default_rng(0)

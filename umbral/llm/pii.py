@@ -5,12 +5,14 @@ kind. The field adds what the patterns miss. Its nodes are the tokens of a docum
 personal data at all: those with a digit or an at sign. Neighbouring nodes are linked along the
 chain, and nodes with the same digits or the same address, however far apart, by skip edges. Node
 potentials come from the shape of a token, edge potentials from how often labels meet on such edges;
-base spans are evidence. Loopy, damped sum-product passing then spreads a label over all mentions
-of the same thing. A token outside the base spans that is labelled confidently, and of which another
+base spans are evidence, which no message changes. Loopy, damped sum-product passing then spreads a
+label over all mentions of the same thing, until no message changes by more than a tolerance. A token outside the base spans that is labelled confidently, and of which another
 mention in the document carries that label by its pattern, becomes a span of its own, named ``<kind>_like`` so that the base spans stay recognisable.
 
-Skip edges run along each group of alike tokens in order of position, so a token that occurs n times
-costs n - 1 edges, not n squared.
+Skip edges are counted for training along each group of alike tokens in order of position. For
+inference, a mention without a base label is linked to the nearest mention with one before it and to
+that after it, however far away: between evidence and a mention there is one edge, as nothing passes
+through evidence. Groups without evidence stay paths. A token that occurs n times costs 2 n edges at most.
 
 Training is piecewise, in numpy, on a bounded sample of documents: node weights by softmax
 regression of the base labels on shapes, edge potentials from smoothed counts of label pairs.
@@ -52,7 +54,8 @@ class PiiSpec:
     sample: int = 4000         # documents among which the field is fitted
     max_chars: int = 20_000    # longer texts are not fitted on; all are searched whole
     epochs: int = 60
-    rounds: int = 6            # message passing
+    rounds: int = 1000         # of message passing at most, for fields on which it would not settle
+    tolerance: float = 1e-4    # change of a log message below which passing has settled
     damping: float = 0.3
     confidence: float = 0.5    # of a label, for a span outside the base spans
     seed: int = 23
@@ -148,6 +151,23 @@ class Graph:
     owner: np.ndarray
     root: np.ndarray           # the first node alike
 
+    def evidence_edges(self) -> np.ndarray:
+        """Skip edges for inference: unlabelled mentions to the nearest labelled ones alike, paths in groups without any."""
+        n = len(self.root)
+        if not len(self.skip):
+            return self.skip
+        order = np.argsort(self.root, kind="stable")
+        group, known, at = self.root[order], self.label[order] > 0, np.arange(n)
+        before = np.maximum.accumulate(np.where(known, at, -1))
+        after = np.minimum.accumulate(np.where(known, at, n)[::-1])[::-1]
+        out = []
+        for near, fine in ((before, before >= 0), (after, after < n)):
+            i = np.flatnonzero(fine & ~known)
+            i = i[group[near[i]] == group[i]]
+            out.append(np.stack([order[near[i]], order[i]], axis=1))
+        bare = ~np.isin(self.root[self.skip[:, 0]], group[known])
+        return np.concatenate([*out, self.skip[bare]])
+
 
 def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
     start, end, label, shapes, owner, chain, skip, root = [], [], [], [], [], [], [], []
@@ -224,23 +244,29 @@ def infer(g: Graph, field: Field, spec: PiiSpec) -> np.ndarray:
     known = np.flatnonzero(g.label)
     unary[known] = -12.0
     unary[known, g.label[known]] = 0.0
-    pair = np.concatenate([g.chain, g.skip])
-    table = np.exp(np.concatenate([np.repeat(field.chain[None], len(g.chain), 0), np.repeat(field.skip[None], len(g.skip), 0)]))
+    skip = g.evidence_edges()
+    pair = np.concatenate([g.chain, skip])
+    table = np.exp(np.concatenate([np.repeat(field.chain[None], len(g.chain), 0), np.repeat(field.skip[None], len(skip), 0)]))
     a, b = np.concatenate([pair[:, 0], pair[:, 1]]), np.concatenate([pair[:, 1], pair[:, 0]])
     table = np.concatenate([table, table.transpose(0, 2, 1)])
     m, back = np.zeros((len(a), k)), np.concatenate([np.arange(len(pair)) + len(pair), np.arange(len(pair))])
+    held = (g.label[a] > 0)[:, None]
     for _ in range(spec.rounds if len(pair) else 0):
         total = unary.copy()
         for c in range(k):
             total[:, c] += np.bincount(b, weights=m[:, c], minlength=len(unary))
-        out = total[a] - m[back]
+        out = np.where(held, unary[a], total[a] - m[back])
         out -= out.max(axis=1, keepdims=True)
         new = np.log(np.einsum("ej,ejk->ek", np.exp(out), table) + 1e-12)
         new -= new.mean(axis=1, keepdims=True)
-        m = spec.damping * m + (1 - spec.damping) * new
+        new = spec.damping * m + (1 - spec.damping) * new
+        change, m = np.abs(new - m).max(), new
+        if change < spec.tolerance:
+            break
     total = unary.copy()
     for c in range(k):
         total[:, c] += np.bincount(b, weights=m[:, c], minlength=len(unary)) if len(pair) else 0
+    total[known] = unary[known]
     p = np.exp(total - total.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 
