@@ -77,6 +77,24 @@ def test_evidence_reaches_every_mention(last):
     assert "jo.do" not in pii.mask(text, every)
 
 
+def test_tokens_end_at_delimiters():
+    cut = lambda t: [t[a:b] for a, b in pii.tokens(t)]
+    assert cut('{"a":"jo(at)x[dot]com","n":[4111111111111111,12]} 1,234,567 +1(389)555-0101 12:30 x|y') == [
+        "a", "jo(at)x[dot]com", "n", "4111111111111111", "12", "1,234,567", "+1(389)555-0101", "12:30", "x|y"]
+    assert cut("(389) mailto:jo@x.com?b=1,jo@y.de o'do@x.com") == ["(389)", "mailto", "jo@x.com?b", "1", "jo@y.de", "o'do@x.com"]
+
+
+def test_mentions_in_text_without_white_space():
+    """A written address in minified JSON of over 256 characters is a span of its own, and a long token has its shape and key."""
+    train = [f"mail u{i}@h{i}.example.com now and card 41111111111111{i:02d} or +1 (389) 555-01{i:02d} in 19{i:02d} for {i} items" for i in range(60)]
+    field = pii.fit_field([pii.graph(train, [pii.base_spans(t) for t in train])], pii.PiiSpec())
+    text = '{"mail":"jo.do@mail.example.com","rows":[' + '"abc",' * 100 + '"jo.do(at)mail.example.com"],"n":1}'
+    every = pii.find_spans([text], field, pii.PiiSpec())[1][0]
+    assert [(text[s:e], pii.NAMES[k]) for s, k, e in every] == [("jo.do@mail.example.com", "email"), ("jo.do(at)mail.example.com", "email_like")]
+    long = "a" * 300 + "@mail.example.com " + "a" * 300 + "(at)mail.example.com"
+    assert [pii.NAMES[k] for _, k, _ in pii.find_spans([long], field, pii.PiiSpec())[1][0]] == ["email", "email_like"]
+
+
 def test_one_pair_of_nodes_is_exact():
     """With one edge, message passing is exact: beliefs equal the sums over all labellings."""
     rng = np.random.default_rng(0)

@@ -2,7 +2,8 @@
 
 The base spans are fixed patterns (e-mail, IP, card, phone), found left to right without overlap per
 kind. The field adds what the patterns miss. Its nodes are the tokens of a document that could be
-personal data at all: those with a digit or an at sign. Neighbouring nodes are linked along the
+personal data at all: those with a digit or an at sign, of any length, between white space, quotes,
+brackets and other delimiters. Neighbouring nodes are linked along the
 chain, and nodes with the same digits or the same address, however far apart, by skip edges. Node
 potentials come from the shape of a token, edge potentials from how often labels meet on such edges;
 base spans are evidence, which no message changes. Loopy, damped sum-product passing then spreads a
@@ -46,6 +47,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _NODE = re.compile(r"[0-9@]")
 _AT = re.compile(r"[(\[{]at[)\]}]|@", re.I)
+#: What ends a token besides white space: not the brackets of a written address or a number, thousands separators, times, dates and apostrophes.
+_CUT = re.compile(r"""["`<>|=&;\\]|(?<![A-Za-z])'|'(?![A-Za-z])|[:/](?![0-9])|(?<![0-9])[:/]|(?<![0-9]),|,(?![0-9]{3}(?![0-9]))|(?<=[0-9]{4}),"""
+                  r"""|[\[{](?!(?:at|dot)[)\]}])|(?<![(\[{]at)(?<![(\[{]dot)[\]}]|\((?!(?:at|dot)[)\]}]|[0-9])|(?<![(\[{]at)(?<![(\[{]dot)(?<![0-9])\)""", re.I)
 _DOT = re.compile(r"[(\[{]dot[)\]}]", re.I)
 
 
@@ -169,31 +173,46 @@ class Graph:
         return np.concatenate([*out, self.skip[bare]])
 
 
+def tokens(text: str):
+    """(start, end) of the runs between white space; runs that may hold personal data are split at delimiters too."""
+    for m in _TOKEN.finditer(text):
+        at, end = m.span()
+        if _NODE.search(text, at, end) or _AT.search(text, at, end):
+            for cut in _CUT.finditer(text, at, end):
+                if cut.start() > at:
+                    yield at, cut.start()
+                at = cut.end()
+        if end > at:
+            yield at, end
+
+
 def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
     start, end, label, shapes, owner, chain, skip, root = [], [], [], [], [], [], [], []
     cache: dict[str, tuple] = {}
     for d, (text, found) in enumerate(zip(texts, spans)):
         seen: dict[str, int] = {}
         before, index, at, n = -2, -1, 0, len(found)
-        for m in _TOKEN.finditer(text):
+        for left, right in tokens(text):
             index += 1
-            token = m.group()
+            token = text[left:right]
             if not _NODE.search(token) and not _AT.search(token):
                 continue
             hit = cache.get(token)
             if hit is None:
-                hit = cache[token] = (shape(token), alike(token)) if len(token) <= 256 else ([True] + [False] * (len(SHAPES) - 1), None)
+                hit = shape(token), alike(token)
+                if len(token) <= 256:
+                    cache[token] = hit
             me = len(start)
-            while at < n and found[at][2] <= m.start():
+            while at < n and found[at][2] <= left:
                 at += 1
             y, key = 0, hit[1]
             for s, k, e in found[at:at + 4]:
-                if s < m.end() and e > m.start():
+                if s < right and e > left:
                     y = k + 1
                     if k >= 2:      # a number of several tokens is one thing
                         key = "#" + "".join(c for c in text[s:e] if c.isdigit())
                     break
-            start.append(m.start()), end.append(m.end()), label.append(y), shapes.append(hit[0]), owner.append(d)
+            start.append(left), end.append(right), label.append(y), shapes.append(hit[0]), owner.append(d)
             if before == index - 1:
                 chain.append((me - 1, me))
             before = index
