@@ -213,3 +213,32 @@ def test_one_length_is_ranked_in_groups(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(5).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"))
     got = packing.ranked(rows, {5: 1000}, packing.PackSpec("", least_group=100)).collect()
     assert sorted(r["_rank"] for r in got) == list(range(1000))
+
+
+def test_repair_goes_on_until_no_pair_pays():
+    """At the settings that queries use: no pair is left that saves more than its rule takes, and decoding is exact."""
+    rng = np.random.default_rng(6)
+    phrases = [rng.integers(0, 900, 8) for _ in range(150)]
+    ids = np.concatenate([phrases[i] if rng.random() < 0.3 else rng.integers(0, 900, 8) for i in rng.integers(0, 150, 4000)])
+    lengths = np.full(320, 100)
+    payload = repair.write_block(list(range(320)), lengths, ids.copy(), repair.RepairSpec(""))
+    block = repair.Block(payload)
+    assert np.array_equal(block.ids(), ids)
+    last = np.zeros(len(ids), bool)
+    last[np.cumsum(lengths) - 1] = True
+    distinct, code = np.unique(ids, return_inverse=True)
+    symbols, last, rules = repair.compress(code.astype(np.int64), last, len(distinct), repair.RepairSpec(""))
+    seen, used = {}, -1
+    for i, (a, b) in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist())):
+        if not last[i] and not (a == b and used == i - 1 and symbols[i - 1] == a):
+            seen[a, b] = seen.get((a, b), 0) + 1
+            used = i
+    assert len(rules) and 2 * max(seen.values()) <= 12
+
+
+def test_the_more_frequent_of_overlapping_pairs_goes_first():
+    symbols = np.array([0, 1, 2] * 10 + [1, 2] * 10)
+    last = np.zeros(len(symbols), bool)
+    last[-1] = True
+    rules = repair.compress(symbols, last, 3, repair.RepairSpec(""))[2]
+    assert rules[0].tolist() == [1, 2]

@@ -2,8 +2,9 @@
 
 Documents are dealt to range partitions of doc_id and written in ascending order. A partition writes
 blocks of about ``block_tokens`` ids. Within a block, frequent pairs of neighbouring symbols are
-replaced by new symbols, round after round, until a round no longer shortens the block enough; a pair
-never spans two documents, so every document is a stretch of symbols of its own. A block stores the
+replaced by new symbols, round after round, until no pair saves more bytes than its rule takes; of
+overlapping pairs the more frequent goes first. A rule that would widen the symbols of the whole block
+from two to four bytes does not pay. A pair never spans two documents, so every document is a stretch of symbols of its own. A block stores the
 pairs behind the new symbols (the rules) and how many ids each symbol stands for, from which the place
 of any document or id range is known without expanding what precedes it.
 
@@ -46,47 +47,69 @@ class RepairSpec:
     end_id: int = 2
     mode: str = "leading"           # how words meet in the tokenizer, see wordcache
     block_tokens: int = 1 << 20
-    least_count: int = 24           # of a pair that becomes a rule
+    least_count: int = 0            # of a pair that becomes a rule; 0: as many as pay for it
     rules_per_round: int = 4096
-    least_gain: float = 0.04        # share by which a round must shorten a block to be followed by another
-    max_rounds: int = 12
+    least_gain: float = 0.0         # share by which a round must shorten a block to be followed by another
+
+
+_RULE_BYTES, _NARROW = 12, 1 << 16  # two symbols and a length; symbols that two bytes can tell apart
+
+
+def _frequent_first(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the places ``at`` (ascending) remain when those of lower rank, taken first, rule out their neighbours; neighbours differ in rank."""
+    keep, open_ = np.zeros(len(at), bool), np.arange(len(at))
+    while len(open_):
+        a, k = at[open_], rank[open_]
+        touch = np.diff(a) == 1
+        win = np.ones(len(a), bool)
+        win[1:] &= ~touch | (k[1:] < k[:-1])
+        win[:-1] &= ~touch | (k[:-1] < k[1:])
+        keep[open_[win]] = True
+        gone = win.copy()
+        gone[1:] |= touch & win[:-1]
+        gone[:-1] |= touch & win[1:]
+        open_ = open_[~gone]
+    return keep
 
 
 def compress(symbols: np.ndarray, last: np.ndarray, alphabet: int, spec: RepairSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, last, rules): pairs that do not span a document's last symbol replaced, most frequent first.
 
     A round counts pairs in hashed cells, looks only at the cells that are full enough, counts these
-    exactly, and replaces the chosen pairs left to right without overlap.
+    exactly without overlap of a pair with itself, and replaces the chosen pairs. The most frequent
+    one is replaced everywhere, so every round makes a rule that pays.
     """
     rules: list[np.ndarray] = []
     n = alphabet
-    for _ in range(spec.max_rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
+        room = _NARROW - n if n <= _NARROW else spec.rules_per_round
+        least = spec.least_count or _RULE_BYTES // (2 if n <= _NARROW else 4) + 1
         key = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
         cell = ((key * _MULT) >> np.uint64(44)).astype(np.int64)
         cell[last[:-1]] = 1 << 20
-        full = np.bincount(cell, minlength=(1 << 20) + 1) >= spec.least_count
+        full = np.bincount(cell, minlength=(1 << 20) + 1) >= least
         full[1 << 20] = False
         at = np.flatnonzero(full[cell])
-        if not len(at):
+        if not len(at) or not room:
             break
+        head = np.concatenate([[True], (np.diff(at) != 1) | (key[at[1:]] != key[at[:-1]])])     # of a run of one symbol
+        place = np.arange(len(at))
+        at = at[(place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0]
         pair, index, count = np.unique(key[at], return_inverse=True, return_counts=True)
-        good = np.flatnonzero(count >= spec.least_count)
+        good = np.flatnonzero(count >= least)
         if not len(good):
             break
-        if len(good) > spec.rules_per_round:
-            good = np.sort(good[np.argsort(-count[good], kind="stable")[:spec.rules_per_round]])
-        new = np.full(len(pair), -1, np.int64)
-        new[good] = n + np.arange(len(good))
-        chosen = new[index]
+        good = good[np.argsort(-count[good], kind="stable")[:min(room, spec.rules_per_round)]]
+        rank = np.full(len(pair), -1, np.int64)
+        rank[good] = np.arange(len(good))
+        chosen = rank[index]
         at, chosen = at[chosen >= 0], chosen[chosen >= 0]
-        head = np.concatenate([[True], np.diff(at) != 1])          # of a run of overlapping pairs
-        place = np.arange(len(at))
-        keep = (place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0
+        keep = _frequent_first(at, chosen)
         at, chosen = at[keep], chosen[keep]
+        pays = np.bincount(chosen, minlength=len(good)) >= least
+        at, chosen, good = at[pays[chosen]], (np.cumsum(pays) - 1)[chosen[pays[chosen]]], good[pays]
         before = len(symbols)
-        symbols[at] = chosen
+        symbols[at] = n + chosen
         last[at] = last[at + 1]
         stay = np.ones(before, bool)
         stay[at + 1] = False
