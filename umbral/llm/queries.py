@@ -19,6 +19,7 @@ from umbral.llm.packing import PackSpec, pack
 from umbral.llm.pii import detect, fit_pii
 from umbral.llm.quality import quality_scores
 from umbral.llm.repair import RepairSpec, token_files
+from umbral.llm.spelling import spelling_groups
 from umbral.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_counts(table(spark, sf_dir, "documents"), CountSpec(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
