@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from umbral.llm.attribution import CountSpec, section_counts
 from umbral.llm.common import ship_package
+from umbral.llm.crosstok import CrossSpec, cross_tokens
 from umbral.llm.jaccard import near_duplicates
 from umbral.llm.labelled import in_fold
+from umbral.llm.language import languages
 from umbral.llm.linecrf import fit_lines, judge
 from umbral.llm.mixing import mix, mix_sql
 from umbral.llm.neighbours import search
@@ -97,3 +99,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_spelling_variants")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op12_cross_tokens")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens(table(spark, sf_dir, "documents"), CrossSpec(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@register("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"), in_fold(5, 0))
