@@ -47,10 +47,9 @@ def test_scores_equal_kernel_ridge_regression():
     spec = replace(SPEC, landmarks=60, ridge=1.0)
     model = L.fit(texts, langs, spec)
     fresh = [draw("abcde"), draw("cdefg"), draw("efghi"), draw("abefi")]
-    sets = [grams(t, spec.width) for t in texts]
-    k = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
-    gram = np.array([[k(a, b) for b in sets] for a in sets])
-    ask = np.array([[k(grams(t, spec.width), b) for b in sets] for t in fresh])
+    bits, asked = (L.presence(t, spec)[0].astype(float) for t in (texts, fresh))
+    unit = lambda x: x / np.sqrt(x.sum(axis=1, keepdims=True))
+    gram, ask = unit(bits) @ unit(bits).T, unit(asked) @ unit(bits).T
     for col, g in enumerate(model.langs):
         y = np.where(np.array(langs) == g, 1.0, -1.0)
         # all weights are 1/60: the dual solution with a free constant

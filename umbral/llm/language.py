@@ -97,32 +97,30 @@ class LanguageModel:
     """Landmarks as packed presence rows, which is what travels; ``weights``: one row a landmark and the constant last, one column a language."""
 
     def __init__(self, spec: LanguageSpec, langs: list[str], marks: np.ndarray, weights: np.ndarray):
-        self.spec, self.langs, self.packed, self.weights = spec, langs, np.packbits(marks, axis=1), weights.astype(np.float32)
-        self._unit = None
+        self.spec, self.langs, self.packed, self.weights = spec, langs, np.packbits(marks, axis=1), weights
+        self._marks = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_unit": None}
+        return self.__dict__ | {"_marks": None}
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        """texts x languages: about 1 for the language of a text and -1 for the others."""
-        if self._unit is None:
-            self._unit = unit_rows(np.unpackbits(self.packed, axis=1))
-        return kernel(x, self._unit) @ self.weights[:-1] + self.weights[-1]
-
-
-def unit_rows(x: np.ndarray) -> np.ndarray:
-    return (x / np.sqrt(np.maximum(x.sum(axis=1, dtype=np.int64), 1))[:, None]).astype(np.float32)
+        """texts x languages: about 1 for the language of a text and -1 for the others; a text's row does not depend on its neighbours."""
+        if self._marks is None:
+            self._marks = np.unpackbits(self.packed, axis=1).astype(np.float32)
+        return np.einsum("ij,jk->ik", kernel(x, self._marks), self.weights[:-1]) + self.weights[-1]
 
 
 #: Presence rows turned into floats at a time.
 _ROWS = 128
 
 
-def kernel(x: np.ndarray, unit: np.ndarray) -> np.ndarray:
-    """Kernels of presence rows with rows of unit length, a bounded batch at a time."""
-    out = np.zeros((len(x), len(unit)), np.float32)
+def kernel(x: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Kernels of presence rows with those of the landmarks, a bounded batch at a time; the products count n-grams, so they are exact."""
+    out, size = np.zeros((len(x), len(marks))), np.sqrt(np.maximum(marks.sum(axis=1, dtype=np.float64), 1))
     for at in range(0, len(x), _ROWS):
-        out[at:at + _ROWS] = unit_rows(x[at:at + _ROWS]) @ unit.T
+        part = x[at:at + _ROWS]
+        own = np.sqrt(np.maximum(part.sum(axis=1, dtype=np.int64), 1))
+        out[at:at + _ROWS] = (part.astype(np.float32) @ marks.T) / own[:, None] / size
     return out
 
 
@@ -136,12 +134,12 @@ def fit(texts: list[str], langs: list[str], spec: LanguageSpec = LanguageSpec())
     y = np.array([names.index(g) for g in langs])
     each = max(1, spec.landmarks // len(names))
     chosen = np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(names))])
-    marks = unit_rows(x[chosen])
+    marks = x[chosen].astype(np.float32)
     # whitening by the landmarks' own kernels; directions without weight are left out
-    value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    value, vector = np.linalg.eigh(kernel(x[chosen], marks))
     good = value > 1e-6 * value[-1]
     white = vector[:, good] / np.sqrt(value[good])
-    z = np.concatenate([kernel(x, marks).astype(np.float64) @ white, np.ones((len(x), 1))], axis=1)
+    z = np.concatenate([kernel(x, marks) @ white, np.ones((len(x), 1))], axis=1)
     target = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0)
     # languages weigh alike however many of their texts are in the sample
     weight = (1.0 / np.bincount(y))[y][:, None] / len(names)
