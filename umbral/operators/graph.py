@@ -43,6 +43,22 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", a
     return nodes.select(node).distinct().join(label, node, "left").withColumn(component, F.coalesce(component, node))
 
 
+def extend_components(comp: DataFrame, edges: DataFrame, node: str = "id", a: str = "a", b: str = "b", component: str = "component") -> DataFrame:
+    """``comp`` (node, component) after ``edges`` (a, b) between its nodes came in; ids stay smallest members.
+
+    The edges are read as edges between the component ids of their ends, which leaves as many nodes as
+    there are components that move; those are solved and composed with ``comp`` by one join.
+    """
+    end = lambda side: comp.select(F.col(node).alias(side), F.col(component).alias(f"_{side}"))
+    between = cut(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).join(end("x"), "x").join(end("y"), "y")
+                  .filter("_x <> _y").select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct())
+    if between.limit(1).count() == 0:
+        return comp
+    moved = between.select(F.col("a").alias(component)).union(between.select("b")).distinct()
+    solved = connected_components(moved, between, node=component, component="_to")
+    return cut(comp.join(solved, component, "left").select(node, F.coalesce("_to", component).alias(component)))
+
+
 def top_k_edges(hits: DataFrame, spec: NetworkSpec = NetworkSpec(), query: str = "query", target: str = "target") -> DataFrame:
     """(source, target, evalue): at most k best targets per query, then one row per undirected edge.
 
