@@ -314,6 +314,18 @@ def test_representatives_follow_the_greedy_rule(spark):
 
 # ---- families, curves, registry, labels ---------------------------------------------------
 
+@pytest.mark.parametrize("gather", [0, 3, 4096])
+def test_distinct_counts_of_a_group_with_most_rows(spark, gather):
+    rnd = random.Random(gather)
+    data = [("hot" if rnd.random() < 0.6 else f"g{rnd.randrange(300)}", rnd.choice([None, *range(50_000)]), rnd.choice(["x", "y", None])) for _ in range(4000)]
+    data += [("bare", None, None)] * 5 + [(None, 7, "x")]
+    df = spark.createDataFrame(data, "k string, a int, b string").filter("k IS NOT NULL")
+    got = M.distinct_counts(df, "k", {"a": "na", "b": "nb"}, gather)
+    want = {k: (len({a for q, a, _ in data if q == k and a is not None}), len({b for q, _, b in data if q == k and b is not None})) for k in {d[0] for d in data} - {None}}
+    assert {r.k: (r.na, r.nb) for r in got.collect()} == want
+    assert "Expand" not in got._jdf.queryExecution().toString()
+
+
 def test_recurrence_counts_lineages_not_records(spark):
     items = spark.createDataFrame([("s1", "r1"), ("s1", "r1"), ("s1", "r2"), ("s2", "r3")], "seq_id string, plasmid_id string")
     mem = spark.createDataFrame([("F", "s1"), ("F", "s2"), ("G", "gone")], "family_id string, seq_id string")

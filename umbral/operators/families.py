@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from umbral.functions import fixed as X
 from umbral.functions.predicates import blank, reasons
+from umbral.operators.graph import number_globally
+from umbral.session import cut
 from umbral.specs import RaritySpec
 
 
@@ -100,32 +102,60 @@ def family_records(members: DataFrame, items: DataFrame, family: str = "family_i
         members.select(family, entity), entity).groupBy(family, record).agg(F.sum("_c").alias("n_copies"))
 
 
+#: Rows of a group whose distinct values are gathered as they are; a larger group counts in bitmaps.
+GATHER = 4096
+
+
+def distinct_counts(rows: DataFrame, key: str, values: dict[str, str], gather: int = GATHER) -> DataFrame:
+    """(key, one column per entry): how many distinct values other than NULL each column of ``values`` (column: name) has in a group.
+
+    No row is repeated per column. A group of at most ``gather`` rows holds its values in sets, which
+    that bounds. In a larger group every value has a number, and a group's numbers are bits: a bitmap
+    of 4 KB per 32,768 numbers, built where the rows lie and combined by OR, so a group that
+    holds a third of all rows sends a few bitmaps per task and no task sees its rows.
+    """
+    size = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > gather).select(key)
+    large = cut(size)
+    few = rows.join(large, key, "left_anti").groupBy(key).agg(*[F.size(F.collect_set(F.col(c))).cast("bigint").alias(a) for c, a in values.items()])
+    if large.limit(1).count() == 0:
+        return few
+    many = rows.join(large, key, "left_semi").select(key, F.explode(F.array(*[
+        F.struct(F.lit(a).alias("d"), F.col(c).cast("string").alias("v")) for c, a in values.items()])).alias("x")).select(key, "x.*").filter("v IS NOT NULL")
+    names = number_globally(many.select("d", "v").distinct(), [F.asc("d"), F.asc("v")], "i")
+    bits = (many.join(names, ["d", "v"]).groupBy(key, "d", F.bitmap_bucket_number("i").alias("b"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("i")).alias("m")))
+    count = lambda a: F.coalesce(F.sum(F.when(F.col("d") == a, F.bitmap_count("m"))), F.lit(0)).cast("bigint").alias(a)
+    # a group without any value has no bitmap and still a row
+    counted = large.join(bits, key, "left").groupBy(key).agg(*[count(a) for a in values.values()])
+    return few.unionByName(counted)
+
+
 def recurrence(members: DataFrame, items: DataFrame, registry: DataFrame, lineage: DataFrame, sources: DataFrame,
-               family: str = "family_id", entity: str = "seq_id", record: str = "plasmid_id") -> DataFrame:
+               family: str = "family_id", entity: str = "seq_id", record: str = "plasmid_id", gather: int = GATHER) -> DataFrame:
     """Separate distribution counts per family; record counts are never read as independence.
 
     ``registry``: (record, species, genus, predicted_host_range, mob_cluster, hab_top).
     ``lineage``: (record, lineage). ``sources``: (record, source), exploded.
     """
-    fr = family_records(members, items, family, entity, record)
-    r = fr.join(registry, record, "left").join(lineage.select(record, "lineage"), record, "left")
-    val = lambda c: F.when(~blank(F.col(c).cast("string")), F.col(c))
-    d = lambda c, a: F.count_distinct(val(c)).alias(a)
-    c = lambda col, a: F.count(val(col)).alias(a)
+    fr = cut(family_records(members, items, family, entity, record))
+    val = lambda c: F.when(~blank(F.col(c).cast("string")), F.col(c)).alias(c)
+    facts = ("lineage", "species", "genus", "predicted_host_range", "mob_cluster", "hab_top")
+    r = cut(fr.join(registry, record, "left").join(lineage.select(record, "lineage"), record, "left").select(family, "n_copies", *[val(c) for c in facts]))
     agg = r.groupBy(family).agg(
         F.sum("n_copies").alias("plasmid_occurrence_count"), F.count(F.lit(1)).alias("unique_plasmid_count"),
-        d("lineage", "independent_plasmid_cluster_count"), d("species", "host_count"), d("genus", "genus_count"),
-        c("genus", "n_plasmids_with_host"), c("species", "n_plasmids_with_species"),
-        c("predicted_host_range", "n_plasmids_with_predicted_range"),
-        d("predicted_host_range", "predicted_host_range_count"),
-        F.array_join(F.sort_array(F.collect_set(val("predicted_host_range"))), ";").alias("predicted_host_ranges"),
-        d("mob_cluster", "MOB_count"), d("hab_top", "habitat_count"))
-    src = fr.join(sources.select(record, "source").distinct(), record).groupBy(family).agg(
-        F.count_distinct("source").alias("database_source_count"))
+        F.count("genus").alias("n_plasmids_with_host"), F.count("species").alias("n_plasmids_with_species"),
+        F.count("predicted_host_range").alias("n_plasmids_with_predicted_range"))
+    # the list of ranges is part of the answer: distinct pairs first, so that it is gathered from the answer alone
+    ranges = (r.filter("predicted_host_range IS NOT NULL").select(family, "predicted_host_range").distinct().groupBy(family)
+              .agg(F.array_join(F.sort_array(F.collect_list("predicted_host_range")), ";").alias("predicted_host_ranges")))
+    counts = distinct_counts(r, family, {"lineage": "independent_plasmid_cluster_count", "species": "host_count", "genus": "genus_count",
+                                         "predicted_host_range": "predicted_host_range_count", "mob_cluster": "MOB_count", "hab_top": "habitat_count"}, gather)
+    src = (fr.join(sources.select(record, "source").distinct(), record).select(family, "source").distinct().groupBy(family)
+           .agg(F.count(F.lit(1)).alias("database_source_count")))
     fam = members.select(family).distinct()
-    zero = [x for x in agg.columns if x not in (family, "predicted_host_ranges")] + ["database_source_count"]
-    out = fam.join(agg, family, "left").join(src, family, "left").withColumns(
-        {x: F.coalesce(x, F.lit(0)) for x in zero})
+    out = fam.join(agg, family, "left").join(counts, family, "left").join(ranges, family, "left").join(src, family, "left")
+    zero = [x for x in out.columns if x not in (family, "predicted_host_ranges")]
+    out = out.withColumns({x: F.coalesce(x, F.lit(0)) for x in zero})
     return out.withColumn("predicted_host_ranges", F.coalesce("predicted_host_ranges", F.lit(""))).withColumn(
         "independent_cluster_status", F.when(F.col("independent_plasmid_cluster_count") > 0, X.SUCCESS).otherwise(X.NOT_RUN)
     ).withColumn("host_count_status", F.when(F.col("n_plasmids_with_host") > 0, X.SUCCESS).otherwise(X.NOT_MEASURED))
