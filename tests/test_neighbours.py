@@ -41,7 +41,25 @@ KEYS = ("start", "end", "orf_id")
 
 def test_ordinals(world, items, rows):
     want = sorted((rec, r[1], i, len(v)) for rec, v in by_record(world).items() for i, r in enumerate(v))
-    assert rows(N.ordinals(items, "plasmid_id", KEYS, bin_width=37), "plasmid_id", "orf_id", "ord", "n_items") == want
+    assert rows(N.ordinals(items, "plasmid_id", KEYS, bin_rows=5), "plasmid_id", "orf_id", "ord", "n_items") == want
+
+
+def test_a_record_with_half_of_all_rows_spreads(spark):
+    """Clustered and repeated coordinates: bins are cut where the rows are."""
+    rnd = random.Random(4)
+    hot = [(0, rnd.choice([7, 7, 7, rnd.randint(1, 30), rnd.randint(1, 10 ** 9)]), i) for i in range(6000)]
+    data = hot + [(1 + i % 300, rnd.randint(1, 99), 6000 + i) for i in range(6000)]
+    df = spark.createDataFrame(data, "r int, start int, id int")
+    key = F.struct(F.col("start").alias("_0"), F.col("id").alias("_1"))
+    large = spark.createDataFrame([(0, 6000, 60)], "r int, _rows long, _bins int")
+    sizes = [x["count"] for x in df.filter("r = 0").crossJoin(N.splitters(df, large, "r", key).select("_cuts")).groupBy(N.bin_of(key)).count().collect()]
+    assert len(sizes) >= 40 and max(sizes) <= 400 and sum(sizes) == 6000
+    got = {x["id"]: (x["ord"], x["n_items"]) for x in N.ordinals(df, "r", ("start", "id"), bin_rows=100).collect()}
+    want = {}
+    for rec in {d[0] for d in data}:
+        mine = sorted((d[1], d[2]) for d in data if d[0] == rec)
+        want |= {i: (n, len(mine)) for n, (_, i) in enumerate(mine)}
+    assert got == want
 
 
 def test_numbering_twice_is_refused(items):
@@ -51,7 +69,7 @@ def test_numbering_twice_is_refused(items):
 
 @pytest.mark.parametrize("tile", [3, 7, 1000])
 def test_flanks(world, items, rows, tile):
-    o = N.ordinals(items, "plasmid_id", KEYS, bin_width=50)
+    o = N.ordinals(items, "plasmid_id", KEYS, bin_rows=9)
     f = N.flanks(o, 3, F.col("circular"), [F.col("orf_id").alias("i")], tile_rows=tile)
     got = {r.orf_id: ([x.i for x in r.left], [x.i for x in r.right]) for r in f.select("orf_id", "left", "right").collect()}
     for v in by_record(world).values():
@@ -165,3 +183,16 @@ def test_twins_against_definition(spark):
     for r in out:
         s, e = at[r.call_id][2:4]
         assert (r.start, r.end) == (s - 300 if s > 300 else s, e - 300 if e > 300 else e) and r.origin_spanning == int(s <= 300 < e)
+
+
+def test_overlaps_of_very_different_lengths(spark):
+    """A pair meets once whatever the two lengths are, and a long interval is not copied into the bins it covers."""
+    rnd = random.Random(8)
+    draw = lambda n, first: [(rnd.randrange(2), first + i, s, s + rnd.choice([0, 3, 90, 5_000, 400_000, 30_000_000])) for i in range(n) for s in [rnd.randint(1, 50_000_000)]]
+    items, el = draw(150, 0), draw(150, 1000)
+    top = [(r, 2000 + r, 1, 90_000_000) for r in (0, 1)]
+    frame = lambda d, c: spark.createDataFrame(d, f"plasmid_id int, {c} int, start int, end int")
+    got = sorted((x["i"], x["el_e"]) for x in N.interval_overlap_join(frame(items, "i"), frame(el + top, "e"), bin_width=10).collect())
+    assert got == sorted((i, e) for r, i, a, b in items for q, e, c, d in el + top if r == q and a <= d and b >= c)
+    plan = N.interval_overlap_join(frame(top, "i"), frame(top, "e"), bin_width=10)
+    assert plan.count() == 2

@@ -1,8 +1,8 @@
 """Ordered neighbours on linear and circular records, without a task per record.
 
-A record may hold a third of all items, so nothing here scans a record in one window.
-``ordinals`` cuts each record into coordinate bins, ranks inside a bin and adds the counts of
-the bins before it. ``tiles`` then cuts the ordinals into runs of ``tile_rows`` items with a
+A record may hold a third of all items, so nothing here scans a large record in one window.
+``ordinals`` cuts a large record at measured splitters into bins of about equal count, ranks inside
+a bin and adds the counts of the bins before it. ``tiles`` then cuts the ordinals into runs of ``tile_rows`` items with a
 halo of ``w`` items on both sides (across the origin of a circle too), and the windows run per
 (record, tile). A record shorter than a tile is one tile, so the common case costs nothing.
 """
@@ -15,26 +15,58 @@ from pyspark.sql import functions as F
 from umbral.functions.coords import segments
 from umbral.session import cut
 
-BIN_WIDTH = 1_000_000
+#: Items of a record above which it is cut into bins, and the most bins it is cut into.
+BIN_ROWS = 200_000
+MAX_BINS = 1024
 TILE_ROWS = 200_000
+_PER_BIN = 16
+
+
+def splitters(items: DataFrame, large: DataFrame, record: str, key: Column) -> DataFrame:
+    """(record, _cuts): ascending values of ``key`` that cut each record of ``large`` (record, _rows, _bins) into bins of about equal count.
+
+    They are every 16th of about 16 sampled keys per bin. A row is in the sample by a hash of its
+    key, so a record's sample has the size the bins ask for and not the record's.
+    """
+    share = F.least(F.lit(1.0), F.col("_bins") * float(_PER_BIN) / F.col("_rows"))
+    drawn = (items.select(record, key.alias("_k")).join(large, record)
+             .filter(F.pmod(F.xxhash64("_k"), F.lit(1 << 30)) < share * (1 << 30)).select(record, "_k").distinct())
+    return drawn.groupBy(record).agg(F.sort_array(F.collect_list("_k")).alias("_s")).select(
+        record, F.filter("_s", lambda x, i: i % _PER_BIN == _PER_BIN - 1).alias("_cuts"))
+
+
+def bin_of(key: Column, cuts: str = "_cuts") -> Column:
+    """How many cuts are at most ``key``: steps of 32 first, then single ones."""
+    step = F.size(F.filter(cuts, lambda x, i: (i % 32 == 31) & (x <= key))) * 32
+    return F.coalesce(step + F.size(F.filter(F.slice(cuts, step + 1, F.lit(32)), lambda x: x <= key)), F.lit(0))
 
 
 def ordinals(items: DataFrame, record: str = "plasmid_id", order=("start", "end"), name: str = "ord",
-             count: str | None = "n_items", bin_width: int = BIN_WIDTH, first: Column | None = None) -> DataFrame:
+             count: str | None = "n_items", bin_rows: int = BIN_ROWS, first: Column | None = None) -> DataFrame:
     """Zero-based position ``name`` in ``order`` within each record, and the record's size.
 
-    ``order[0]`` is the numeric coordinate the bins are cut on. ``first`` marks items that
-    precede all others whatever their coordinate (items that span the origin).
+    ``first`` marks items that precede all others whatever their order (items that span the origin).
+    Records of at most ``bin_rows`` items are ranked as they are. Larger ones are cut by
+    :func:`splitters`, on all order columns together and whatever their type, so neither clustered
+    coordinates nor coordinates that repeat fill one bin.
     """
-    pos = F.floor(F.col(order[0]) / F.lit(bin_width)).cast("bigint")
-    key = pos if first is None else F.when(first, F.lit(-1).cast("bigint")).otherwise(pos)
-    binned = items.withColumn("_bin", key)
-    sizes = binned.groupBy(record, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    lead = [] if first is None else [F.when(first, F.lit(0)).otherwise(F.lit(1))]
+    by = lead + [F.col(c) for c in order]
+    known = items.filter(F.col(record).isNotNull())
     per = Window.partitionBy(record)
+    rows = known.groupBy(record).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > bin_rows)
+    large = cut(rows.withColumn("_bins", F.least(F.lit(MAX_BINS), F.ceil(F.col("_rows") / bin_rows).cast("int"))))
+    if large.limit(1).count() == 0:
+        out = known.withColumn(name, (F.row_number().over(per.orderBy(*by)) - 1).cast("bigint"))
+        return out.withColumn(count, F.count(F.lit(1)).over(per)) if count else out
+    key = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(by)])
+    cuts = cut(splitters(known, large, record, key))
+    binned = known.join(cuts, record, "left").withColumn("_bin", bin_of(key)).drop("_cuts")
+    sizes = binned.groupBy(record, "_bin").agg(F.count(F.lit(1)).alias("_n"))
     before = per.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(record, "_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
                            F.sum("_n").over(per).alias("_size"))
-    inside = Window.partitionBy(record, "_bin").orderBy(*[F.col(c) for c in order])
+    inside = Window.partitionBy(record, "_bin").orderBy(*by)
     out = (binned.join(offsets, [record, "_bin"])
            .withColumn(name, (F.col("_before") + F.row_number().over(inside) - 1).cast("bigint")))
     if count:
@@ -43,21 +75,21 @@ def ordinals(items: DataFrame, record: str = "plasmid_id", order=("start", "end"
 
 
 def assign_ordinals(items: DataFrame, record: str = "plasmid_id", order=("start", "end"),
-                    item: str = "orf_id", bin_width: int = BIN_WIDTH) -> DataFrame:
+                    item: str = "orf_id", bin_rows: int = BIN_ROWS) -> DataFrame:
     """Item ids '<record>|<n>', numbered once from 1; an already numbered input is refused."""
     if item in items.columns:
         raise ValueError(f"{item} is already assigned; numbering again would rename the items")
-    o = ordinals(items, record, order, "_ord", None, bin_width)
+    o = ordinals(items, record, order, "_ord", None, bin_rows)
     return o.withColumn(item, F.concat_ws("|", F.col(record).cast("string"), (F.col("_ord") + 1).cast("string"))).drop("_ord")
 
 
 def genomic_order(items: DataFrame, record: str = "plasmid_id", order=("start", "end"),
-                  spans: str = "spans_origin", bin_width: int = BIN_WIDTH) -> DataFrame:
+                  spans: str = "spans_origin", bin_rows: int = BIN_ROWS) -> DataFrame:
     """Position from 1, origin-spanning items first, and the padded '<record>_<position>' id.
 
     '_' in a record id becomes '-'. :func:`genomic_name_clashes` finds ids this would merge.
     """
-    o = ordinals(items, record, order, "_ord", None, bin_width, first=F.col(spans).cast("int") == 1)
+    o = ordinals(items, record, order, "_ord", None, bin_rows, first=F.col(spans).cast("int") == 1)
     safe = F.replace(F.col(record).cast("string"), F.lit("_"), F.lit("-"))
     pos = (F.col("_ord") + 1).cast("string")
     padded = F.when(F.length(pos) < 5, F.lpad(pos, 5, "0")).otherwise(pos)
@@ -184,16 +216,32 @@ def directons(ordered: DataFrame, max_gap: int, circular: Column, length: Column
     return units.join(named, [record, "unit"]).withColumn("unit", F.col("_final")).drop("_final")
 
 
+#: Interval lengths grow by this factor from level to level.
+LEVEL_FACTOR = 8
+
+
+def level_widths(finest: int) -> list[int]:
+    """Bin widths level by level, up to the largest coordinate a 64-bit integer holds."""
+    out = [finest]
+    while out[-1] < 2 ** 62 // LEVEL_FACTOR:
+        out.append(out[-1] * LEVEL_FACTOR)
+    return out
+
+
 def interval_overlap_join(items: DataFrame, elements: DataFrame, record: str = "plasmid_id",
-                          start: str = "start", end: str = "end", bin_width: int = 10_000,
+                          start: str = "start", end: str = "end", bin_width: int = 1_000,
                           elements_prefix: str = "el_", length: str | None = None) -> DataFrame:
     """Every (item, element) pair that overlaps on the same record; both may wrap the origin.
 
-    Both sides are cut into segments and the segments into coordinate bins; the join is an
-    equi-join on (record, bin). A pair of segments is emitted by one bin only, that of its
-    first common position, and a pair of features by its first overlapping segments only, so
-    no distinct over the result is needed. An origin-spanning feature reaches to the record's
-    last coordinate: ``length`` names that column, else it is the largest coordinate seen.
+    Both sides are cut into segments. A segment has one home: the bin its start lies in, at the lowest
+    level whose bins (``bin_width``, then eight times as wide from level to level) are as wide as the
+    segment is long. What overlaps it and is not longer than that level's bins starts in its home, a bin
+    before or after; so of two segments the one of the lower level asks for the other at the other's level, in at
+    most three bins, and only levels that the data have are asked for. A pair of segments meets in one
+    place, and how often a segment is copied depends on the number of levels and not on its length. A
+    pair of features is emitted by its first overlapping segments only, so no distinct over the result
+    is needed. An origin-spanning feature reaches to the record's last coordinate: ``length`` names
+    that column, else it is the largest coordinate seen.
     """
     el = elements.select(*[F.col(c).alias(c if c == record else elements_prefix + c) for c in elements.columns])
     es, ee = elements_prefix + start, elements_prefix + end
@@ -204,21 +252,37 @@ def interval_overlap_join(items: DataFrame, elements: DataFrame, record: str = "
     else:
         left = items.withColumn("_L", F.col(length))
         right = el.join(items.groupBy(record).agg(F.max(length).alias("_L")), record)
+    widths = level_widths(bin_width)
 
-    def cut(df, a, b, tag):
+    def placed(df, a, b, tag):
         seg = segments(F.col(a), F.col(b), F.col("_L"))
-        d = (df.withColumn(f"_{tag}all", seg).select("*", F.posexplode(f"_{tag}all").alias(f"_{tag}i", f"_{tag}s"))
-             .withColumn(f"_{tag}a", F.col(f"_{tag}s.seg_start")).withColumn(f"_{tag}b", F.col(f"_{tag}s.seg_end"))
-             .drop(f"_{tag}s", "_L"))
-        lo, hi = F.floor(F.col(f"_{tag}a") / bin_width), F.floor(F.col(f"_{tag}b") / bin_width)
-        return d.filter(F.col(f"_{tag}a") <= F.col(f"_{tag}b")).withColumn("_bin", F.explode(F.sequence(lo, hi)))
-
-    l, r = cut(left, start, end, "x"), cut(right, es, ee, "y")
-    meet = (F.col("_xa") <= F.col("_yb")) & (F.col("_xb") >= F.col("_ya"))
-    first_bin = F.floor(F.greatest("_xa", "_ya") / bin_width) == F.col("_bin")
+        lo, hi = F.col(f"_{tag}a"), F.col(f"_{tag}b")
+        level = sum((F.when(hi - lo >= w, 1).otherwise(0) for w in widths[1:-1]), F.when(hi - lo >= widths[0], 1).otherwise(0))
+        return (df.withColumn(f"_{tag}all", seg).select("*", F.explode(f"_{tag}all").alias(f"_{tag}s"))
+                .withColumn(f"_{tag}a", F.col(f"_{tag}s.seg_start").cast("bigint")).withColumn(f"_{tag}b", F.col(f"_{tag}s.seg_end").cast("bigint"))
+                .drop(f"_{tag}s", "_L").filter(lo <= hi).withColumn("_level", level))
+
+    l, r = placed(left, start, end, "x"), placed(right, es, ee, "y")
+    # a few small numbers per side: the levels that occur
+    levels = lambda d: sorted(v.asDict()["_level"] for v in d.select("_level").distinct().collect())
+    held_l, held_r = levels(l), levels(r)
+
+    def meet(df, tag, asks_own, other, turn):
+        """Homes in the turn of the side that is asked, probes in the other turn, as rows (turn, level, bin)."""
+        lo, hi, own = F.col(f"_{tag}a"), F.col(f"_{tag}b"), F.col("_level")
+        width = F.element_at(F.array(*[F.lit(w) for w in widths]), own + 1)
+        place = lambda t, n, k: F.struct(F.lit(t).alias("_turn"), n.cast("int").alias("_at"), k.cast("bigint").alias("_bin"))
+        home = F.array(place(1 - turn, own, F.floor(lo / width)))
+        asked = lambda n: F.transform(F.sequence(F.floor((lo - widths[n]) / widths[n]), F.floor(hi / widths[n])), lambda k: place(turn, F.lit(n), k))
+        none = F.array().cast("array<struct<_turn:int,_at:int,_bin:bigint>>")
+        probes = [F.when((F.lit(n) >= own) if asks_own else (F.lit(n) > own), asked(n)).otherwise(none) for n in other]
+        return df.withColumn("_p", F.explode(F.flatten(F.array(home, *probes)))).select("*", "_p.*").drop("_p", "_level")
+
+    a, b = meet(l, "x", True, held_r, 0), meet(r, "y", False, held_l, 1)
+    over = (F.col("_xa") <= F.col("_yb")) & (F.col("_xb") >= F.col("_ya"))
     # Earlier segment pairs of the same two features that also overlap would emit the pair twice.
     earlier = F.exists("_xall", lambda p: F.exists("_yall", lambda q: (
         (p["seg_start"] <= q["seg_end"]) & (p["seg_end"] >= q["seg_start"])
         & (F.struct(p["seg_start"], q["seg_start"]) < F.struct(F.col("_xa"), F.col("_ya"))))))
-    j = l.join(r, [record, "_bin"]).filter(meet & first_bin & ~earlier)
-    return j.drop("_bin", "_xall", "_yall", "_xi", "_yi", "_xa", "_xb", "_ya", "_yb")
+    j = a.join(b, [record, "_turn", "_at", "_bin"]).filter(over & ~earlier)
+    return j.drop("_turn", "_at", "_bin", "_xall", "_yall", "_xa", "_xb", "_ya", "_yb")

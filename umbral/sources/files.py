@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from umbral.functions import fixed as X
 from umbral.functions.predicates import absent
 from umbral.functions.text import comma_list
+from umbral.operators.neighbours import ordinals
 
 
 # ---- sequence files -----------------------------------------------------------------------
@@ -212,9 +213,10 @@ def read_is_elements(spark: SparkSession, path) -> DataFrame:
 
 
 def number_elements(raw: DataFrame, order: Sequence[str], record: str = "seqID") -> DataFrame:
-    w = Window.partitionBy(record).orderBy(*order)
-    return raw.select(
-        F.col(record).alias("plasmid_id"), F.concat(F.col(record).cast("string"), F.lit("|IS"), F.row_number().over(w).cast("string")).alias("is_id"),
+    """Elements numbered from 1 within their record; a record of any size is numbered in bins of it."""
+    numbered = ordinals(raw, record, order, "_number", None)
+    return numbered.select(
+        F.col(record).alias("plasmid_id"), F.concat(F.col(record).cast("string"), F.lit("|IS"), (F.col("_number") + 1).cast("string")).alias("is_id"),
         "family", "cluster", F.col("isBegin").cast("int").alias("start"), F.col("isEnd").cast("int").alias("end"),
         F.trim(F.coalesce("strand", F.lit(""))).alias("strand"), (F.col("type") == "c").cast("int").alias("complete"),
         F.col("`E-value`").alias("evalue"), F.when(F.col("tir") == "-:-", "").otherwise(F.coalesce("tir", F.lit(""))).alias("tir"),
