@@ -216,9 +216,13 @@ def dark_set(flags: DataFrame, items: DataFrame, key: str = "seq_id", partial: s
 
 
 def artefact_flags(entities: DataFrame, family_hits: DataFrame, max_fraction: float = 0.5,
-                   key: str = "seq_id", masked: str = "low_complexity_fraction") -> DataFrame:
-    """Strongest artefact-family hit and masked share per entity, with the reasons; no row is dropped."""
-    best = best_hit(family_hits, key, ["evalue"], ["family", "evalue"])
+                   key: str = "seq_id", masked: str = "low_complexity_fraction", max_evalue: float | None = None) -> DataFrame:
+    """Strongest artefact-family hit and masked share per entity, with the reasons; no row is dropped.
+
+    ``max_evalue`` admits hits up to it, where the search itself has not cut its list.
+    """
+    admitted = family_hits if max_evalue is None else family_hits.filter(as_evalue("evalue") <= max_evalue)
+    best = best_hit(admitted, key, ["evalue"], ["family", "evalue"])
     why = artefact_reasons("family", masked, max_fraction)
     return entities.join(best, key, "left").select(
         key, (F.size(why) > 0).cast("int").alias("artefact_flag"), F.col("family").alias("antifam_family"),
@@ -237,12 +241,15 @@ def expand_to_items(items: DataFrame, annotation: DataFrame, flags: DataFrame |
                     key: str = "seq_id") -> DataFrame:
     """Entity annotation over every item. On a name collision the item's column wins.
 
-    Annotation and flags have one row per entity: they are joined to each other first, so the items
-    meet one side in one join, which adaptive execution can split where an entity is hot.
+    Annotation and flags have one row per entity. They are stacked and folded by key first, one
+    aggregation instead of a full join, so the items meet one side in one left join, which can be
+    broadcast where the side is small and split where an entity is hot.
     """
     side = annotation.drop(*[c for c in annotation.columns if c in items.columns and c != key])
     if flags is not None:
-        side = side.join(flags.drop(*[c for c in flags.columns if c in items.columns + side.columns and c != key]), key, "full")
+        flags = flags.drop(*[c for c in flags.columns if c in items.columns + side.columns and c != key])
+        stacked = side.unionByName(flags, allowMissingColumns=True).filter(F.col(key).isNotNull())
+        side = stacked.groupBy(key).agg(*[F.any_value(F.col(c), True).alias(c) for c in stacked.columns if c != key])
     return items.join(side, key, "left")
 
 

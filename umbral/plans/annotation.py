@@ -193,16 +193,17 @@ _ART = f"""art AS (
   SELECT p_partkey AS seq_id, CAST(fam IS NOT NULL OR lc > 0.5 AS INTEGER) AS artefact_flag, fam AS antifam_family, ev AS antifam_ievalue, lc AS low_complexity_fraction,
     concat_ws(',', CASE WHEN fam IS NOT NULL THEN 'antifam' END, CASE WHEN lc > 0.5 THEN 'low_complexity' END) AS artefact_reason
   FROM (SELECT p_partkey, round(length(regexp_replace(p_name || p_type, '[^a-z]', '', 'g')) / length(p_name || p_type), 4) AS lc FROM part)
-  LEFT JOIN (SELECT l_partkey, 'AF' || l_suppkey AS fam, CAST(round(l_tax * 100) AS INTEGER) || 'e-9' AS ev FROM lineitem WHERE l_discount = 0.1 AND l_linenumber = 7
-    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY CAST(CAST(round(l_tax * 100) AS INTEGER) || 'e-9' AS DOUBLE), 'AF' || l_suppkey) = 1) ON l_partkey = p_partkey)"""
+  LEFT JOIN (SELECT l_partkey, fam, ev FROM (SELECT l_partkey, 'AF' || l_suppkey AS fam, CAST(1 + round(l_tax * 100) AS INTEGER) || 'e-' || CAST(round(l_discount * 100) AS INTEGER) * l_linenumber AS ev FROM lineitem)
+    WHERE CAST(ev AS DOUBLE) <= 5e-70 QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY CAST(ev AS DOUBLE), fam, ev) = 1) ON l_partkey = p_partkey)"""
 
 
 def _artefacts(t: Tables):
     ent = t.part.select(F.col("p_partkey").alias("seq_id"), soft_masked_fraction(F.concat("p_name", "p_type")).alias("low_complexity_fraction"))
-    fam = t.lineitem.filter((F.col("l_discount") == 0.1) & (F.col("l_linenumber") == 7)).select(
+    power = F.round(F.col("l_discount") * 100).cast("int") * F.col("l_linenumber")
+    fam = t.lineitem.select(
         F.col("l_partkey").alias("seq_id"), F.concat(F.lit("AF"), F.col("l_suppkey").cast("string")).alias("family"),
-        F.concat(F.round(F.col("l_tax") * 100).cast("int").cast("string"), F.lit("e-9")).alias("evalue"))
-    return C.artefact_flags(ent, fam)
+        F.concat((F.round(F.col("l_tax") * 100) + 1).cast("int").cast("string"), F.lit("e-"), power.cast("string")).alias("evalue"))
+    return C.artefact_flags(ent, fam, max_evalue=5e-70)
 
 
 @query("artefact_flags", f"WITH {_ART} SELECT * FROM art")

@@ -26,7 +26,7 @@ def _distances(t: Tables):
                              F.col("l_discount").alias("distance"), F.col("l_tax").alias("pvalue"))
 
 
-_EDGE = """edge AS (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE l_discount <= 0.0 AND l_tax <= 0.0),
+_EDGE = """edge AS (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE l_discount <= 0.05 AND l_tax <= 0.02),
  node AS (SELECT 'o' || o_orderkey AS id FROM orders UNION SELECT 'p' || p_partkey FROM part UNION SELECT a FROM edge UNION SELECT b FROM edge)"""
 
 
@@ -36,7 +36,7 @@ def edge_filter(t: Tables):
 
 
 def _graph(t: Tables):
-    e = S.filter_edges(_distances(t), 0.0, 0.0).distinct()
+    e = S.filter_edges(_distances(t), 0.05, 0.02).distinct()
     n = (t.orders.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"))
          .unionByName(t.part.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id")))
          .unionByName(e.select(F.col("a").alias("id"))).unionByName(e.select(F.col("b").alias("id"))))
@@ -44,8 +44,9 @@ def _graph(t: Tables):
 
 
 @query("connected_components", f"""WITH RECURSIVE {_EDGE}, sym AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
- reach AS (SELECT a AS id, a AS root FROM sym UNION SELECT sym.b, reach.root FROM reach JOIN sym ON sym.a = reach.id),
- comp AS (SELECT id, min(root) AS component FROM reach GROUP BY 1) SELECT node.id, coalesce(comp.component, node.id) AS component FROM node LEFT JOIN comp USING (id)""")
+ lab AS (SELECT 0 AS i, id, id AS c FROM node
+   UNION ALL SELECT i + 1, id, min(c) FROM (SELECT i, id, c FROM lab UNION ALL SELECT lab.i, sym.b, lab.c FROM lab JOIN sym ON sym.a = lab.id) WHERE i < 60 GROUP BY i, id)
+SELECT id, c AS component FROM lab WHERE i = 60""")
 def connected_components(t: Tables):
     return G.connected_components(*_graph(t))
 

@@ -210,6 +210,34 @@ def genbank_sequence_lines(t: Tables):
     return W.genbank_lines(items, d).filter("block = 3").select(F.col("plasmid_id").alias("doc_id"), F.col("at.a").alias("line_no"), "value")
 
 
+_FLAT = f"""{OCC}, rec AS (SELECT doc_id, translate(text, ' ' || chr(10), '__') AS seq, length(text) AS len FROM documents),
+ head AS (SELECT doc_id, unnest([0, 0, 0, 0, 0, 2, 4]) AS block, unnest([0, 1, 2, 3, 4, 0, 0]) AS a, unnest([
+   'LOCUS       ' || rpad(CAST(doc_id AS VARCHAR), CAST(greatest(16, length(CAST(doc_id AS VARCHAR))) AS INTEGER), ' ') || ' ' || lpad(CAST(len AS VARCHAR), CAST(greatest(11, length(CAST(len AS VARCHAR))) AS INTEGER), ' ') || ' bp    DNA     '
+     || rpad(CASE WHEN doc_id % 2 = 0 THEN 'circular' ELSE 'linear' END, 8, ' ') || ' UNK 01-JAN-2024',
+   'DEFINITION  ' || doc_id || ' annotated by {W.FEATURE_SOURCE}.', 'FEATURES             Location/Qualifiers', '     source          1..' || len,
+   '                     /mol_type="genomic DNA"', 'ORIGIN', '//']) AS value FROM rec),
+ it AS (SELECT o.*, len, CASE WHEN start <= "end" THEN CASE WHEN t = 0 THEN '<' ELSE '' END || start || '..' || CASE WHEN t = 4 THEN '>' ELSE '' END || "end"
+   ELSE 'join(' || CASE WHEN t = 0 THEN '<' ELSE '' END || start || '..' || len || ',1..' || CASE WHEN t = 4 THEN '>' ELSE '' END || "end" || ')' END AS loc FROM occ o JOIN rec ON doc_id = plasmid_id),
+ feat AS (SELECT plasmid_id AS doc_id, start AS a, "end" AS b, orf_id, unnest([0, 1, 2, 3]) AS i, unnest([
+   '     CDS             ' || CASE WHEN strand = -1 THEN 'complement(' || loc || ')' ELSE loc END, '                     /locus_tag="' || orf_id || '"',
+   CASE WHEN k % 4 = 0 THEN '                     /product="a ""quoted"" ' || k || '"' END, '                     /note="functional_class=' || functional_class || '"']) AS value FROM it),
+ part AS (SELECT doc_id, i, substr(lower(seq), i * 60 + 1, 60) AS s FROM (SELECT doc_id, seq, unnest(range(0, (len - 1) // 60 + 1)) AS i FROM rec WHERE len > 0))
+SELECT doc_id, block, CAST(a AS BIGINT) AS a, CAST(0 AS BIGINT) AS b, '' AS c, value FROM head
+UNION ALL SELECT doc_id, 1, CAST(a AS BIGINT), CAST(b AS BIGINT), orf_id || chr(1) || i, value FROM feat WHERE value IS NOT NULL
+UNION ALL SELECT doc_id, 3, i, 0, '', lpad(CAST(i * 60 + 1 AS VARCHAR), 9, ' ') || ' ' || rtrim(substr(s, 1, 10) || ' ' || substr(s, 11, 10) || ' ' || substr(s, 21, 10) || ' ' || substr(s, 31, 10) || ' ' || substr(s, 41, 10) || ' ' || substr(s, 51, 10)) FROM part"""
+
+
+@query("genbank_flatfile", f"WITH {_FLAT}")
+def genbank_flatfile(t: Tables):
+    """Every line of every record: head, features, sequence, end."""
+    d = t.documents.select(F.col("doc_id").alias("plasmid_id"), F.translate("text", " \n", "__").alias("seq"), F.length("text").alias("length"),
+                           F.when(F.col("doc_id") % 2 == 0, "circular").otherwise("linear").alias("topology_word"))
+    items = occ(t).select("plasmid_id", "orf_id", "start", "end", "strand", "functional_class", (F.col("t") == 0).cast("int").alias("partial_begin"), (F.col("t") == 4).cast("int").alias("partial_end"),
+                          F.when(F.col("k") % 4 == 0, F.concat(F.lit('a "quoted" '), F.col("k").cast("string"))).alias("annot_label"))
+    lines = W.genbank_lines(items, d, date=F.lit("01-JAN-2024"))
+    return lines.select(F.col("plasmid_id").alias("doc_id"), "block", "at.a", "at.b", "at.c", "value")
+
+
 @query("summary_kv", "SELECT metric, value FROM (SELECT unnest(['n', 'chars', 'longest']) AS metric, unnest([count(*), sum(n_chars), max(n_chars)])::DOUBLE AS value FROM documents)")
 def summary_kv(t: Tables):
     return W.summary_kv(t.documents.agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"), F.max("n_chars").alias("longest")))

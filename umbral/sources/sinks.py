@@ -94,10 +94,10 @@ def to_gff3(items: DataFrame, records: DataFrame, path: str, length: str = "leng
 
 
 def genbank_lines(items: DataFrame, records: DataFrame, topology: str = "topology_word", record: str = "plasmid_id", seq: str = "seq",
-                  length: str = "length") -> DataFrame:
+                  length: str = "length", date: Column | None = None) -> DataFrame:
     """(record, block, at, value): the flat-file text of every record as ordered lines.
 
-    Blocks: 0 head, 1 feature lines, 2 ORIGIN mark, 3 sequence lines (60 letters in tens), 4 end. Lines stay
+    ``date`` is the date of the head line as text, today's without one. Blocks: 0 head, 1 feature lines, 2 ORIGIN mark, 3 sequence lines (60 letters in tens), 4 end. Lines stay
     rows until they are written, so a large record is never built as one string.
     """
     line = lambda block, at, text: F.struct(F.lit(block).alias("block"), at.alias("at"), text.alias("value"))
@@ -105,7 +105,7 @@ def genbank_lines(items: DataFrame, records: DataFrame, topology: str = "topolog
     name, L = F.col(record).cast("string"), F.col(length)
     pad = lambda c, n: F.when(F.length(c) < n, F.rpad(c, n, " ")).otherwise(c)
     left = lambda c, n: F.when(F.length(c) < n, F.lpad(c, n, " ")).otherwise(c)
-    date = F.upper(F.date_format(F.current_date(), "dd-MMM-yyyy"))
+    date = F.upper(F.date_format(F.current_date(), "dd-MMM-yyyy")) if date is None else date
     locus = F.concat(F.lit("LOCUS       "), pad(name, 16), F.lit(" "), left(L.cast("string"), 11), F.lit(" bp    DNA     "),
                      pad(F.col(topology), 8), F.lit(" UNK "), date)
     head = records.select(record, F.inline(F.array(
