@@ -51,10 +51,18 @@ def test_mix_meets_its_targets(spark, hot):
     for s in sizes:
         assert abs(taken[s] - want[s]) < 1
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs).collect()))
-    out = mixing.mixed_documents(docs)
-    assert out.columns == docs.columns
-    assert Counter({s: n for s, n in taken.items() if n}) == Counter(
-        {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()})
+    # the documents of the mix are whole: each as often as its words taken say, to the nearest whole number
+    out = mixing.mixed_documents(docs.withColumn("_words", F.lit(1)).withColumn("_row", F.lit(2)))
+    assert out.columns == docs.columns + ["_words", "_row"]
+    text_of = {(r[0], len(WORD.findall(r[1] or ""))): r[1] for r in rows}
+    times = Counter()
+    for r in got:
+        if r["size"]:
+            times[r["doc_id"], text_of[r["doc_id"], r["size"]]] += int(Fraction(r["taken"], r["size"]) + Fraction(1, 2))
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == +times
+    longest = max(r["size"] for r in got)
+    mixed = Counter({r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()})
+    assert all(abs(mixed[s] - want[s]) <= longest / 2 + 1 for s in sizes)
     assert mixing.mix(docs.filter("false")).count() == 0 and mixing.mixed_documents(docs.filter("false")).count() == 0
 
 

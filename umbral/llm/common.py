@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -19,6 +20,8 @@ from umbral.session import ensure_checkpoint_dir
 
 #: Text bytes that a Python worker works on at a time; a longer single text makes a slice of its own.
 SLICE_BYTES = 6 << 20
+#: The same where a slice's intermediates are many times its text.
+SMALL_SLICE_BYTES = 2 << 20
 
 
 _MULT, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -44,6 +47,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = end
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and what it holds counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # a C library without it
+        pass
+
+
 def split_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """(offsets, words): the runs of characters other than space and \\t to \\r, for each text in turn."""
     parts = pc.ascii_split_whitespace(text)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from umbral.llm.common import delete_path, doc_frame, list_array, materialise, slices, split_words
+from umbral.llm.common import SMALL_SLICE_BYTES, delete_path, doc_frame, give_back, list_array, materialise, slices, split_words
 from umbral.operators.graph import connected_components
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -115,12 +115,12 @@ def unpack_vectors(column, groups: int) -> np.ndarray:
 def frequent_shingles(frame: DataFrame, spec: JaccardSpec) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, levels) of at most ``common`` shingles that many different sets hold, level rising with their number.
 
-    A batch reports shingles that two of its sets share; reports are summed over the corpus.
+    A slice of some documents reports shingles that two of its sets share; reports are summed over the corpus.
     """
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, limit=8 * SMALL_SLICE_BYTES):
             parts, seen = [], set()
-            for part in slices(iter([batch])):
+            for part in slices(iter([batch]), limit=SMALL_SLICE_BYTES):
                 offsets, h = shingle_sets(part.column("text"), spec.width)
                 new = np.zeros(len(offsets) - 1, bool)
                 for i, c in enumerate(class_of(offsets, h).tolist()):
@@ -133,6 +133,7 @@ def frequent_shingles(frame: DataFrame, spec: JaccardSpec) -> tuple[np.ndarray,
             count = np.diff(np.append(start, len(h)))
             more = count > 1
             yield pa.record_batch([pa.array(h[start[more]].view(np.int64)), pa.array(count[more])], names=["h", "n"])
+        give_back()
 
     found = frame.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     found = found.withColumn("level", F.floor(F.log2("n")).cast("int"))
@@ -157,7 +158,7 @@ def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
 
     def run(batches):
         known, level = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             offsets, h = shingle_sets(batch.column("text"), spec.width)
             n = np.diff(offsets)
             rank = np.zeros(len(h), np.uint64)
@@ -176,6 +177,7 @@ def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
             cell = (mixed[first] >> np.uint64(16)).view(np.int64)
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(class_of(offsets, h)), pack_vectors(count_vectors(offsets, h, spec.groups)),
                                    list_array(np.concatenate([[0], np.cumsum(keep)]), cell, pa.int64())], names=["doc_id", "n", "cls", "vec", "cells"])
+        give_back()
 
     kind = frame.schema["doc_id"].dataType.simpleString()
     return frame.mapInArrow(run, f"doc_id {kind}, n long, cls long, vec binary, cells array<long>")
@@ -367,9 +369,10 @@ def similar(pairs: DataFrame, frame: DataFrame, info: DataFrame, spec: JaccardSp
               .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")))     # a row that repeats counts once
 
     def sets_of(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             offsets, h = shingle_sets(batch.column("text"), spec.width)
             yield pa.record_batch([pa.array(class_of(offsets, h)), list_array(offsets, h.view(np.int64), pa.int64())], names=["cls", "h"])
+        give_back()
 
     sets, sets_path = materialise(source.mapInArrow(sets_of, "cls long, h array<long>"))
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("h").alias("_ha")), "a")

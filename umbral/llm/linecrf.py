@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umbral.llm.common import doc_frame, repeated_words, segment_sum, slices, split_words
+from umbral.llm.common import SMALL_SLICE_BYTES, doc_frame, give_back, repeated_words, segment_sum, slices, split_words
 from umbral.llm.labelled import training_sample
 
 CONTENT, BOILERPLATE = 0, 1
@@ -227,7 +227,7 @@ def judge(docs: DataFrame, model: ChainModel, spec: LineSpec = LineSpec()) -> Da
 
     def run(batches):
         m = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             text = batch.column("text")
             offsets, words = split_words(text)
             coded = words.dictionary_encode()
@@ -243,6 +243,7 @@ def judge(docs: DataFrame, model: ChainModel, spec: LineSpec = LineSpec()) -> Da
             cells = [n, segment_sum(chars[code], offsets), segment_sum(symbols[code], offsets), lines.duplicates, repeats, content]
             yield pa.record_batch([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in cells], pa.array(failed),
                                    pa.array(~failed & (content >= spec.content_share * n))], names=["doc_id", *names, "base_failed", "kept"])
+        give_back()
 
     frame = doc_frame(docs)
     kind = frame.schema["doc_id"].dataType.simpleString()
@@ -256,7 +257,7 @@ def kept_documents(docs: DataFrame, model: ChainModel, spec: LineSpec = LineSpec
 
     def run(batches):
         m = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             text = pc.fill_null(batch.column(at), "")
             offsets, words = split_words(text)
             code = np.asarray(words.dictionary_encode().indices, dtype=np.int64)
@@ -266,5 +267,6 @@ def kept_documents(docs: DataFrame, model: ChainModel, spec: LineSpec = LineSpec
             failed = (n < spec.min_words) | (100 * repeated_words(code, offsets, spec.repeat_window) > spec.max_repeat_percent * n)
             content = segment_sum(np.where(label == CONTENT, lines.words, 0), lines.offsets)
             yield batch.filter(pa.array(~failed & (content >= spec.content_share * n)))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

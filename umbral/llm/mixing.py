@@ -7,8 +7,9 @@ round, so a round is one aggregate over the sources: the words of those clamped
 and the weight of the rest.
 
 A source then takes floor(target / size) whole repetitions of every document, and for the fraction
-left, documents in the order of a seeded hash until the target is met; the one that crosses it is
-taken in part. The crossing is found from a histogram of hash buckets per source, so only one bucket
+left, documents in the order of a seeded hash until the target is met; of the one that crosses it the
+words up to the target count as taken, and ``mixed_documents``, whose texts stay whole, takes it or not,
+whichever is nearer. The crossing is found from a histogram of hash buckets per source, so only one bucket
 of a source is ever ordered, and a source that holds a third of all rows is summed like any other.
 
 Defined cases: null or wordless texts have size 0 and are never taken; a null source is a source of
@@ -21,10 +22,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from umbral.llm.common import delete_path, materialise
 from umbral.operators.graph import number_globally
@@ -97,32 +96,17 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), keep: tuple[str, ...] = ())
                                            (F.col("_whole") * F.col("size") + F.col("_extra")).cast("long").alias("taken"), *keep)
 
 
-@F.pandas_udf(T.StringType())
-def first_words(text: pd.Series, words: pd.Series) -> pd.Series:
-    """``text`` up to the end of its word number ``words``."""
-    import re
-    out = []
-    for t, n in zip(text, words):
-        end = 0
-        for i, m in enumerate(re.finditer(WORD, t or "")):
-            if i >= n:
-                break
-            end = m.end()
-        out.append((t or "")[:end])
-    return pd.Series(out, dtype="object")
-
-
 def mixed_documents(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; a fraction of a document is a row of its first words."""
+    """The rows of ``docs`` as often as the mix takes them, texts whole.
+
+    Where a source's target ends inside a document, that document is taken once more or not, whichever
+    is nearer to the target (once more where both are as near), so a source misses its target by at most half a document.
+    """
     columns = [F.col(c) for c in docs.columns]
     taken = mix(docs.select("doc_id", "source", "text", F.struct(*columns).alias("_row")), spec, ("_row",))
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
-    copies = taken.filter(whole > 0).select(F.explode(F.array_repeat("_row", whole)).alias("_row")).select("_row.*")
-    part = taken.withColumn("_words", F.col("taken") - whole * F.col("size")).filter("_words > 0").select("_words", "_row.*")
-    part = part.withColumn("text", first_words("text", "_words"))
-    if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return copies.unionByName(part.select(*docs.columns))
+    # the nearest whole number of times
+    times = F.when(F.col("size") > 0, F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).otherwise(F.lit(0)).cast("int")
+    return taken.filter(times > 0).select(F.explode(F.array_repeat("_row", times)).alias("_row")).select("_row.*")
 
 
 def mix_sql(spec: MixSpec = MixSpec()) -> str:
