@@ -100,8 +100,11 @@ def family_report(families: DataFrame, sides: Mapping[str, tuple[DataFrame, Sequ
     """One row per family with every measurement side by side.
 
     The reality lines and the dimensions are computed from the assembled row, so they describe
-    exactly what a reader sees. Evidence columns that no side supplies are NULL.
+    exactly what a reader sees. Evidence columns that no side supplies are NULL. With a ``catalogue``
+    of columns no side may write a ``small_`` measurement that the report does not carry.
     """
+    if catalogue:
+        guard_columns(catalogue, *[df.select(*[F.col(c).alias(rename.get(c, c)) for c in df.columns]) for df, _, rename in sides.values()])
     out = star_join(families, sides, key)
     needed = {"dnds_status": "string", "dnds_median": "double", "rnacode_status": "string", "structural_match": "string",
               "independent_plasmid_cluster_count": "bigint", "independent_cluster_status": "string",

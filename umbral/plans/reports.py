@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from umbral.functions import fixed as FIXED
 from umbral.operators import neighbours as N
 from umbral.operators import report as E
 from umbral.plans import distribution as X
 from umbral.plans import ordered as O
+from umbral.plans import texts as W
 from umbral.plans.bindings import OCC, occ
-from umbral.plans.catalog import Tables, query
+from umbral.plans.catalog import ORACLES, Tables, query
 from umbral.session import cut
 
 # Families with a rate status and a structure, so that every line and dimension can fire.
@@ -60,67 +62,111 @@ def measured_inputs(t: Tables):
 
 # ---- the family report --------------------------------------------------------------------
 
-_LEFT = ("context_recurrence", "n_lineages", "lineage_left_conservation", "lineage_synteny_conservation", "modal_synteny")
+SYNTENY_MIN_LINEAGES = 2
+_SYN_COLS = tuple(m for m in O._MEAS if m != "status")
+_CODING = ("rnacode_p", "rnacode_p_antisense", "rnacode_status", "coding_signal")
+_RATES = ("n_pairs", "dnds_median", "dnds_min", "under_purifying_selection", "dnds_status")
+_RECURRENCE = ("plasmid_occurrence_count", "unique_plasmid_count", "independent_plasmid_cluster_count", "independent_cluster_status", "host_count", "genus_count",
+               "n_plasmids_with_host", "n_plasmids_with_species", "host_count_status", "n_plasmids_with_predicted_range", "predicted_host_range_count",
+               "predicted_host_ranges", "MOB_count", "habitat_count", "database_source_count")
+_CONTEXT = tuple(f"cons_{c}" for c in FIXED.CONTEXT_FEATURES)
+_MEASURED = ("artefact_screened", "cascade_searched", "eggnog_searched", "n_informative_hits", "representative_length_aa")
+_BASE = ("representative", "family_class", "n_members", "n_orfs", "n_plasmids", "n_mob_clusters", "dark_member_count", "annotated_member_count",
+         "percentage_dark_in_family", "dark_only", "n_small_members", "n_large_members", "scope", "known_from")
+_PARTNERS = ("n_cooccurring_partners", "top_cooccurring_partner", "top_cooccurring_partner_q", "top_cooccurring_partner_fraction")
+
+#: Every column of the family report, side by side.
+FAMILY_COLS = ("family_id", *_BASE, "representative_length_aa", "reality_n", "reality_lines", "reality_lines_implied", *_RATES, *_CODING,
+               *(f"small_{c}" for c in (*_RATES, *_CODING)), "consensus_status", "consensus_hit", "consensus_label", "collectively_novel",
+               "darkness_state", "structural_match", "structural_description", "structure_evalue", *_CONTEXT, *_RECURRENCE, *_SYN_COLS, "synteny_status",
+               "synteny_min_lineages", *(f"small_{c}" for c in _SYN_COLS), "small_synteny_status", "cooccurrence_status", *_PARTNERS, "cooccurrence_fdr",
+               "cooccurrence_min_lineages", "rarity_labels", "evidence_dimensions_present", "evidence_dimension_count", "supporting_observations_count",
+               "supporting_observations_are_not_independent")
+
+
+def _coding(t: Tables):
+    """Coding scores of a family's alignment, over all members and over small-record ones; one part in five was not scored."""
+    s = F.col("p_size")
+    side = lambda p, n: [(n / 1000).alias(f"{p}rnacode_p"), ((n + 7) % 60 / 1000).alias(f"{p}rnacode_p_antisense"), F.when(n % 5 == 0, "TOO_SHORT").otherwise("SUCCESS").alias(f"{p}rnacode_status"),
+                         ((n / 1000 < 0.05) & (n / 1000 < (n + 7) % 60 / 1000)).cast("int").alias(f"{p}coding_signal")]
+    return t.part.select(F.col("p_partkey").alias("family_id"), *side("", s), *side("small_", s + 1))
 
 
 def family_table(t: Tables):
-    fam = cut(X.dark(t).withColumn("n_members", F.col("family_size")))
+    fam = cut(X.dark(t).withColumnRenamed("family_size", "n_members").withColumn("structure_searched", F.lit(1)))
     rec = cut(X.recurrence_(t))
     rar = X.rarity_(t, rec)
-    syn = O.synteny(t).filter("level = 'intermediate'").withColumn("_f", F.col("family_id").cast("bigint"))
-    firsts = occ(t).groupBy(F.col("family_id").alias("_f")).agg(F.concat(F.lit("intermediate:"), F.min("seq_id").cast("string")).alias("fid"))
-    by_id = lambda df: cut(df.join(firsts, "_f").drop("family_id", "_f").withColumnRenamed("fid", "family_id"))
-    ctx = by_id(O.rates(t).withColumn("_f", F.col("family_id")))
-    part = by_id(X.partners(t).withColumn("_f", F.col("family_id")))
-    struct = t.part.filter("p_type = 'PROMO'").select(F.concat(F.lit("intermediate:"), F.col("p_partkey").cast("string")).alias("family_id"), F.col("p_brand").alias("structural_match"))
+    # the context, synteny and partner tables number families; the report names them by resolution and representative
+    firsts = cut(occ(t).groupBy(F.col("family_id").alias("_f")).agg(F.concat(F.lit("intermediate:"), F.min("seq_id").cast("string")).alias("fid")))
+    by_number = lambda df: cut(df.withColumn("_f", F.col("family_id").cast("bigint")).join(firsts, "_f").drop("family_id", "_f").withColumnRenamed("fid", "family_id"))
+    by_representative = lambda df: df.withColumn("family_id", F.concat(F.lit("intermediate:"), F.col("family_id").cast("string")))
+    syn = by_number(O.synteny(t).filter("level = 'intermediate'")).withColumn("synteny_min_lineages", F.lit(SYNTENY_MIN_LINEAGES))
+    rates, coding, consensus = (by_representative(x) for x in (W.pairwise_rates(t), _coding(t), W.consensus_label(t)))
+    struct = by_representative(t.part.filter("p_type = 'PROMO'").select(
+        F.col("p_partkey").alias("family_id"), F.col("p_brand").alias("structural_match"), F.col("p_name").alias("structural_description"), (F.col("p_size") / 1e6).alias("structure_evalue")))
+    e = F.col("seq_id")
+    mem = X.members(t).filter("resolution = 'intermediate'").select("seq_id", "representative", F.concat(F.lit("intermediate:"), F.col("representative").cast("string")).alias("family_id"))
+    every = X.classes(t).withColumn("n_informative_hits", e % 4)
+    measured = E.measured_inputs(mem, every.filter(e % 2 == 0).select("seq_id"), every, every.filter(e % 9 == 0).select("seq_id"), every.select("seq_id", (e + 50).alias("length")))
+    measured = measured.join(fam.select("family_id"), "family_id", "left_semi")
+    both = lambda cols: (*cols, *(f"small_{c}" for c in cols))
     sides = {
-        "recurrence": (rec, ("plasmid_occurrence_count", "unique_plasmid_count", "independent_plasmid_cluster_count", "independent_cluster_status", "host_count"), {}),
-        "synteny": (by_id(syn), (*_LEFT, "status"), {"status": "synteny_status"}),
-        "context": (ctx, ("cons_annotated_neighbour", "cons_integron"), {}),
+        "measured inputs": (measured, _MEASURED, {}),
+        "rates": (rates, both(_RATES), {}),
+        "coding": (coding, both(_CODING), {}),
+        "consensus": (consensus, ("consensus_status", "consensus_hit", "consensus_label", "collectively_novel"), {}),
+        "structure": (struct, ("structural_match", "structural_description", "structure_evalue"), {}),
+        "context": (by_number(O.rates(t)), _CONTEXT, {}),
+        "recurrence": (rec, _RECURRENCE, {}),
+        "synteny": (syn, (*both((*_SYN_COLS, "status")), "synteny_min_lineages"), {"status": "synteny_status", "small_status": "small_synteny_status"}),
+        "partners": (by_number(X.partners(t)), _PARTNERS, {}),
         "rarity": (rar, ("rarity_labels",), {}),
-        "partners": (part, ("n_cooccurring_partners", "top_cooccurring_partner"), {}),
-        "structure": (struct, ("structural_match",), {}),
     }
-    return E.family_report(fam, sides, cooccurrence_fdr=0.2)
-
-
-FAMILY_COLS = ("family_id", "representative", "n_members", "dark_member_count", "scope", "plasmid_occurrence_count", "unique_plasmid_count", "independent_plasmid_cluster_count",
-               "host_count", *_LEFT, "synteny_status", "cons_annotated_neighbour", "cons_integron", "cons_conj_missing", "rarity_labels", "n_cooccurring_partners", "top_cooccurring_partner",
-               "cooccurrence_status", "reality_n", "reality_lines", "darkness_state", "evidence_dimensions_present", "evidence_dimension_count")
+    return E.family_report(fam, sides, cooccurrence_fdr=0.2, catalogue=FAMILY_COLS)
 
 
-def _strip(sql: str, have: str) -> str:
-    """``sql`` without the leading relations that ``have`` already defines."""
-    assert sql.startswith(have), "relation order changed"
-    return sql[len(have):]
+def _prefixed(alias: str, cols, rename=None) -> str:
+    return ", ".join(f'{alias}."{c}"' + (f" AS {rename[c]}" if rename and c in rename else "") for c in cols)
 
 
-_REPORT = f"""{X._DARK}{_strip(X._RAR, f"{OCC}, {X._MEM}")}{_strip(O._SYN, OCC)}{_strip(X._PAIR, OCC)}, fid AS (SELECT family_id AS f, 'intermediate:' || min(seq_id) AS family_id FROM occ GROUP BY 1),
- isl AS (SELECT plasmid_id, start, "end" + 20000 AS e0, circular FROM occ WHERE t = 2),
- isl2 AS (SELECT plasmid_id, start, CASE WHEN circular AND e0 > 2592000 AND start <= e0 - 20000 THEN e0 - 2592000 ELSE e0 END AS "end" FROM isl),
- ov AS (SELECT DISTINCT o.orf_id FROM occ o JOIN isl2 i ON i.plasmid_id = o.plasmid_id WHERE CASE WHEN o.start <= o."end" AND i.start <= i."end" THEN o.start <= i."end" AND o."end" >= i.start
-     WHEN o.start <= o."end" THEN o."end" >= i.start OR o.start <= i."end" WHEN i.start <= i."end" THEN i."end" >= o.start OR i.start <= o."end" ELSE true END),
- ctx AS (SELECT o.family_id AS f, o.plasmid_id, max(coalesce(nn.ann, 0)) AS ann, max(CASE WHEN ov.orf_id IS NOT NULL THEN 1 ELSE 0 END) AS integ FROM occ o
-   LEFT JOIN (SELECT orf_id, max(CAST(nb_class = 'FUNCTIONAL' AS INTEGER)) AS ann FROM near GROUP BY 1) nn ON nn.orf_id = o.orf_id LEFT JOIN ov ON ov.orf_id = o.orf_id GROUP BY 1, 2),
- rate AS (SELECT f, round(avg(ann), 6) AS cons_annotated_neighbour, round(avg(integ), 6) AS cons_integron FROM ctx GROUP BY 1),
- bi AS (SELECT seq_a AS seq_id, seq_b AS partner, fraction_of_a AS fraction, round(p_value, 9) AS p_value, round(q_value, 9) AS q_value, n_lineages_together FROM cooc
-   UNION ALL SELECT seq_b, seq_a, fraction_of_b, round(p_value, 9), round(q_value, 9), n_lineages_together FROM cooc),
- par AS (SELECT x.family_id AS f, count(DISTINCT CASE WHEN q_value <= 0.2 THEN partner END) AS n_cooccurring_partners, arg_min(partner, (q_value, p_value, -n_lineages_together, partner, -fraction)) AS top_cooccurring_partner
+_BOTH_SYN = [*_SYN_COLS, "status", *(f"small_{c}" for c in (*_SYN_COLS, "status"))]
+_CODING_SQL = ", ".join(f"{n} / 1000 AS {p}rnacode_p, ({n} + 7) % 60 / 1000 AS {p}rnacode_p_antisense, CASE WHEN {n} % 5 = 0 THEN 'TOO_SHORT' ELSE 'SUCCESS' END AS {p}rnacode_status, "
+                        f"CAST({n} / 1000 < 0.05 AND {n} / 1000 < ({n} + 7) % 60 / 1000 AS INTEGER) AS {p}coding_signal" for p, n in (("", "p_size"), ("small_", "(p_size + 1)")))
+_REPORT = f"""{X._DARK}, fid AS (SELECT family_id AS f, 'intermediate:' || min(seq_id) AS family_id FROM occ GROUP BY 1),
+ rec AS ({ORACLES["recurrence"]}), rar AS ({ORACLES["rarity"]}), synq AS ({ORACLES["synteny_conservation"]}), ctx AS ({ORACLES["context_rates"]}),
+ pr AS ({ORACLES["pairwise_rates"]}), con AS ({ORACLES["consensus_label"]}), cod AS (SELECT p_partkey AS family_id, {_CODING_SQL} FROM part),
+ par AS (WITH {X._PAIR}, bi AS (SELECT seq_a AS seq_id, seq_b AS partner, fraction_of_a AS fraction, round(p_value, 9) AS p_value, round(q_value, 9) AS q_value, n_lineages_together FROM cooc
+     UNION ALL SELECT seq_b, seq_a, fraction_of_b, round(p_value, 9), round(q_value, 9), n_lineages_together FROM cooc)
+   SELECT x.family_id AS f, count(DISTINCT CASE WHEN q_value <= 0.2 THEN partner END) AS n_cooccurring_partners, arg_min((partner, q_value, fraction), (q_value, p_value, -n_lineages_together, partner, -fraction)) AS w
    FROM bi JOIN (SELECT DISTINCT seq_id, family_id FROM occ) x USING (seq_id) GROUP BY 1),
- j AS (SELECT d.family_id, d.representative, d.family_size AS n_members, d.dark_member_count, d.scope, r.plasmid_occurrence_count, r.unique_plasmid_count, r.independent_plasmid_cluster_count, r.host_count, s.context_recurrence, s.n_lineages,
-     s.lineage_left_conservation, s.lineage_synteny_conservation, s.modal_synteny, s.status AS synteny_status, rate.cons_annotated_neighbour, rate.cons_integron, rar.rarity_labels, coalesce(par.n_cooccurring_partners, 0) AS n_cooccurring_partners,
-     par.top_cooccurring_partner, CASE WHEN par.f IS NULL THEN 'TOO_FEW_LINEAGES' ELSE 'SUCCESS' END AS cooccurrence_status, coalesce(pt2.p_brand, '') <> '' AS fold, r.independent_cluster_status
-   FROM darkfam d LEFT JOIN rec r USING (family_id) LEFT JOIN rar USING (family_id) LEFT JOIN fid USING (family_id) LEFT JOIN syn s ON s.scope = 'all' AND s.level = 'intermediate' AND s.family_id = CAST(fid.f AS VARCHAR)
-   LEFT JOIN rate ON rate.f = fid.f LEFT JOIN par ON par.f = fid.f LEFT JOIN part pt2 ON pt2.p_type = 'PROMO' AND 'intermediate:' || pt2.p_partkey = d.family_id)
-SELECT * EXCLUDE (fold, independent_cluster_status), CAST(independent_plasmid_cluster_count >= 2 AS INTEGER) + CAST(n_members >= 3 AS INTEGER) + CAST(fold AS INTEGER) AS reality_n,
-  coalesce(nullif(concat_ws('+', CASE WHEN independent_plasmid_cluster_count >= 2 THEN 'multi_lineage' END, CASE WHEN n_members >= 3 THEN 'is_family' END, CASE WHEN fold THEN 'folds' END), ''), 'none') AS reality_lines,
-  CASE WHEN fold THEN 'DARK_FOLD_KNOWN' ELSE 'DARK_NO_STRUCTURE' END AS darkness_state, concat_ws(',', 'GENOMIC_CONTEXT', CASE WHEN independent_cluster_status = 'SUCCESS' THEN 'DISTRIBUTION' END) AS evidence_dimensions_present,
-  1 + CAST(independent_cluster_status = 'SUCCESS' AS INTEGER) AS evidence_dimension_count FROM j"""
+ mi AS (SELECT representative, max(CAST(seq_id % 2 = 0 AS INTEGER)) AS artefact_screened, max(CAST(functional_class <> 'NOT_SEARCHED' AS INTEGER)) AS cascade_searched, max(CAST(seq_id % 9 = 0 AS INTEGER)) AS eggnog_searched,
+     CAST(coalesce(sum(seq_id % 4) FILTER (functional_class <> 'NOT_SEARCHED'), 0) AS BIGINT) AS n_informative_hits FROM mem JOIN cls USING (seq_id) WHERE resolution = 'intermediate' GROUP BY 1),
+ j AS (SELECT d.* EXCLUDE (family_size, family_resolution, n_unnamed_excluded, n_small_dark, n_not_searched), d.family_size AS n_members, mi.* EXCLUDE (representative), rr.seq_id + 50 AS representative_length_aa,
+     {_prefixed("pr", (*_RATES, *(f"small_{c}" for c in _RATES)))}, {_prefixed("cod", (*_CODING, *(f"small_{c}" for c in _CODING)))}, con.consensus_status, con.consensus_hit, con.consensus_label, con.collectively_novel,
+     st.p_brand AS structural_match, st.p_name AS structural_description, st.p_size / 1e6 AS structure_evalue, {_prefixed("ctx", _CONTEXT)}, {_prefixed("rec", _RECURRENCE)},
+     {_prefixed("synq", _BOTH_SYN, {"status": "synteny_status", "small_status": "small_synteny_status"})}, CASE WHEN synq.family_id IS NOT NULL THEN {SYNTENY_MIN_LINEAGES} END AS synteny_min_lineages,
+     CASE WHEN par.f IS NULL THEN 'TOO_FEW_LINEAGES' ELSE 'SUCCESS' END AS cooccurrence_status, coalesce(par.n_cooccurring_partners, 0) AS n_cooccurring_partners, par.w[1] AS top_cooccurring_partner,
+     round(par.w[2], 6) AS top_cooccurring_partner_q, par.w[3] AS top_cooccurring_partner_fraction, 0.2 AS cooccurrence_fdr, 2 AS cooccurrence_min_lineages, rar.rarity_labels,
+     coalesce(pr.dnds_status = 'MEASURED' AND pr.dnds_median < 0.5, false) AS l_p, coalesce(rec.independent_plasmid_cluster_count >= 2, false) AS l_m, d.family_size >= 3 AS l_i, coalesce(st.p_brand, '') <> '' AS l_s
+   FROM darkfam d LEFT JOIN (SELECT DISTINCT seq_id FROM cls) rr ON rr.seq_id = split_part(d.family_id, ':', 2)::BIGINT LEFT JOIN mi ON 'intermediate:' || mi.representative = d.family_id
+     LEFT JOIN rec USING (family_id) LEFT JOIN rar USING (family_id) LEFT JOIN fid USING (family_id)
+     LEFT JOIN synq ON synq.level = 'intermediate' AND synq.family_id = CAST(fid.f AS VARCHAR) LEFT JOIN ctx ON ctx.family_id = fid.f LEFT JOIN par ON par.f = fid.f
+     LEFT JOIN pr ON 'intermediate:' || pr.family_id = d.family_id LEFT JOIN con ON 'intermediate:' || con.family_id = d.family_id LEFT JOIN cod ON 'intermediate:' || cod.family_id = d.family_id
+     LEFT JOIN part st ON st.p_type = 'PROMO' AND 'intermediate:' || st.p_partkey = d.family_id),
+ dim AS (SELECT *, [CASE WHEN artefact_screened > 0 THEN 'ORF_QC' END, CASE WHEN cascade_searched > 0 THEN 'SEQUENCE_HOMOLOGY' END, CASE WHEN eggnog_searched > 0 THEN 'ORTHOLOGY' END,
+     CASE WHEN cons_annotated_neighbour IS NOT NULL OR coalesce(synteny_status, 'TOO_FEW_LINEAGES') <> 'TOO_FEW_LINEAGES' OR cooccurrence_status <> 'TOO_FEW_LINEAGES' THEN 'GENOMIC_CONTEXT' END,
+     CASE WHEN coalesce(dnds_status, '') <> '' OR coalesce(rnacode_status, '') <> '' THEN 'EVOLUTIONARY_CONSERVATION' END, CASE WHEN independent_cluster_status = 'SUCCESS' THEN 'DISTRIBUTION' END,
+     'STRUCTURAL_RELATIONSHIP', CASE WHEN representative_length_aa > 0 THEN 'PROTEIN_PROPERTIES' END] AS dims FROM j)
+SELECT * EXCLUDE (l_p, l_m, l_i, l_s, dims, artefact_screened, cascade_searched, eggnog_searched, n_informative_hits), CAST(l_p AS INTEGER) + CAST(l_m AS INTEGER) + CAST(l_i AND NOT l_p AS INTEGER) + CAST(l_s AS INTEGER) AS reality_n,
+  coalesce(nullif(concat_ws('+', CASE WHEN l_p THEN 'purifying_selection' END, CASE WHEN l_m THEN 'multi_lineage' END, CASE WHEN l_i AND NOT l_p THEN 'is_family' END, CASE WHEN l_s THEN 'folds' END), ''), 'none') AS reality_lines,
+  CASE WHEN l_i AND l_p THEN 'is_family' ELSE 'none' END AS reality_lines_implied, CASE WHEN l_s THEN 'DARK_FOLD_KNOWN' ELSE 'DARK_NO_STRUCTURE' END AS darkness_state,
+  array_to_string(list_filter(dims, lambda x: x IS NOT NULL), ',') AS evidence_dimensions_present, CAST(len(list_filter(dims, lambda x: x IS NOT NULL)) AS INTEGER) AS evidence_dimension_count,
+  n_informative_hits AS supporting_observations_count, 1 AS supporting_observations_are_not_independent FROM dim"""
 
 
 @query("family_report", f"WITH {_REPORT}")
 def family_report(t: Tables):
-    return family_table(t).select(*[c for c in FAMILY_COLS if c != "cons_conj_missing"])
+    return family_table(t)
 
 
 # ---- the item report ----------------------------------------------------------------------
