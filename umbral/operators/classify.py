@@ -147,7 +147,7 @@ def resolve_annotation(own: DataFrame, selection: DataFrame, transferred: DataFr
     members = copy_from_representative(own, selection.filter("role = 'member'"), key)
     unsearched = selection.filter("role IN ('not_selected', 'artefact_antifam')").select(
         key, F.when(F.col("role") == "not_selected", "not_searched").otherwise(F.col("role")).alias("annot_source"),
-        F.lit("NOT_SEARCHED").alias("functional_class"))
+        F.lit("NOT_SEARCHED").alias("functional_class"), *provenance(thr))
     return (own.withColumn("annot_representative", F.lit(None).cast("string"))
             .unionByName(ps, allowMissingColumns=True).unionByName(members, allowMissingColumns=True)
             .unionByName(unsearched, allowMissingColumns=True))

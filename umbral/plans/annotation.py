@@ -10,7 +10,7 @@ from umbral.operators import classify as C
 from umbral.operators import coverage as V
 from umbral.operators import dedup as D
 from umbral.plans.bindings import CLASSIFY, HITS, THR, TIE, TIERS, hits, lengths
-from umbral.plans.catalog import Tables, query
+from umbral.plans.catalog import ORACLES, Tables, query
 
 # ---- exact identity -----------------------------------------------------------------------
 
@@ -129,21 +129,26 @@ def _selection(t: Tables):
         "search_representative")
 
 
-@query("resolve_annotation", f"""WITH {CLASSIFY}, {_SEL}, own AS (SELECT a.* FROM annotation a JOIN sel2 USING (seq_id) WHERE role = 'representative')
-SELECT seq_id, annot_source, NULL::BIGINT AS annot_representative, annot_tier, annot_label, functional_class, annot_completeness, n_informative_hits, explained_fraction FROM own
-UNION ALL SELECT sel2.seq_id, 'representative', own.seq_id, annot_tier, annot_label, functional_class, annot_completeness, n_informative_hits, explained_fraction
-  FROM sel2 JOIN own ON own.seq_id = search_representative WHERE role = 'member'
-UNION ALL SELECT p_partkey, 'plasmidscope', NULL, 'PS', p_name, 'FUNCTIONAL', 'NOT_MEASURED', 1, NULL FROM part WHERE p_brand = 'Brand#1' AND p_size <> 50
-UNION ALL SELECT seq_id, CASE role WHEN 'not_selected' THEN 'not_searched' ELSE role END, NULL, NULL, NULL, 'NOT_SEARCHED', NULL, NULL, NULL
+_THR_SQL = ", ".join(f"{getattr(THR, n)} AS thr_{n}" for n in ("min_coverage", "narrow_at", "full_at", "partial_at"))
+
+
+@query("resolve_annotation", f"""WITH {CLASSIFY}, {_SEL}, lists AS ({ORACLES["ordered_labels"]}),
+ own AS (SELECT a.*, lists.* EXCLUDE (seq_id) FROM annotation a JOIN sel2 ON sel2.seq_id = a.seq_id LEFT JOIN lists ON lists.seq_id = a.seq_id WHERE role = 'representative')
+SELECT *, NULL::BIGINT AS annot_representative FROM own
+UNION ALL BY NAME SELECT own.* REPLACE (sel2.seq_id AS seq_id, 'representative' AS annot_source), own.seq_id AS annot_representative FROM sel2 JOIN own ON own.seq_id = sel2.search_representative WHERE role = 'member'
+UNION ALL BY NAME SELECT p_partkey AS seq_id, 'plasmidscope' AS annot_source, 'PS' AS annot_tier, p_name AS annot_label, 'FUNCTIONAL' AS functional_class, 1 AS n_informative_hits, p_name AS informative_labels,
+  'PS' AS informative_tiers, 'NOT_MEASURED' AS annot_completeness, {_THR_SQL} FROM part WHERE p_brand = 'Brand#1' AND p_size <> 50
+UNION ALL BY NAME SELECT seq_id, CASE role WHEN 'not_selected' THEN 'not_searched' ELSE role END AS annot_source, 'NOT_SEARCHED' AS functional_class, {_THR_SQL}
   FROM sel2 WHERE role IN ('not_selected', 'artefact_antifam')""")
 def resolve_annotation(t: Tables):
     sel = _selection(t)
-    own = C.classify(hits(t), lengths(t), TIERS, THR, tie=TIE).join(sel.filter("role = 'representative'").select("seq_id"), "seq_id", "left_semi")
+    found = hits(t)
+    own = (C.classify(found, lengths(t), TIERS, THR, tie=TIE).join(C.ordered_distinct_concat(C.admit_hits(found, TIERS)), "seq_id", "left")
+           .join(sel.filter("role = 'representative'").select("seq_id"), "seq_id", "left_semi"))
     ps = t.part.select(F.col("p_partkey").alias("seq_id"), F.when(F.col("p_brand") == "Brand#1", "ANNOTATED").otherwise("NONE").alias("transfer_class"),
                        F.col("p_name").alias("transfer_label"))
     out = C.resolve_annotation(own, sel, ps, THR)
-    return out.select("seq_id", "annot_source", F.col("annot_representative").cast("bigint").alias("annot_representative"), "annot_tier", "annot_label",
-                      "functional_class", "annot_completeness", "n_informative_hits", "explained_fraction")
+    return out.withColumn("annot_representative", F.col("annot_representative").cast("bigint"))
 
 
 @query("tier_residual", f"""WITH {HITS}, t1 AS (SELECT * FROM adm WHERE tier_idx = 0 AND informative AND spanned),

@@ -202,3 +202,40 @@ def item_report(t: Tables):
            .join(X.classes(t).filter("dark").select("seq_id"), "seq_id", "left_semi").join(fam, "family_id", "left_semi"))
     out = E.item_report(o, [("plasmid_id", reg), ("orf_id", iel), ("seq_id", lab), ("plasmid_id", cls), ("seq_id", mem)], fam)
     return out.withColumns({c: F.coalesce(c, F.lit("")) for c in ("is_element", "amr_labels", "ta_labels")})
+
+
+# ---- every field of an item ---------------------------------------------------------------
+
+_LABEL_TYPES = ("amr", "metal", "ta", "conj_role", "mge", "antidefence")
+_CLOSE = {"modal_synteny": "close_modal_synteny", "lineage_synteny_conservation": "close_lineage_synteny_conservation", "n_lineages": "close_n_lineages", "status": "close_synteny_status"}
+_CARRIED = ("scope", "reality_n", "reality_lines", "darkness_state", "dnds_median", "dnds_status", "coding_signal", "collectively_novel", "structural_match", "structural_description")
+
+_EVERY = f"""item AS ({ORACLES["item_report"]}), fr AS ({ORACLES["family_report"]}), syc AS ({ORACLES["synteny_conservation"]}), {OCC}, {O._LABELS},
+ tl AS (SELECT DISTINCT seq_id, split_part(term, ':', 1) AS ty, source || ':' || label AS v FROM term WHERE term IS NOT NULL),
+ lt AS (SELECT seq_id, {", ".join(f"string_agg(v, '; ' ORDER BY v) FILTER (ty = '{x}') AS {x}_labels" for x in _LABEL_TYPES)} FROM tl GROUP BY 1)
+SELECT item.* EXCLUDE (amr_labels, ta_labels), {", ".join(f"coalesce(lt.{x}_labels, '') AS {x}_labels" for x in _LABEL_TYPES)},
+  p_brand AS cog_category, p_type AS kegg_pathways, p_name AS preferred_name, p_name || ' ' || p_type AS eggnog_description,
+  CASE WHEN occ.k % 13 = 0 THEN 'T' || (occ.k % 2) ELSE '' END AS conj_system, CASE WHEN occ.k % 13 = 0 THEN 'c' || occ.t ELSE '' END AS conj_component,
+  CASE WHEN occ.plasmid_id % 5 = 0 THEN 'phage_plasmid' WHEN occ.plasmid_id % 5 < 4 THEN 'no' END AS plasmid_phage_plasmid,
+  {", ".join(f"syc.{c} AS {n}" for c, n in _CLOSE.items())}, {", ".join(f"fr.{c}" for c in _CARRIED)}
+FROM item JOIN occ USING (orf_id) LEFT JOIN lt ON lt.seq_id = item.seq_id LEFT JOIN part ON p_partkey = item.seq_id LEFT JOIN syc ON syc.level = 'close' AND syc.family_id = CAST(occ.close_id AS VARCHAR)
+  LEFT JOIN fr ON fr.family_id = item.family_id"""
+
+
+@query("item_evidence", f"WITH {_EVERY}")
+def item_evidence(t: Tables):
+    """The item report with every label type, orthology, conjugation systems, the record's phage call, the close level's synteny and the family's evidence."""
+    from umbral.operators import labels as L
+    items = item_report(t).drop("amr_labels", "ta_labels")
+    o = occ(t)
+    labels = L.labels_by_type(O.entity_labels(t)).select("seq_id", *[f"{x}_labels" for x in _LABEL_TYPES])
+    ortho = t.part.select(F.col("p_partkey").alias("seq_id"), F.col("p_brand").alias("cog_category"), F.col("p_type").alias("kegg_pathways"), F.col("p_name").alias("preferred_name"),
+                          F.concat_ws(" ", "p_name", "p_type").alias("eggnog_description"))
+    systems = o.filter(F.col("k") % 13 == 0).select("orf_id", F.concat(F.lit("T"), (F.col("k") % 2).cast("string")).alias("conj_system"), F.concat(F.lit("c"), F.col("t").cast("string")).alias("conj_component"))
+    u = F.col("plasmid_id")
+    phage = o.filter(u % 5 < 4).select("plasmid_id", F.when(u % 5 == 0, "phage_plasmid").otherwise("no").alias("plasmid_phage_plasmid")).distinct()
+    close = O.synteny(t).filter("level = 'close'").select(F.col("family_id").cast("bigint").alias("close_id"), *[F.col(c).alias(n) for c, n in _CLOSE.items()])
+    of_entity = o.select("seq_id", "close_id").distinct().join(close, "close_id").drop("close_id")
+    carried = family_table(t).select("family_id", *_CARRIED)
+    out = E.item_report(items, [("seq_id", labels), ("seq_id", ortho), ("orf_id", systems), ("plasmid_id", phage), ("seq_id", of_entity)], carried)
+    return out.withColumns({c: F.coalesce(c, F.lit("")) for c in (*[f"{x}_labels" for x in _LABEL_TYPES], "conj_system", "conj_component")})
