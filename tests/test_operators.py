@@ -19,6 +19,7 @@ from umbral.operators import pairs as P
 from umbral.operators import registry as R
 from umbral.operators import report as E
 from umbral.operators import similarity as Y
+from umbral.operators.selection import medians
 from umbral.operators import synteny as S
 from umbral.specs import ClusterSpec, LabelSource, PairSpec, SketchSpec, TierSpec
 
@@ -326,6 +327,17 @@ def test_distinct_counts_of_a_group_with_most_rows(spark, gather):
     assert "Expand" not in got._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("gather", [20, 50_000])
+def test_medians_of_a_group_with_most_rows(spark, gather):
+    from statistics import median
+    rnd = random.Random(gather)
+    draw = lambda: rnd.choice([0.0, 1.0, rnd.random(), -rnd.expovariate(1e-9), 1e-300 * rnd.random()])
+    data = [("hot", draw()) for _ in range(3001)] + [(f"g{i % 40}", draw()) for i in range(900)] + [("same", 5.0)] * 400 + [("none", None), ("nan?", 1e300), (None, 1.0)]
+    got = {r.k: r.m for r in medians(spark.createDataFrame(data, "k string, x double"), "k", "x", "m", gather).collect()}
+    groups = {k: [x for q, x in data if q == k and x is not None] for k, _ in data if k}
+    assert got == {k: pytest.approx(median(x)) for k, x in groups.items() if x}
+
+
 def test_recurrence_counts_lineages_not_records(spark):
     items = spark.createDataFrame([("s1", "r1"), ("s1", "r1"), ("s1", "r2"), ("s2", "r3")], "seq_id string, plasmid_id string")
     mem = spark.createDataFrame([("F", "s1"), ("F", "s2"), ("G", "gone")], "family_id string, seq_id string")

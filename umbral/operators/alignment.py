@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from umbral.functions import fixed as X
 from umbral.functions.predicates import is_informative
+from umbral.operators.selection import medians
 
 
 def family_consensus(aligned: DataFrame, family: str = "family_id", seq: str = "aligned",
@@ -62,9 +63,9 @@ def pairwise_rate_summary(families: DataFrame, pairs: DataFrame, family: str = "
     ``families``: (family, n_usable, alignment_failed, rate_failed, n_codons). ``pairs``:
     (family, omega); NaN has no value.
     """
-    rates = pairs.filter(~F.isnan("omega") & F.col("omega").isNotNull()).groupBy(family).agg(
-        F.count(F.lit(1)).alias("_n"), F.expr("percentile(omega, 0.5)").alias("_med"), F.min("omega").alias("_min"))
-    f = families.join(rates, family, "left")
+    valued = pairs.filter(~F.isnan("omega") & F.col("omega").isNotNull())
+    rates = valued.groupBy(family).agg(F.count(F.lit(1)).alias("_n"), F.min("omega").alias("_min"))
+    f = families.join(rates, family, "left").join(medians(valued, family, "omega", "_med"), family, "left")
     status = (
         F.when(F.col("n_usable") < min_members, "TOO_FEW_MEMBERS").when(F.col("alignment_failed"), "ALIGNMENT_FAILED")
         .when(F.col("rate_failed"), "YN00_FAILED").when(F.col("n_codons") < min_codons, "TOO_SHORT")

@@ -22,17 +22,17 @@ TILE_ROWS = 200_000
 _PER_BIN = 16
 
 
-def splitters(items: DataFrame, large: DataFrame, record: str, key: Column) -> DataFrame:
+def splitters(items: DataFrame, large: DataFrame, record: str, key: Column, per_bin: int = _PER_BIN) -> DataFrame:
     """(record, _cuts): ascending values of ``key`` that cut each record of ``large`` (record, _rows, _bins) into bins of about equal count.
 
-    They are every 16th of about 16 sampled keys per bin. A row is in the sample by a hash of its
+    They are every ``per_bin``-th of about as many sampled keys per bin. A row is in the sample by a hash of its
     key, so a record's sample has the size the bins ask for and not the record's.
     """
-    share = F.least(F.lit(1.0), F.col("_bins") * float(_PER_BIN) / F.col("_rows"))
+    share = F.least(F.lit(1.0), F.col("_bins") * float(per_bin) / F.col("_rows"))
     drawn = (items.select(record, key.alias("_k")).join(large, record)
              .filter(F.pmod(F.xxhash64("_k"), F.lit(1 << 30)) < share * (1 << 30)).select(record, "_k").distinct())
     return drawn.groupBy(record).agg(F.sort_array(F.collect_list("_k")).alias("_s")).select(
-        record, F.filter("_s", lambda x, i: i % _PER_BIN == _PER_BIN - 1).alias("_cuts"))
+        record, F.filter("_s", lambda x, i: i % per_bin == per_bin - 1).alias("_cuts"))
 
 
 def bin_of(key: Column, cuts: str = "_cuts") -> Column:

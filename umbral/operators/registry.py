@@ -12,6 +12,7 @@ from umbral.functions.coords import trim_terminal_repeat
 from umbral.functions.predicates import absent, is_closed
 from umbral.functions.text import first_source_wins
 from umbral.session import cut
+from umbral.operators.selection import medians
 
 
 def scope_filter(master: DataFrame, excluded: Sequence[str], small_below: int, habitat: str = "hab_top",
@@ -130,8 +131,9 @@ def match_items(ours: DataFrame, theirs: DataFrame, record: str = "plasmid_id",
 
 def concordance(ours: DataFrame, theirs: DataFrame, length: str = "length", group: str = "group", record: str = "plasmid_id", seq: str = "seq_id") -> DataFrame:
     """Per (group, kind) our count, share and median length, and the reverse match count of the group."""
-    m = match_items(ours, theirs, record, seq)
-    per = m.groupBy(group, "kind").agg(F.count(F.lit(1)).alias("n"), F.expr(f"percentile({length}, 0.5)").alias("median_length"))
+    m = cut(match_items(ours, theirs, record, seq).select(F.struct(group, "kind").alias("_g"), length))
+    middle = medians(m, "_g", length, "median_length")
+    per = m.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).join(middle, "_g", "left").select(f"_g.{group}", "_g.kind", "n", "median_length")
     tot = per.groupBy(group).agg(F.sum("n").alias("n_ours"))
     back = (theirs.join(ours.select(record, seq).distinct().withColumn("_m", F.lit(1)), [record, seq], "left").groupBy(group)
             .agg(F.count(F.lit(1)).alias("n_theirs"), F.count("_m").alias("n_theirs_matched")))
