@@ -15,7 +15,8 @@ CAT = load_catalog()
 QUICK = ["dereplicate_exact", "classify_entities", "expand_to_items", "resolve_annotation", "best_tiered_hit", "curated_call", "merge_labels", "directons", "flanks_circular",
          "overlap_islands", "context_rates", "synteny_conservation", "protein_families", "dark_families", "recurrence", "rarity", "cooccurrence", "rarefaction_ranked",
          "top_k_edges", "connected_components", "communities", "network_summary", "minhash_pairs", "representatives", "parse_titles", "parse_headers", "gff3_rows", "fasta_roundtrip",
-         "resolve_twins", "consensus", "consensus_label", "reality_lines", "record_class", "record_flag", "stage_status", "set_agreement", "number_elements", "item_report"]
+         "resolve_twins", "consensus", "consensus_label", "reality_lines", "record_class", "record_flag", "stage_status", "set_agreement", "number_elements", "item_report",
+         "lineage_min_id", "pairwise_rates", "artefact_flags", "genbank_flatfile"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
 
