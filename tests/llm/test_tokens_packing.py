@@ -242,3 +242,49 @@ def test_the_more_frequent_of_overlapping_pairs_goes_first():
     last[-1] = True
     rules = repair.compress(symbols, last, 3, repair.RepairSpec(""))[2]
     assert rules[0].tolist() == [1, 2]
+
+
+def plain_rounds(symbols, last, n, least):
+    """Every pair of the block counted anew in every round."""
+    symbols, last, rules = list(symbols), list(last), []
+    while True:
+        count, free = {}, {}
+        for i in range(len(symbols) - 1):
+            p = symbols[i], symbols[i + 1]
+            if not last[i] and free.get(p, 0) <= i:
+                count[p], free[p] = count.get(p, 0) + 1, i + 2
+        order = sorted((p for p in count if count[p] >= least), key=lambda p: (-count[p], p))
+        taken, places = set(), {}
+        for p in order:
+            i, places[p] = 0, []
+            while i < len(symbols) - 1:
+                if not last[i] and (symbols[i], symbols[i + 1]) == p:
+                    # a place of a run counts whether or not it is free
+                    if i not in taken and i + 1 not in taken:
+                        places[p].append(i)
+                    i += 2
+                else:
+                    i += 1
+            taken |= {j for i in places[p] for j in (i, i + 1)}
+        made = [p for p in order if len(places[p]) >= least]
+        if not made:
+            return symbols, last, rules
+        new = {i: n + k for k, p in enumerate(made) for i in places[p]}
+        gone = {i + 1 for i in new}
+        last = [last[i + 1] if i in new else last[i] for i in range(len(symbols)) if i not in gone]
+        symbols = [new.get(i, s) for i, s in enumerate(symbols) if i not in gone]
+        rules, n = rules + made, n + len(made)
+
+
+def test_rounds_equal_counting_the_whole_block_anew():
+    rng = np.random.default_rng(11)
+    for turn in range(60):
+        k, lengths = int(rng.integers(1, 7)), rng.integers(1, 50, rng.integers(1, 20))
+        ids = rng.integers(0, k, lengths.sum())
+        ids = np.repeat(ids, 3)[:len(ids)] if turn % 3 == 0 else ids
+        last = np.zeros(len(ids), bool)
+        last[np.cumsum(lengths) - 1] = True
+        least = int(rng.integers(2, 6))
+        got = repair.compress(ids, last.copy(), k, repair.RepairSpec("", least_count=least))
+        want = plain_rounds(ids.tolist(), last.tolist(), k, least)
+        assert got[0].tolist() == want[0] and got[1].tolist() == want[1] and [tuple(r) for r in got[2].tolist()] == want[2]

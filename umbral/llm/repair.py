@@ -55,12 +55,12 @@ class RepairSpec:
 _RULE_BYTES, _NARROW = 12, 1 << 16  # two symbols and a length; symbols that two bytes can tell apart
 
 
-def _frequent_first(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+def _frequent_first(at: np.ndarray, rank: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Which of the places ``at`` (ascending) remain when those of lower rank, taken first, rule out their neighbours; neighbours differ in rank."""
     keep, open_ = np.zeros(len(at), bool), np.arange(len(at))
     while len(open_):
         a, k = at[open_], rank[open_]
-        touch = np.diff(a) == 1
+        touch = after[a[:-1]] == a[1:]
         win = np.ones(len(a), bool)
         win[1:] &= ~touch | (k[1:] < k[:-1])
         win[:-1] &= ~touch | (k[:-1] < k[1:])
@@ -72,53 +72,84 @@ def _frequent_first(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _cells(key: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed cell of every key, rows of each cell), about four cells a key."""
+    bits = min(20, max(10, (4 * len(key)).bit_length()))
+    spread = np.uint32(0x9E3779B1) if width == 32 else _MULT
+    cell = ((key * spread) >> key.dtype.type(width - bits)).astype(np.int64)
+    return cell, np.bincount(cell, minlength=1 << bits)
+
+
 def compress(symbols: np.ndarray, last: np.ndarray, alphabet: int, spec: RepairSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, last, rules): pairs that do not span a document's last symbol replaced, most frequent first.
 
-    A round counts pairs in hashed cells, looks only at the cells that are full enough, counts these
-    exactly without overlap of a pair with itself, and replaces the chosen pairs. The most frequent
-    one is replaced everywhere, so every round makes a rule that pays.
+    Places are linked to the next and the one before within their document, so a replacement touches
+    its surroundings only. A pair that is too rare in one round stays so, as replacements only take
+    occurrences away; a round therefore looks at the places where a frequent pair was left over or a
+    new symbol has come. It counts their pairs in hashed cells, then those of full cells exactly,
+    without overlap of a pair with itself, and replaces the chosen ones. The most frequent one is
+    replaced everywhere, so every round makes a rule that pays.
     """
+    size = len(symbols)
+    symbols = symbols.astype(np.uint32)
+    after, prior = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
+    after[last] = -1
+    prior[1:][last[:-1]] = -1
+    stay, mark = np.ones(size, bool), np.empty(size, bool)
     rules: list[np.ndarray] = []
-    n = alphabet
-    while len(symbols) > 1:
-        room = _NARROW - n if n <= _NARROW else spec.rules_per_round
-        least = spec.least_count or _RULE_BYTES // (2 if n <= _NARROW else 4) + 1
-        key = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
-        cell = ((key * _MULT) >> np.uint64(44)).astype(np.int64)
-        cell[last[:-1]] = 1 << 20
-        full = np.bincount(cell, minlength=(1 << 20) + 1) >= least
-        full[1 << 20] = False
-        at = np.flatnonzero(full[cell])
+    n, left, narrow = alphabet, size, alphabet <= _NARROW
+    least = spec.least_count or _RULE_BYTES // (2 if narrow else 4) + 1
+    kind, shift = (np.uint32, 16) if narrow else (np.uint64, 32)
+    at = np.flatnonzero(after >= 0).astype(np.int32)
+    while len(at):
+        room = _NARROW - n if narrow else spec.rules_per_round
+        key = (symbols[at].astype(kind) << kind(shift)) | symbols[after[at]]
+        cell, rows = _cells(key, 2 * shift)
+        full = np.flatnonzero((rows >= least)[cell])
+        at, key = at[full], key[full]
         if not len(at) or not room:
             break
-        head = np.concatenate([[True], (np.diff(at) != 1) | (key[at[1:]] != key[at[:-1]])])     # of a run of one symbol
-        place = np.arange(len(at))
-        at = at[(place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0]
-        pair, index, count = np.unique(key[at], return_inverse=True, return_counts=True)
+        head = np.ones(len(at), bool)                           # of a run of one symbol
+        head[1:] = (after[at[:-1]] != at[1:]) | (key[1:] != key[:-1])
+        place = np.arange(len(at), dtype=np.int32)
+        apart = (place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0
+        pair, index = np.unique(key, return_inverse=True)
+        count = np.bincount(index[apart], minlength=len(pair))
         good = np.flatnonzero(count >= least)
         if not len(good):
             break
+        rank = np.full(len(pair), -1, np.int32)
+        rank[good] = len(good)
+        mark[:] = False
+        mark[at[(rank >= 0)[index]]] = True
         good = good[np.argsort(-count[good], kind="stable")[:min(room, spec.rules_per_round)]]
-        rank = np.full(len(pair), -1, np.int64)
+        rank[rank >= 0] = -1
         rank[good] = np.arange(len(good))
         chosen = rank[index]
-        at, chosen = at[chosen >= 0], chosen[chosen >= 0]
-        keep = _frequent_first(at, chosen)
+        take = apart & (chosen >= 0)
+        at, chosen = at[take], chosen[take]
+        keep = _frequent_first(at, chosen, after)
         at, chosen = at[keep], chosen[keep]
         pays = np.bincount(chosen, minlength=len(good)) >= least
-        at, chosen, good = at[pays[chosen]], (np.cumsum(pays) - 1)[chosen[pays[chosen]]], good[pays]
-        before = len(symbols)
+        keep = pays[chosen]
+        at, chosen, good = at[keep], (np.cumsum(pays) - 1)[chosen[keep]], good[pays]
+        gone = after[at]
         symbols[at] = n + chosen
-        last[at] = last[at + 1]
-        stay = np.ones(before, bool)
-        stay[at + 1] = False
-        symbols, last = symbols[stay], last[stay]
-        rules.append(np.stack([pair[good] >> np.uint64(32), pair[good] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        far = after[gone]
+        after[at] = far
+        prior[far[far >= 0]] = at[far >= 0]
+        stay[gone] = False
+        back = prior[at]
+        mark[at] = mark[back[back >= 0]] = True
+        mark[gone] = False
+        rules.append(np.stack([pair[good] >> kind(shift), pair[good] & kind((1 << shift) - 1)], 1).astype(np.uint32))
         n += len(good)
-        if before - len(symbols) < spec.least_gain * before:
+        if len(at) < spec.least_gain * left:
             break
-    return symbols, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+        left -= len(at)
+        at = np.flatnonzero(mark).astype(np.int32)
+        at = at[after[at] >= 0]
+    return symbols[stay], after[stay] < 0, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansions(ids: np.ndarray, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +179,7 @@ def write_block(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, spec: Repai
     symbols = code[ids]
     last = np.zeros(len(ids), bool)
     last[np.cumsum(lengths) - 1] = True
-    symbols, last, rules = compress(symbols.astype(np.int64), last, len(distinct), spec)
+    symbols, last, rules = compress(symbols, last, len(distinct), spec)
     width = 2 if len(distinct) + len(rules) <= 1 << 16 else 4
     per_doc = np.diff(np.concatenate([[-1], np.flatnonzero(last)]))
     size = expansions(distinct.astype(np.uint32), rules)[1][len(distinct):]
