@@ -167,3 +167,75 @@ def test_trained_field_tells_lines_apart(spark):
     rows = linecrf.judge(docs, model).collect()
     assert all(r["kept"] == bool(r["doc_id"] % 2) for r in rows)
     assert {r["doc_id"] for r in linecrf.kept_documents(docs, model).collect()} == set(range(1, 80, 2))
+
+
+def every_labelling(g, field, spec):
+    """Beliefs by summing over all labellings of mentions and common nodes."""
+    k, n = len(pii.KINDS) + 1, len(g.root)
+    owners, skip, kin = g.hubs()
+    total = n + len(owners)
+    unary = np.zeros((total, k))
+    unary[:n] = g.shape.astype(float) @ field.node
+    for i in range(n):
+        unary[i] /= max(1, sum(g.root[j] == g.root[i] and g.label[j] == 0 for j in range(n)))
+    belief = np.zeros((total, k))
+    choice = [[int(g.label[i])] if i < n and g.label[i] else range(k) for i in range(total)]
+    for y in itertools.product(*choice):
+        value = sum(unary[i, y[i]] for i in range(n) if not g.label[i])
+        for edges, table in ((g.chain, field.chain), (skip, field.skip), (kin, field.kin)):
+            value += sum(table[y[a], y[b]] for a, b in edges)
+        for i, label in enumerate(y):
+            belief[i, label] += np.exp(value)
+    return (belief / belief.sum(axis=1, keepdims=True))[:n]
+
+
+def test_a_loopy_graph_is_close_to_all_labellings():
+    """Chain and skip edges close loops here; a graph without loops is met exactly."""
+    k, rng = len(pii.KINDS) + 1, np.random.default_rng(5)
+    for text, chained, limit in (("5551234 x5551234 x 5551234", True, 0.03), ("5551234 a 5551234 b 9875551234", False, 1e-4), ("5551234 9875551234 5551234", True, 0.03)):
+        for _ in range(4):
+            field = pii.Field(rng.normal(size=(len(pii.SHAPES), k)) / 3, rng.normal(size=(k, k)) / 3, rng.normal(size=(k, k)) / 2, rng.normal(size=(k, k)) / 2)
+            g = pii.graph([text], [[]])
+            assert bool(len(g.chain)) == chained and len(g.hubs()[1])
+            assert np.abs(pii.infer(g, field, pii.PiiSpec()) - every_labelling(g, field, pii.PiiSpec())).max() < limit
+            assert g.settled.all()
+
+
+TRAIN = [f"mail u{i}@h{i}.example.com now, card 4{i:015d} or +1 (389) 555-01{i:02d} in 19{i:02d} for {i} items, 10.2.3.{i} or {i},500" for i in range(100)]
+
+
+def trained():
+    return pii.fit_field([pii.graph(TRAIN, [pii.base_spans(t) for t in TRAIN])], pii.PiiSpec())
+
+
+def added(text, field):
+    return [(text[s:e], pii.NAMES[k]) for s, k, e in pii.find_spans([text], field, pii.PiiSpec())[1][0] if k >= len(pii.KINDS)]
+
+
+def test_the_field_decides_more_than_equal_keys():
+    """Two cards in a row and a phone before an address fail their patterns; their forms tell, without another mention."""
+    field = trained()
+    assert added("Pay by 4111111111111111 4111111111111111 now", field) == [("4111111111111111", "card_like")] * 2
+    assert [x for x, _ in added("Call +1 (826) 555-4081 190.137.223.20 soon", field)] == ["+1", "(826)", "555-4081"]
+    # the same number written without its country code is similar, not equal
+    assert added("Call +1 (389) 555-0101. Again: 389-555-0101 or 389-555-0101.", field) == [("389-555-0101", "phone_like")] * 2
+    for clean in ("On 2023-10-05 at 12:30 we met 5.000.000 people in 1999.", "Version 1.2.3.4567 of 12345678", "Again: 389/555/0199 x@y", "4111111111111112 4111111111111112"):
+        assert added(clean, field) == []
+
+
+def test_a_document_does_not_depend_on_its_neighbours():
+    field = trained()
+    texts = TRAIN[:20] + ["a@b.cd " + "a(at)b.cd 12 " * 30, "", "Call +1 (389) 555-0101. Again: 389-555-0101"] + ["7 " * 500]
+    together = pii.search(texts, field, pii.PiiSpec())
+    for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+        alone = [pii.infer(pii.graph([texts[i]], [pii.base_spans(texts[i])]), field, pii.PiiSpec()) for i in order if texts[i]]
+        g = pii.graph([texts[i] for i in order], [pii.base_spans(texts[i]) for i in order])
+        assert np.array_equal(pii.infer(g, field, pii.PiiSpec()), np.concatenate(alone))
+    assert together[1] == [pii.find_spans([t], field, pii.PiiSpec())[1][0] for t in texts]
+
+
+def test_a_document_that_does_not_settle_is_marked(spark):
+    docs = spark.createDataFrame([(1, "a@b.cd 12 a(at)b.cd 13", None, None), (2, "none", None, None)], DOCS)
+    rows = {r["doc_id"]: r["settled"] for r in pii.detect(docs, trained(), pii.PiiSpec(rounds=1)).collect()}
+    assert rows == {1: False, 2: True}
+    assert all(r["settled"] for r in pii.detect(docs, trained()).collect())

@@ -3,24 +3,28 @@
 The base spans are fixed patterns (e-mail, IP, card, phone), found left to right without overlap per
 kind. The field adds what the patterns miss. Its nodes are the tokens of a document that could be
 personal data at all: those with a digit or an at sign, of any length, between white space, quotes,
-brackets and other delimiters. Neighbouring nodes are linked along the
-chain, and nodes with the same digits or the same address, however far apart, by skip edges. Node
-potentials come from the shape of a token, edge potentials from how often labels meet on such edges;
-base spans are evidence, which no message changes. Loopy, damped sum-product passing then spreads a
-label over all mentions of the same thing, until no message changes by more than a tolerance. A token outside the base spans that is labelled confidently, and of which another
-mention in the document carries that label by its pattern, becomes a span of its own, named ``<kind>_like`` so that the base spans stay recognisable.
-
-Skip edges are counted for training along each group of alike tokens in order of position. For
-inference, a mention without a base label is linked to the nearest mention with one before it and to
-that after it, however far away: between evidence and a mention there is one edge, as nothing passes
-through evidence. Groups without evidence stay paths. A token that occurs n times costs 2 n edges at most.
+brackets and other delimiters. Neighbouring nodes are linked along the chain. Mentions with the same
+digits or the same address, however far apart, are linked by skip edges to a common node of their
+group; groups of similar things (numbers that end in the same seven digits, addresses with the same
+name before the at sign) are linked to a common node of their own. So n alike mentions make n edges.
+Node potentials come from the shape of a token and from the labels that its form (digits and letter
+runs written as one sign) had in training; a form that training has not met says little, so only other
+mentions can give it a label. Alike mentions that no pattern labels share one
+potential in equal parts, as repeating a token is no further evidence about it. Edge potentials come
+from how often labels meet on such edges; base spans are evidence, which no message changes. Loopy,
+damped sum-product passing runs document by document until no message of a document changes by more
+than a tolerance, so a document's result does not depend on what it is computed with. A token outside
+the base spans that is labelled confidently becomes a span of its own, named ``<kind>_like`` so that
+the base spans stay recognisable.
 
 Training is piecewise, in numpy, on a bounded sample of documents: node weights by softmax
-regression of the base labels on shapes, edge potentials from smoothed counts of label pairs.
+regression of the base labels on shapes, edge potentials from smoothed counts of label pairs
+(neighbours; a mention and the label of its group; two similar groups).
 
 Defined cases: a null text is an empty one and has no spans; the hash of no spans is that of the
 empty string; repeated rows each have their own result; other columns are ignored; an empty table
-gives an empty result. Digit runs of any length are handled in linear time.
+gives an empty result. Digit runs of any length are handled in linear time. A document whose messages
+have not settled after ``rounds`` keeps the spans of its last beliefs and is marked (``settled`` false).
 """
 
 from __future__ import annotations
@@ -58,10 +62,12 @@ class PiiSpec:
     sample: int = 4000         # documents among which the field is fitted
     max_chars: int = 20_000    # longer texts are not fitted on; all are searched whole
     epochs: int = 60
-    rounds: int = 1000         # of message passing at most, for fields on which it would not settle
+    rounds: int = 1000         # of message passing at most; a document that needs more is marked
     tolerance: float = 1e-4    # change of a log message below which passing has settled
     damping: float = 0.3
     confidence: float = 0.5    # of a label, for a span outside the base spans
+    unmet: float = 1.0         # log odds of "none of them" for a form that training has not met
+    form_weight: float = 1.0   # of the shape against one token of the same form
     seed: int = 23
 
 
@@ -69,7 +75,9 @@ class PiiSpec:
 class Field:
     node: np.ndarray           # shapes x labels, log potentials
     chain: np.ndarray          # labels x labels, log potentials
-    skip: np.ndarray
+    skip: np.ndarray           # labels of a mention x labels of its group
+    kin: np.ndarray | None = None   # of a group x of what similar groups have in common; none: half of skip
+    forms: dict | None = None       # labels that each form had; none: shapes alone count
 
 
 def luhn(digits: str) -> bool:
@@ -134,6 +142,15 @@ def shape(token: str) -> list[bool]:
             n == len(core) > 0, "-" in core or "." in core, n == 4 == len(core), core[:1] in "([{"]
 
 
+def form(token: str) -> str:
+    """The token with every digit as 9 and every run of letters as a, and whether its digits pass Luhn and its dotted parts are bytes."""
+    core = token.strip(".,;:!?")
+    plain = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", core[:64]))
+    digits = "".join(c for c in core if "0" <= c <= "9")
+    parts = core.split(".")
+    return plain + " luhn" * (14 <= len(digits) <= 19 and luhn(digits)) + " bytes" * (len(parts) == 4 and all(x.isdigit() and len(x) < 4 and int(x) <= 255 for x in parts))
+
+
 def alike(token: str) -> str | None:
     """What mentions of the same thing have in common: an address however written, or seven digits or more."""
     plain = _DOT.sub(".", _AT.sub("@", token)).strip(".,;:!?()[]{}<>\"'").lower()
@@ -143,6 +160,11 @@ def alike(token: str) -> str | None:
     return "#" + digits if len(digits) >= 7 else None
 
 
+def similar(key: str) -> str:
+    """What the keys of similar things have in common: the name of an address, the last seven digits of a number."""
+    return key[-7:] if key[0] == "#" else "@" + key.partition("@")[0]
+
+
 @dataclass
 class Graph:
     """Candidate tokens of some documents: place, shape, base label, chain and skip edges."""
@@ -154,23 +176,22 @@ class Graph:
     skip: np.ndarray
     owner: np.ndarray
     root: np.ndarray           # the first node alike
+    kin: np.ndarray            # the first node of a similar thing
+    form: list
+    settled: np.ndarray | None = None   # of each document, once inferred
 
-    def evidence_edges(self) -> np.ndarray:
-        """Skip edges for inference: unlabelled mentions to the nearest labelled ones alike, paths in groups without any."""
+    def hubs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(owners of the common nodes, edges mention to group, edges group to similar groups); common nodes are numbered after the mentions."""
         n = len(self.root)
-        if not len(self.skip):
-            return self.skip
-        order = np.argsort(self.root, kind="stable")
-        group, known, at = self.root[order], self.label[order] > 0, np.arange(n)
-        before = np.maximum.accumulate(np.where(known, at, -1))
-        after = np.minimum.accumulate(np.where(known, at, n)[::-1])[::-1]
-        out = []
-        for near, fine in ((before, before >= 0), (after, after < n)):
-            i = np.flatnonzero(fine & ~known)
-            i = i[group[near[i]] == group[i]]
-            out.append(np.stack([order[near[i]], order[i]], axis=1))
-        bare = ~np.isin(self.root[self.skip[:, 0]], group[known])
-        return np.concatenate([*out, self.skip[bare]])
+        heads, group, size = np.unique(self.root, return_inverse=True, return_counts=True)
+        shared, family, groups = np.unique(self.kin[heads], return_inverse=True, return_counts=True)
+        wide = groups > 1
+        used = (size > 1) | wide[family]
+        at = n + np.cumsum(used) - 1
+        above = n + used.sum() + np.cumsum(wide) - 1
+        member, low = np.flatnonzero(used[group]), np.flatnonzero(wide[family])
+        return (np.concatenate([self.owner[heads[used]], self.owner[shared[wide]]]),
+                np.stack([member, at[group[member]]], 1), np.stack([at[low], above[family[low]]], 1))
 
 
 def tokens(text: str):
@@ -187,10 +208,11 @@ def tokens(text: str):
 
 
 def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
-    start, end, label, shapes, owner, chain, skip, root = [], [], [], [], [], [], [], []
+    start, end, label, shapes, owner, chain, skip, root, kin, forms = [], [], [], [], [], [], [], [], [], []
     cache: dict[str, tuple] = {}
     for d, (text, found) in enumerate(zip(texts, spans)):
         seen: dict[str, int] = {}
+        families: dict[str, int] = {}
         before, index, at, n = -2, -1, 0, len(found)
         for left, right in tokens(text):
             index += 1
@@ -199,7 +221,7 @@ def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
                 continue
             hit = cache.get(token)
             if hit is None:
-                hit = shape(token), alike(token)
+                hit = shape(token), alike(token), form(token)
                 if len(token) <= 256:
                     cache[token] = hit
             me = len(start)
@@ -217,6 +239,8 @@ def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
                 chain.append((me - 1, me))
             before = index
             root.append(me)
+            forms.append(hit[2])
+            kin.append(me if key is None else families.setdefault(similar(key), me))
             if key is not None:
                 if key in seen:
                     skip.append((seen[key], me))
@@ -224,7 +248,7 @@ def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
                 seen[key] = me
     pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
     return Graph(start, end, np.array(label, np.int64), np.array(shapes, bool).reshape(-1, len(SHAPES)), pairs(chain), pairs(skip),
-                 np.array(owner, np.int64), np.array(root, np.int64))
+                 np.array(owner, np.int64), np.array(root, np.int64), np.array(kin, np.int64), forms)
 
 
 def fit_field(graphs: list[Graph], spec: PiiSpec) -> Field:
@@ -243,48 +267,95 @@ def fit_field(graphs: list[Graph], spec: PiiSpec) -> Field:
         past += g * g
         w -= 0.5 * g / np.sqrt(past)
 
-    def edges(name):
-        c = np.full((k, k), 0.5) + (5 * np.eye(k) if name == "skip" else 0)    # alike tokens agree unless counts say otherwise
-        for g in graphs:
-            e = getattr(g, name)
-            np.add.at(c, (g.label[e[:, 0]], g.label[e[:, 1]]), 1.0)
+    def potentials(pairs, prior=0.0):
+        c = np.full((k, k), 0.5) + prior * np.eye(k)
+        for e in pairs:
+            np.add.at(c, (e[:, 0], e[:, 1]), 1.0)
         c = c + c.T
+        if prior:       # common nodes have no potential of their own, so equal labels must be as good for every label
+            return np.log(c / np.sqrt(np.outer(c.diagonal(), c.diagonal())))
         share = c / c.sum()
         return np.log(share / np.outer(share.sum(1), share.sum(0)))
 
-    return Field(w, edges("chain"), edges("skip"))
+    chain, skip, kin = [], [], []
+    for g in graphs:
+        top = np.zeros(len(g.root), np.int64)
+        np.maximum.at(top, g.root, g.label)                     # the label of a group, at its first node
+        chain.append(g.label[g.chain])
+        again = np.flatnonzero(g.root != np.arange(len(g.root)))
+        skip.append(np.stack([g.label[again], top[g.root[again]]], 1))
+        other = np.flatnonzero((g.root == np.arange(len(g.root))) & (g.kin != g.root))
+        kin.append(np.stack([top[other], top[g.kin[other]]], 1))
+    forms: dict[str, np.ndarray] = {}
+    for g in graphs:
+        for f, label in zip(g.form, g.label.tolist()):
+            forms.setdefault(f, np.zeros(k))[label] += 1
+    # alike and similar things agree unless counts say otherwise
+    return Field(w, potentials(chain), potentials(skip, 20), potentials(kin, 20), forms)
 
 
 def infer(g: Graph, field: Field, spec: PiiSpec) -> np.ndarray:
-    """Beliefs (node x label) after loopy sum-product over chain and skip edges; base labels are evidence."""
-    k = len(KINDS) + 1
-    unary = g.shape.astype(float) @ field.node
+    """Beliefs (node x label) after loopy sum-product over chain, skip and similarity edges; base labels are evidence."""
+    k, n = len(KINDS) + 1, len(g.root)
+    owners, skip, kin = g.hubs()
+    owner = np.concatenate([g.owner, owners])
+    unary = np.zeros((len(owner), k))
+    for f, weight in enumerate(field.node):                     # in a fixed order, so that a row does not depend on the others
+        unary[:n] += g.shape[:, f, None] * weight
+    if field.forms is not None:
+        share = np.exp(unary[:n] - unary[:n].max(axis=1, keepdims=True))
+        share /= share.sum(axis=1, keepdims=True)
+        seen = [field.forms.get(f) for f in g.form]
+        new = np.array([c is None for c in seen], bool)
+        count = np.array([np.zeros(k) if c is None else c for c in seen]).reshape(-1, k)
+        unary[:n] = np.log((count + spec.form_weight * share) / (count.sum(axis=1, keepdims=True) + spec.form_weight) + 1e-9)
+        unary[:n][new] = np.eye(k)[0] * spec.unmet
+    bare = g.label == 0
+    unary[:n] /= np.maximum(1, np.bincount(g.root[bare], minlength=n))[g.root][:, None]
     unary -= unary.max(axis=1, keepdims=True)
     known = np.flatnonzero(g.label)
     unary[known] = -12.0
     unary[known, g.label[known]] = 0.0
-    skip = g.evidence_edges()
-    pair = np.concatenate([g.chain, skip])
-    table = np.exp(np.concatenate([np.repeat(field.chain[None], len(g.chain), 0), np.repeat(field.skip[None], len(skip), 0)]))
+    pair = np.concatenate([g.chain, skip, kin])
+    above = field.skip / 2 if field.kin is None else field.kin
+    tables = np.exp(np.stack([field.chain, field.skip, above]))
+    which = np.repeat(np.arange(3), [len(g.chain), len(skip), len(kin)])
+    tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
     a, b = np.concatenate([pair[:, 0], pair[:, 1]]), np.concatenate([pair[:, 1], pair[:, 0]])
-    table = np.concatenate([table, table.transpose(0, 2, 1)])
-    m, back = np.zeros((len(a), k)), np.concatenate([np.arange(len(pair)) + len(pair), np.arange(len(pair))])
-    held = (g.label[a] > 0)[:, None]
-    for _ in range(spec.rounds if len(pair) else 0):
+    table, doc = np.concatenate([which, which + 3]), owner[a]
+    back = np.concatenate([np.arange(len(pair)) + len(pair), np.arange(len(pair))])
+    fixed = np.zeros(len(owner), bool)
+    fixed[known] = True
+    m = np.zeros((len(a), k))
+
+    def totals(edges):
         total = unary.copy()
         for c in range(k):
-            total[:, c] += np.bincount(b, weights=m[:, c], minlength=len(unary))
-        out = np.where(held, unary[a], total[a] - m[back])
-        out -= out.max(axis=1, keepdims=True)
-        new = np.log(np.einsum("ej,ejk->ek", np.exp(out), table) + 1e-12)
-        new -= new.mean(axis=1, keepdims=True)
-        new = spec.damping * m + (1 - spec.damping) * new
-        change, m = np.abs(new - m).max(), new
-        if change < spec.tolerance:
+            total[:, c] += np.bincount(b[edges], weights=m[edges, c], minlength=len(unary))
+        return total
+
+    docs = int(owner.max()) + 1 if len(owner) else 0
+    open_, moving = np.arange(len(a)), np.zeros(docs, bool)
+    moving[doc] = True
+    for _ in range(spec.rounds):
+        if not len(open_):
             break
-    total = unary.copy()
-    for c in range(k):
-        total[:, c] += np.bincount(b, weights=m[:, c], minlength=len(unary)) if len(pair) else 0
+        e = open_
+        out = np.where(fixed[a[e], None], unary[a[e]], totals(e)[a[e]] - m[back[e]])
+        out = np.exp(out - out.max(axis=1, keepdims=True))
+        new = np.zeros((len(e), k))
+        for j in range(k):
+            new += out[:, j, None] * tables[table[e], j]
+        new = np.log(new + 1e-12)
+        new -= new.mean(axis=1, keepdims=True)
+        new = spec.damping * m[e] + (1 - spec.damping) * new
+        change = np.zeros(docs)
+        np.maximum.at(change, doc[e], np.abs(new - m[e]).max(axis=1))
+        m[e] = new
+        moving &= change >= spec.tolerance
+        open_ = e[moving[doc[e]]]
+    g.settled = ~moving
+    total = totals(np.arange(len(a)))[:n]
     total[known] = unary[known]
     p = np.exp(total - total.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
@@ -293,7 +364,7 @@ def infer(g: Graph, field: Field, spec: PiiSpec) -> np.ndarray:
 def fit_pii(docs: DataFrame, spec: PiiSpec = PiiSpec()) -> Field:
     """A field fitted on those of about ``sample`` documents that hold a digit or an at sign."""
     rows = hashed_share(doc_frame(docs), spec.sample, docs.count(), "doc_id")
-    rows = rows.filter((F.length("text") <= spec.max_chars) & F.col("text").rlike("[0-9@]")).select("text").limit(2 * spec.sample)
+    rows = rows.filter((F.length("text") <= spec.max_chars) & F.col("text").rlike("[0-9@]")).select("text").orderBy(F.xxhash64("text"), "text").limit(2 * spec.sample)
     texts = sorted(r["text"] for r in rows.collect())
     return fit_field([graph(texts, [base_spans(t) for t in texts])] if texts else [], spec)
 
@@ -303,15 +374,19 @@ NAMES = KINDS + tuple(f"{k}_like" for k in KINDS)
 
 def find_spans(texts: list[str], field: Field, spec: PiiSpec) -> tuple[list, list]:
     """(base spans, all spans) of each text."""
+    return search(texts, field, spec)[:2]
+
+
+def search(texts: list[str], field: Field, spec: PiiSpec) -> tuple[list, list, np.ndarray]:
+    """(base spans, all spans, whether message passing has settled) of each text."""
     base = [base_spans(t) for t in texts]
     g = graph(texts, base)
-    every = [list(b) for b in base]
+    every, settled = [list(b) for b in base], np.ones(len(texts), bool)
     if len(g.start):
         belief = infer(g, field, spec)
         best = belief.argmax(axis=1)
-        k = len(KINDS) + 1
-        backed = np.isin(g.root * k + best, (g.root * k + g.label)[g.label > 0])   # a token alike has this label by its pattern
-        for i in np.flatnonzero((best > 0) & (g.label == 0) & backed & (belief.max(axis=1) >= spec.confidence)).tolist():
+        settled[:len(g.settled)] = g.settled
+        for i in np.flatnonzero((best > 0) & (g.label == 0) & (belief.max(axis=1) >= spec.confidence)).tolist():
             text = texts[g.owner[i]]
             s, e = g.start[i], g.end[i]
             while e > s + 1 and text[e - 1] in ".,;:!?":
@@ -320,7 +395,7 @@ def find_spans(texts: list[str], field: Field, spec: PiiSpec) -> tuple[list, lis
                 every[g.owner[i]].append((s, len(KINDS) + int(best[i]) - 1, e))
     for x in every:
         x.sort()
-    return base, every
+    return base, every, settled
 
 
 def _possible(text: pa.Array) -> np.ndarray:
@@ -329,29 +404,29 @@ def _possible(text: pa.Array) -> np.ndarray:
 
 
 def detect(docs: DataFrame, field: Field, spec: PiiSpec = PiiSpec()) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of every row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, settled) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     none = hashlib.sha256(b"").hexdigest()
     frame = doc_frame(docs)
-    names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"]
+    names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "settled"]
 
     def run(batches):
         for batch in slices(batches):
             text = batch.column("text")
             some = np.flatnonzero(_possible(text))
             count = np.zeros((len(text), len(KINDS)), np.int64)
-            digest, spans, added = [none] * len(text), [""] * len(text), np.zeros(len(text), np.int64)
-            base, every = find_spans(text.take(pa.array(some)).to_pylist(), shared.value, spec)
+            digest, spans, added, calm = [none] * len(text), [""] * len(text), np.zeros(len(text), np.int64), np.ones(len(text), bool)
+            base, every, calm[some] = search(text.take(pa.array(some)).to_pylist(), shared.value, spec)
             for i, b, x in zip(some.tolist(), base, every):
                 if x:
                     for _, k, _ in b:
                         count[i, k] += 1
                     digest[i], spans[i], added[i] = hashlib.sha256(render(b).encode()).hexdigest(), render(x, NAMES), len(x) - len(b)
             yield pa.record_batch([batch.column("doc_id"), *[pa.array(count[:, k]) for k in range(len(KINDS))], pa.array(digest, pa.string()),
-                                   pa.array(spans, pa.string()), pa.array(added)], names=names)
+                                   pa.array(spans, pa.string()), pa.array(added), pa.array(calm)], names=names)
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long")
+    return frame.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long, settled boolean")
 
 
 def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
