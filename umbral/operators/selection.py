@@ -5,48 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from umbral.operators.neighbours import MAX_BINS, bin_of, splitters
 from umbral.session import cut
 
-#: Values of a group that are sorted in one place.
+#: Different values of a group that are ordered in one place.
 GATHER = 50_000
 
 
 def medians(rows: DataFrame, key: str, value: str, name: str = "median", gather: int = GATHER) -> DataFrame:
     """(key, name): the exact median of the values other than NULL of each group, the mean of the middle two where their number is even.
 
-    A group of at most ``gather`` values is sorted as one array. Of a larger one only the place of the
-    middle is looked for: its values are cut at measured splitters into bins of about equal count, the
-    bins are counted where the values lie, and only the bin that holds the middle goes on, until it is
-    small enough or one value; values that repeat have a bin of their own as soon as one is a cut. A round leaves about a thousandth of a group, and no task holds a group.
+    Equal values are counted first, so what follows is as long as the different values of a group. A group of
+    at most ``gather`` of them is ordered in one place. Larger ones are dealt by a range sort of (group, value);
+    the parts' counts tell which part holds the middle, and only that part of a group is ordered. No task holds a group.
     """
     v = rows.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v")).filter("k IS NOT NULL AND v IS NOT NULL")
-    sizes = cut(v.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
-    ranks = F.array_distinct(F.array(F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)))
-    # one row per middle place: its rank among the values from ``lo`` to ``hi``, which are ``n``
-    open_ = sizes.select("k", F.posexplode(ranks).alias("p", "r"), "n", "lo", "hi")
-    found = None
-    while True:
-        one = open_.filter("lo = hi").select("k", "p", F.col("lo").alias("v"))
-        few = open_.filter((F.col("lo") < F.col("hi")) & (F.col("n") <= gather))
-        inside = lambda part: v.join(part, "k").filter((v["v"] >= F.col("lo")) & (v["v"] <= F.col("hi")))
-        picked = (inside(few).groupBy("k", "p", "r").agg(F.sort_array(F.collect_list("v")).alias("s"))
-                  .select("k", "p", F.element_at("s", (F.col("r") + 1).cast("int")).alias("v")))
-        done = one.unionByName(picked)
-        found = cut(done if found is None else found.unionByName(done))
-        open_ = open_.filter((F.col("lo") < F.col("hi")) & (F.col("n") > gather))
-        if open_.limit(1).count() == 0:
-            break
-        held = cut(inside(open_).select(F.struct("k", "p").alias("g"), "v"))
-        large = open_.select(F.struct("k", "p").alias("g"), F.col("n").alias("_rows"), F.lit(MAX_BINS).alias("_bins"))
-        # the largest value is a cut too, so that a round always parts the largest from the smallest
-        cuts = splitters(held, large, "g", F.col("v"), 1).join(open_.select(F.struct("k", "p").alias("g"), "hi"), "g", "right").select(
-            "g", F.array_sort(F.array_union(F.coalesce("_cuts", F.array().cast("array<double>")), F.array("hi"))).alias("_cuts"))
-        binned = held.join(cuts, "g", "left").withColumn("b", bin_of(F.col("v")))
-        counted = binned.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        counted = counted.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        at = open_.select(F.struct("k", "p").alias("g"), "r")
-        open_ = cut(counted.join(at, "g").filter((F.col("r") >= F.col("skip")) & (F.col("r") < F.col("skip") + F.col("n")))
-                    .select("g.k", "g.p", (F.col("r") - F.col("skip")).alias("r"), "n", "lo", "hi"))
+    counts = cut(v.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
+    large = cut(counts.groupBy("k").agg(F.count(F.lit(1)).alias("_d")).filter(F.col("_d") > gather).select("k"))
+    placed = counts.withColumn("_part", F.lit(0))
+    if large.limit(1).count():
+        dealt = cut(counts.join(large, "k", "left_semi").repartitionByRange("k", "v").withColumn("_part", F.spark_partition_id()))
+        placed = placed.join(large, "k", "left_anti").unionByName(dealt)
+    per = Window.partitionBy("k")
+    running = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = (placed.groupBy("k", "_part").agg(F.sum("n").alias("_held"))
+             .select("k", "_part", "_held", F.coalesce(F.sum("_held").over(running(per.orderBy("_part"))), F.lit(0)).alias("_skip"), F.sum("_held").over(per).alias("_n"))
+             .withColumns({"_lo": F.floor((F.col("_n") - 1) / 2), "_hi": F.floor(F.col("_n") / 2)}))
+    middle = parts.filter((F.col("_lo") < F.col("_skip") + F.col("_held")) & (F.col("_hi") >= F.col("_skip"))).select("k", "_part", "_skip", "_lo", "_hi")
+    inside = running(Window.partitionBy("k", "_part").orderBy("v"))
+    at = placed.join(middle, ["k", "_part"]).withColumn("_skip", F.col("_skip") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    found = at.filter((F.col("_lo") < F.col("_skip") + F.col("n")) & (F.col("_hi") >= F.col("_skip")))
     return found.groupBy(F.col("k").alias(key)).agg(F.avg("v").alias(name))
