@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from umbral.checks import require_all_in
 from umbral.functions.stats import hypergeom_sf, step_up
-from umbral.session import cut
+from umbral.session import cut, spread
 from umbral.specs import PairSpec
 
 #: Entities per block side; a task joins at most BLOCK x BLOCK candidate pairs of one record set.
@@ -91,7 +91,8 @@ def cooccurrence(items: DataFrame, lineage_of: DataFrame, spec: PairSpec = PairS
     pairs = cut(pairs.withColumns(key))   # written once: the tests and the report both read it
     triples = pairs.groupBy("k", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n_tests")).withColumn(
         "n_lineages_total", total.scalar())
-    tested = cut(triples.withColumn("p_value", hypergeom_sf(
+    # few rows with a long sum each: size alone would leave them to one task
+    tested = cut(spread(cut(triples)).withColumn("p_value", hypergeom_sf(
         F.col("k"), F.col("n_lineages_total"), F.col("_lo"), F.col("_hi"))))
     graded = step_up(tested).drop("n_tests")
     out = pairs.filter(F.col("k") >= spec.min_lineages_together).join(graded, ["k", "_lo", "_hi"])
