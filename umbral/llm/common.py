@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbral.session import ensure_checkpoint_dir
+from umbral.session import ensure_checkpoint_dir, ship_package  # noqa: F401
 
 #: Text bytes that a Python worker works on at a time; a longer single text makes a slice of its own.
 SLICE_BYTES = 6 << 20
@@ -87,22 +84,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that were started without it on their path."""
-    sc = spark.sparkContext
-    if getattr(sc, "_umbral_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="umbral-"), "umbral-package.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    z.write(os.path.join(folder, name), os.path.join("umbral", os.path.relpath(os.path.join(folder, name), root)))
-    sc.addPyFile(target)
-    sc._umbral_shipped = True
-
-
 def list_array(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
