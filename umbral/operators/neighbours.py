@@ -179,43 +179,60 @@ def window_cover(pairs: DataFrame, ordered: DataFrame, item: str, record: str =
 
 def directons(ordered: DataFrame, max_gap: int, circular: Column, length: Column, record: str = "plasmid_id",
               start: str = "start", end: str = "end", strand: str = "strand",
-              tile_rows: int = TILE_ROWS) -> DataFrame:
+              tile_rows: int = TILE_ROWS, counted: dict[str, Column] | None = None) -> DataFrame:
     """Items with ``unit`` (ordinal of the unit's first item) and ``unit_size``.
 
     A unit continues while the strand repeats and the gap to the *previous* item's end is at
     most ``max_gap``. On a circle the last unit joins the first when the gap across the origin
     fits and they are not the same unit; the joined unit takes the last unit's number. The
     running maximum that names units is taken per tile and carried over by the tiles' own
-    maxima, one row per tile.
+    maxima, one row per tile. ``counted`` (name: condition) adds how many items of the unit meet each condition.
     """
+    counted = counted or {}
     lin = tiles(ordered, 1, F.lit(False), record, tile_rows)
     win = Window.partitionBy(record, "_tile").orderBy("_at")
     gap = F.col(start) - F.lag(end).over(win) - 1
     same = F.coalesce((F.lag(strand).over(win) == F.col(strand)) & (gap <= max_gap), F.lit(False))
     cores = lin.withColumn("_new", ~same).filter("_core").withColumn("_mark", F.when(F.col("_new"), F.col("ord")))
-    carried = cores.groupBy(record, "_tile").agg(F.max("_mark").alias("_m"))
-    prior = Window.partitionBy(record).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    carried = carried.select(record, "_tile", F.max("_m").over(prior).alias("_carry"))
     upto = win.rowsBetween(Window.unboundedPreceding, 0)
-    units = (cores.withColumn("_seen", F.max("_mark").over(upto)).join(carried, [record, "_tile"])
-             .withColumn("unit", F.coalesce("_seen", "_carry")).drop("_tile", "_at", "_core", "_new", "_mark", "_seen", "_carry"))
-    units = cut(units)   # read for the unit sizes and for the result
+    # written once: read for the ends, for the sizes and for the result
+    units = cut(cores.withColumn("_seen", F.max("_mark").over(upto)).drop("_at", "_core", "_new"))
+    if units.filter("_tile > 0").limit(1).count():
+        marks = units.groupBy(record, "_tile").agg(F.max("_mark").alias("_m"))
+        prior = Window.partitionBy(record).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+        carried = marks.select(record, "_tile", F.max("_m").over(prior).alias("_carry")).filter("_tile > 0")
+        units = units.join(carried, [record, "_tile"], "left").withColumn("unit", F.coalesce("_seen", "_carry")).drop("_carry")
+    else:   # the first item of a record opens a unit, so nothing is carried into a first tile
+        units = units.withColumn("unit", F.col("_seen"))
+    units = units.drop("_tile", "_mark", "_seen")
     ends = (units.filter(circular & ((F.col("ord") == 0) | (F.col("ord") == F.col("n_items") - 1)))
             .groupBy(record).agg(F.min_by(F.struct(start, strand), "ord").alias("_f"),
-                                 F.max_by(F.struct(start, end, strand), "ord").alias("_z"),
+                                 F.max_by(F.struct(start, end, strand, F.col("unit").alias("u")), "ord").alias("_z"),
                                  F.max(length).alias("_len")))
     over = F.when(F.col(f"_z.{start}") > F.col(f"_z.{end}"), F.col(f"_f.{start}") - F.col(f"_z.{end}") - 1).otherwise(
         F.col("_len") - F.col(f"_z.{end}") + F.col(f"_f.{start}") - 1)
-    fits = ends.filter((F.col(f"_f.{strand}") == F.col(f"_z.{strand}")) & (over <= max_gap)).select(record)
-    sizes = units.groupBy(record, "unit").agg(F.count(F.lit(1)).alias("_k"))
-    last = sizes.groupBy(record).agg(F.max("unit").alias("_last")).join(fits, record, "left_semi").filter("_last > 0")
+    last = ends.filter((F.col(f"_f.{strand}") == F.col(f"_z.{strand}")) & (over <= max_gap) & (F.col("_z.u") > 0)).select(
+        record, F.col("_z.u").alias("_last"))
+    sums = {"unit_size": F.lit(1), **{n: F.coalesce(c, F.lit(False)).cast("int") for n, c in counted.items()}}
+    sizes = units.groupBy(record, "unit").agg(*[F.sum(c.cast("bigint")).alias(n) for n, c in sums.items()])
     merged = (sizes.join(last, record, "left")
               .withColumn("_final", F.when((F.col("unit") == 0) & F.col("_last").isNotNull(), F.col("_last")).otherwise(F.col("unit"))))
     total = Window.partitionBy(record, "_final")
-    named = merged.select(record, "unit", "_final", F.sum("_k").over(total).alias("unit_size"))
+    named = merged.select(record, "unit", "_final", *[F.sum(n).over(total).alias(n) for n in sums])
     return units.join(named, [record, "unit"]).withColumn("unit", F.col("_final")).drop("_final")
 
 
+def surroundings(items: DataFrame, circular: Column, length: Column, window: int, max_gap: int, fields, counted: dict[str, Column] | None = None,
+                 record: str = "plasmid_id", strand: str = "strand", order=("start", "end")) -> DataFrame:
+    """Items in order with their unit and their flanks: :func:`directons`, then :func:`flanks` whose entries carry ``fields`` and their unit ``u``.
+
+    Units come first and travel on, so neither the units nor what a neighbour's unit is has to be joined to the flanks.
+    """
+    o = ordinals(items, record, order)
+    units = directons(o, max_gap, circular, length, record, strand=strand, counted=counted)
+    return flanks(units, window, circular, [*fields, F.col("unit").alias("u")], record)
+
+
 #: Interval lengths grow by this factor from level to level.
 LEVEL_FACTOR = 8
 
@@ -241,7 +258,7 @@ def interval_overlap_join(items: DataFrame, elements: DataFrame, record: str = "
     place, and how often a segment is copied depends on the number of levels and not on its length. A
     pair of features is emitted by its first overlapping segments only, so no distinct over the result
     is needed. An origin-spanning feature reaches to the record's last coordinate: ``length`` names
-    that column, else it is the largest coordinate seen.
+    that column of the items (and of the elements, if they have it), else it is the largest coordinate seen.
     """
     el = elements.select(*[F.col(c).alias(c if c == record else elements_prefix + c) for c in elements.columns])
     es, ee = elements_prefix + start, elements_prefix + end
@@ -251,7 +268,9 @@ def interval_overlap_join(items: DataFrame, elements: DataFrame, record: str = "
         left, right = items.join(tops, record), el.join(tops, record)
     else:
         left = items.withColumn("_L", F.col(length))
-        right = el.join(items.groupBy(record).agg(F.max(length).alias("_L")), record)
+        own = elements_prefix + length
+        right = (el.withColumn("_L", F.col(own)) if own in el.columns else
+                 el.join(items.groupBy(record).agg(F.max(length).alias("_L")), record))
     widths = level_widths(bin_width)
 
     def placed(df, a, b, tag):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from umbral.functions import fixed as X
+from umbral.operators import context as K
 from umbral.operators import neighbours as N
 from umbral.session import cut
 from umbral.specs import ContextSpec
@@ -40,20 +41,16 @@ def lineage_modal_vote(votes: DataFrame, group: Sequence[str], lineage: str = "l
 
 def occurrences(items: DataFrame, circular: Column, length: Column, spec: ContextSpec, levels: Sequence[str],
                 record: str = "plasmid_id", item: str = "orf_id", cls: str = "functional_class",
-                strand: str = "strand", lineage: str = "lineage", order=("start", "end"), keep=()) -> DataFrame:
+                strand: str = "strand", lineage: str = "lineage", order=("start", "end"), keep=(), around: DataFrame | None = None) -> DataFrame:
     """One row per (item, level): strand-relative neighbour names and the operon flag.
 
     Neighbours are found once; naming them at every cluster level is a projection, because
-    each level's cluster id travels in the neighbour payload.
+    each level's cluster id travels in the neighbour payload. ``around`` is their
+    :func:`umbral.operators.context.surroundings` with the levels as fields, where known.
     """
-    o = cut(N.ordinals(items, record, order))   # read by the flanks and twice by the units
-    fl = N.strand_relative(N.flanks(o, spec.window, circular, [F.col(c) for c in levels], record),
-                           F.col(strand) == -1)
-    un = N.directons(o, spec.max_gap, circular, length, record).select(
-        record, item, "unit", (F.col(cls) == "FUNCTIONAL").cast("int").alias("_f"))
-    tot = un.groupBy(record, "unit").agg(F.sum("_f").alias("_nf"))
-    op = un.join(tot, [record, "unit"]).select(record, item, (F.col("_nf") - F.col("_f") > 0).alias("operon"))
-    base = fl.join(op, [record, item])
+    if around is None:
+        around = K.surroundings(items, circular, length, spec, record, item, cls, order, [F.col(c) for c in levels])
+    base = N.strand_relative(around, F.col(strand) == -1).withColumn("operon", F.col("_nf") - (F.col(cls) == "FUNCTIONAL").cast("int") > 0)
     name = lambda side, c: F.transform(side, lambda x: F.coalesce(x[c].cast("string"), F.lit("")))
     level = F.explode(F.array(*[F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("family_id"),
                                          name("left", c).alias("left"), name("right", c).alias("right"))
@@ -64,64 +61,77 @@ def occurrences(items: DataFrame, circular: Column, length: Column, spec: Contex
 
 def conservation(occ: DataFrame, group: Sequence[str] = ("level", "family_id"), lineage: str = "lineage",
                  min_lineages: int = 2) -> DataFrame:
-    """Left, right, neighbourhood, ordered-pair and operon conservation with their statuses.
-
-    All four votes are one exploded vote table: a single shuffle per aggregation level instead
-    of four passes over the occurrences.
-    """
-    g = list(group)
-    usable = (F.size("left") > 0) | (F.size("right") > 0)
-    head = lambda c: F.coalesce(F.try_element_at(F.col(c), F.lit(1)), F.lit(""))
-    l, r = head("left"), head("right")
-    pair = F.when((l != "") | (r != ""), F.concat_ws("|", l, r)).otherwise("")
-    around = F.array_join(F.sort_array(F.array_distinct(F.filter(F.concat("left", "right"), lambda x: x != ""))), ",")
-    base = cut(occ.select(*g, lineage, "operon", usable.alias("_u"), l.alias("_l"), r.alias("_r"), pair.alias("_p"),
-                          around.alias("_n")))   # four aggregations read it
-    counts = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n_occurrences"), F.count_if("_u").alias("context_recurrence"),
-        F.count_distinct(F.when(F.col("_u"), F.col(lineage))).alias("n_lineages"))
-    use = base.filter("_u")
-    mixed = (use.filter("_p != ''").groupBy(*g, lineage).agg(F.count_distinct("_p").alias("_k"))
-             .groupBy(*g).agg(F.count_if(F.col("_k") > 1).alias("n_lineages_discordant")))
-    operon = (use.groupBy(*g, lineage).agg(F.avg(F.col("operon").cast("int")).alias("_o"))
-              .groupBy(*g).agg(F.round(F.avg("_o"), 4).alias("_operon")))
-    votes = use.select(*g, lineage, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("measure"), F.col(c).alias("value"))
-        for m, c in zip(MEASURES, ("_l", "_r", "_n", "_p"))])))
-    modal = lineage_modal_vote(votes, [*g, "measure"], lineage, "value", min_lineages)
-    pick = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
-    wide = modal.groupBy(*g).agg(
-        *[pick(m, "conservation").alias(f"lineage_{m}_conservation") for m in MEASURES],
-        *[pick(m, "modal").alias(f"modal_{m}") for m in ("left", "right", "synteny")])
-    out = counts.join(mixed, g, "left").join(operon, g, "left").join(wide, g, "left")
-    status = (F.when(F.col("context_recurrence") == 0, X.NO_CONTEXT)
-              .when(F.col("n_lineages") < min_lineages, X.TOO_FEW_LINEAGES).otherwise(X.SUCCESS))
-    gated = lambda c: F.when(status == X.SUCCESS, F.col(c))
-    return out.select(
-        *g, "n_occurrences", "context_recurrence", "n_lineages",
-        F.coalesce("n_lineages_discordant", F.lit(0)).alias("n_lineages_discordant"),
-        *[gated(f"lineage_{m}_conservation").alias(f"lineage_{m}_conservation") for m in MEASURES],
-        gated("_operon").alias("lineage_operon_like_conservation"),
-        *[gated(f"modal_{m}").alias(f"modal_{m}") for m in ("left", "right", "synteny")], status.alias("status"))
+    """Left, right, neighbourhood, ordered-pair and operon conservation with their statuses."""
+    return _measured(occ, group, lineage, min_lineages, {"": F.lit(True)})
 
 
 def scoped_conservation(occ: DataFrame, small: Column, lineage: str = "lineage", min_lineages: int = 2,
                         group: Sequence[str] = ("level", "family_id")) -> DataFrame:
     """:func:`conservation` over all occurrences and, with a ``small_`` prefix, over the small ones.
 
-    The scope is one more grouping column, so both are measured in one pass.
+    A scope is one more count in the same rows, so both are measured in one pass.
+    """
+    return _measured(occ, group, lineage, min_lineages, {"": F.lit(True), "small_": F.coalesce(small, F.lit(False))})
+
+
+def _measured(occ: DataFrame, group: Sequence[str], lineage: str, min_lineages: int, scopes: dict[str, Column]) -> DataFrame:
+    """The measures of :func:`conservation` for every scope (prefix: which occurrences).
+
+    Equal arrangements of a lineage are counted first, so a group or lineage that holds a third of all rows
+    shuffles its arrangements. One row per lineage then holds the divisors of all four votes, and the
+    votes are summed by value. Whether a lineage has two pairs is told by the ends of two 64-bit fingerprints.
     """
     g = list(group)
-    both = occ.withColumn("_scope", F.explode(F.when(small, F.array(F.lit("all"), F.lit("small"))).otherwise(
-        F.array(F.lit("all")))))
-    c = conservation(both, ["_scope", *g], lineage, min_lineages)
-    rest = [x for x in c.columns if x not in ("_scope", *g)]
-    pick = lambda scope, x, a: F.max(F.when(F.col("_scope") == scope, F.col(x))).alias(a)
-    wide = c.groupBy(*g).agg(*[pick("all", x, x) for x in rest], *[pick("small", x, f"small_{x}") for x in rest])
-    zero = {f"small_{x}": F.coalesce(f"small_{x}", F.lit(0)) for x in
-            ("n_occurrences", "context_recurrence", "n_lineages", "n_lineages_discordant")}
-    zero["small_status"] = F.coalesce("small_status", F.lit(X.NO_CONTEXT))
-    return wide.withColumns(zero)
+    head = lambda c: F.coalesce(F.try_element_at(F.col(c), F.lit(1)), F.lit(""))
+    around = F.array_join(F.sort_array(F.array_distinct(F.filter(F.concat("left", "right"), lambda x: x != ""))), ",")
+    told = F.col("operon").cast("int")
+    rows = occ.select(*g, lineage, ((F.size("left") > 0) | (F.size("right") > 0)).alias("_u"), head("left").alias("_l"), head("right").alias("_r"),
+                      around.alias("_n"), told.alias("_o"), *[f.alias(f"_is{s}") for s, f in scopes.items()])
+    per = []
+    for s in scopes:
+        per += [F.count_if(f"_is{s}").alias(f"_k{s}"), F.sum(F.when(F.col(f"_is{s}"), F.col("_o"))).alias(f"_o{s}"),
+                F.count_if(F.col(f"_is{s}") & F.col("_o").isNotNull()).alias(f"_c{s}")]
+    rows = cut(rows.groupBy(*g, lineage, "_u", "_l", "_r", "_n").agg(*per))   # read for the lineages and for the votes
+    l, r = F.col("_l"), F.col("_r")
+    has_pair = (l != "") | (r != "")
+    value = {"left": l, "right": r, "neighborhood": F.col("_n"), "synteny": F.when(has_pair, F.concat_ws("|", l, r)).otherwise("")}
+    has = {"left": l != "", "right": r != "", "neighborhood": F.col("_n") != "", "synteny": has_pair}
+    by_lineage = []
+    for s in scopes:
+        k, u = F.col(f"_k{s}"), F.col("_u")
+        seen = u & has_pair & (k > 0)
+        apart = lambda i: F.min(F.when(seen, F.xxhash64(F.lit(i), l, r))) != F.max(F.when(seen, F.xxhash64(F.lit(i), l, r)))
+        by_lineage += [F.sum(k).alias(f"_all{s}"), F.sum(F.when(u, k).otherwise(0)).alias(f"_used{s}"),
+                       (F.sum(F.when(u, F.col(f"_o{s}"))) / F.nullif(F.sum(F.when(u, F.col(f"_c{s}"))), F.lit(0))).alias(f"_op{s}"),
+                       F.coalesce(apart(1) | apart(2), F.lit(False)).alias(f"_mixed{s}"),
+                       *[F.sum(F.when(u & has[m], k).otherwise(0)).alias(f"_t_{m}{s}") for m in MEASURES]]
+    lineages = cut(rows.groupBy(*g, lineage).agg(*by_lineage))
+    facts = []
+    for s in scopes:
+        facts += [F.sum(f"_all{s}").alias(f"{s}n_occurrences"), F.sum(f"_used{s}").alias(f"{s}context_recurrence"),
+                  F.count_if(F.col(f"_used{s}") > 0).alias(f"{s}n_lineages"), F.count_if(f"_mixed{s}").alias(f"{s}n_lineages_discordant"),
+                  F.round(F.avg(f"_op{s}"), 4).alias(f"_op{s}"), *[F.count_if(F.col(f"_t_{m}{s}") > 0).alias(f"_nv_{m}{s}") for m in MEASURES]]
+    facts = lineages.groupBy(*g).agg(*facts)
+    share = lambda m, s: F.when(F.col(f"_k{s}") > 0, F.col(f"_k{s}") / F.col(f"_t_{m}{s}")).alias(f"_s{s}")
+    votes = (rows.filter("_u").join(lineages.select(*g, lineage, *[f"_t_{m}{s}" for m in MEASURES for s in scopes]), [*g, lineage])
+             .select(*g, F.inline(F.filter(F.array(*[F.when(has[m], F.struct(F.lit(m).alias("measure"), value[m].alias("value"), *[share(m, s) for s in scopes]))
+                                                     for m in MEASURES]), lambda x: x.isNotNull()))))
+    scored = votes.groupBy(*g, "measure", "value").agg(*[F.round(F.sum(f"_s{s}"), 12).alias(f"_s{s}") for s in scopes])
+    rank = lambda s: F.when(F.col(f"_s{s}").isNotNull(), F.struct((-F.col(f"_s{s}")).alias("a"), F.col("value").alias("b")))
+    best = scored.groupBy(*g, "measure").agg(*[F.min_by(F.struct("value", F.col(f"_s{s}").alias("top")), rank(s)).alias(f"_w{s}") for s in scopes])
+    wide = best.groupBy(*g).agg(*[F.max(F.when(F.col("measure") == m, F.col(f"_w{s}"))).alias(f"_w_{m}{s}") for m in MEASURES for s in scopes])
+    out = facts.join(wide, g, "left")
+    cols = []
+    for s in scopes:
+        status = (F.when(F.col(f"{s}context_recurrence") == 0, X.NO_CONTEXT)
+                  .when(F.col(f"{s}n_lineages") < min_lineages, X.TOO_FEW_LINEAGES).otherwise(X.SUCCESS))
+        voted = lambda m, c, status=status, s=s: F.when((status == X.SUCCESS) & (F.col(f"_nv_{m}{s}") >= min_lineages), c)
+        top = lambda m, s=s: F.round(F.col(f"_w_{m}{s}.top") / F.col(f"_nv_{m}{s}"), 4)
+        cols += [f"{s}n_occurrences", f"{s}context_recurrence", f"{s}n_lineages", f"{s}n_lineages_discordant",
+                 *[voted(m, top(m)).alias(f"{s}lineage_{m}_conservation") for m in MEASURES],
+                 F.when(status == X.SUCCESS, F.col(f"_op{s}")).alias(f"{s}lineage_operon_like_conservation"),
+                 *[voted(m, F.col(f"_w_{m}{s}.value")).alias(f"{s}modal_{m}") for m in ("left", "right", "synteny")], status.alias(f"{s}status")]
+    return out.select(*g, *cols)
 
 
 def families_per_cluster(members: DataFrame, cluster: str, family: str) -> DataFrame:

@@ -21,6 +21,17 @@ CONTEXT = ContextSpec(max_gap=43_200, window=3)
 
 
 def occ(t: Tables) -> DataFrame:
+    """The items; the written table where a query has asked for it by :func:`keep_occ`."""
+    kept = t.kept("occ")
+    return _occ(t) if kept is None else kept
+
+
+def keep_occ(t: Tables) -> DataFrame:
+    """The items, written once: for queries that read them many times."""
+    return t.once("occ", lambda: _occ(t))
+
+
+def _occ(t: Tables) -> DataFrame:
     gap = "(ts - TIMESTAMP_NTZ '2024-01-01 00:00:00')"
     sec = (f"extract(DAY FROM {gap}) * 86400 + extract(HOUR FROM {gap}) * 3600 + extract(MINUTE FROM {gap}) * 60"
            f" + floor(extract(SECOND FROM {gap}))")
