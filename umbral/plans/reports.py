@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from umbral.functions import fixed as FIXED
-from umbral.operators import neighbours as N
 from umbral.operators import report as E
 from umbral.plans import distribution as X
 from umbral.plans import ordered as O
 from umbral.plans import texts as W
-from umbral.plans.bindings import OCC, occ
+from umbral.plans.bindings import OCC, keep_occ, occ
 from umbral.plans.catalog import ORACLES, Tables, query
 from umbral.session import cut
 
@@ -93,6 +92,8 @@ def _coding(t: Tables):
 
 
 def family_table(t: Tables):
+    keep_occ(t)
+    O.kept_around(t)   # the contexts and the synteny read it
     fam = cut(X.dark(t).withColumnRenamed("family_size", "n_members").withColumn("structure_searched", F.lit(1)))
     rec = cut(X.recurrence_(t))
     rar = X.rarity_(t, rec)
@@ -100,7 +101,7 @@ def family_table(t: Tables):
     firsts = cut(occ(t).groupBy(F.col("family_id").alias("_f")).agg(F.concat(F.lit("intermediate:"), F.min("seq_id").cast("string")).alias("fid")))
     by_number = lambda df: cut(df.withColumn("_f", F.col("family_id").cast("bigint")).join(firsts, "_f").drop("family_id", "_f").withColumnRenamed("fid", "family_id"))
     by_representative = lambda df: df.withColumn("family_id", F.concat(F.lit("intermediate:"), F.col("family_id").cast("string")))
-    syn = by_number(O.synteny(t).filter("level = 'intermediate'")).withColumn("synteny_min_lineages", F.lit(SYNTENY_MIN_LINEAGES))
+    syn = by_number(O.kept_synteny(t).filter("level = 'intermediate'")).withColumn("synteny_min_lineages", F.lit(SYNTENY_MIN_LINEAGES))
     rates, coding, consensus = (by_representative(x) for x in (W.pairwise_rates(t), _coding(t), W.consensus_label(t)))
     struct = by_representative(t.part.filter("p_type = 'PROMO'").select(
         F.col("p_partkey").alias("family_id"), F.col("p_brand").alias("structural_match"), F.col("p_name").alias("structural_description"), (F.col("p_size") / 1e6).alias("structure_evalue")))
@@ -187,9 +188,8 @@ FROM occ o LEFT JOIN reg USING (plasmid_id) LEFT JOIN iel USING (orf_id) LEFT JO
 def item_report(t: Tables):
     from umbral.operators import labels as L
     from umbral.operators import registry as R
-    o = occ(t).select("orf_id", "plasmid_id", "start", "end", "seq_id", "functional_class")
-    elements = O.islands(t).filter("name = 'is_element'")
-    hit = N.interval_overlap_join(o.select("plasmid_id", "orf_id", "start", "end"), elements, bin_width=50_000)
+    o = keep_occ(t).select("orf_id", "plasmid_id", "start", "end", "seq_id", "functional_class")
+    hit = O.overlaps(t).filter("el_name = 'is_element'")
     iel = hit.select("orf_id", "el_family").distinct().groupBy("orf_id").agg(F.array_join(F.sort_array(F.collect_list("el_family")), ",").alias("is_element"))
     reg = X.registry(t).select("plasmid_id", F.col("species").alias("host_species"), F.col("genus").alias("host_genus"), "predicted_host_range")
     lab = L.labels_by_type(O.entity_labels(t)).select("seq_id", "amr_labels", "ta_labels")
@@ -226,15 +226,16 @@ FROM item JOIN occ USING (orf_id) LEFT JOIN lt ON lt.seq_id = item.seq_id LEFT J
 def item_evidence(t: Tables):
     """The item report with every label type, orthology, conjugation systems, the record's phage call, the close level's synteny and the family's evidence."""
     from umbral.operators import labels as L
+    o = keep_occ(t)
     items = item_report(t).drop("amr_labels", "ta_labels")
-    o = occ(t)
+    O.kept_around(t)
     labels = L.labels_by_type(O.entity_labels(t)).select("seq_id", *[f"{x}_labels" for x in _LABEL_TYPES])
     ortho = t.part.select(F.col("p_partkey").alias("seq_id"), F.col("p_brand").alias("cog_category"), F.col("p_type").alias("kegg_pathways"), F.col("p_name").alias("preferred_name"),
                           F.concat_ws(" ", "p_name", "p_type").alias("eggnog_description"))
     systems = o.filter(F.col("k") % 13 == 0).select("orf_id", F.concat(F.lit("T"), (F.col("k") % 2).cast("string")).alias("conj_system"), F.concat(F.lit("c"), F.col("t").cast("string")).alias("conj_component"))
     u = F.col("plasmid_id")
     phage = o.filter(u % 5 < 4).select("plasmid_id", F.when(u % 5 == 0, "phage_plasmid").otherwise("no").alias("plasmid_phage_plasmid")).distinct()
-    close = O.synteny(t).filter("level = 'close'").select(F.col("family_id").cast("bigint").alias("close_id"), *[F.col(c).alias(n) for c, n in _CLOSE.items()])
+    close = O.kept_synteny(t).filter("level = 'close'").select(F.col("family_id").cast("bigint").alias("close_id"), *[F.col(c).alias(n) for c, n in _CLOSE.items()])
     of_entity = o.select("seq_id", "close_id").distinct().join(close, "close_id").drop("close_id")
     carried = family_table(t).select("family_id", *_CARRIED)
     out = E.item_report(items, [("seq_id", labels), ("seq_id", ortho), ("orf_id", systems), ("plasmid_id", phage), ("seq_id", of_entity)], carried)
