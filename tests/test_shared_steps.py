@@ -9,6 +9,7 @@ from umbral.operators import context as K
 from umbral.operators import neighbours as N
 from umbral.operators import synteny as S
 from umbral.plans import load_catalog
+from umbral.session import spread
 from umbral.specs import ContextSpec
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +62,10 @@ def test_scopes_are_counted_in_one_pass(spark):
     assert (f["lineage_left_conservation"], f["modal_left"], f["lineage_operon_like_conservation"]) == (0.75, "x", 0.5)
     assert (f["small_n_occurrences"], f["small_context_recurrence"], f["small_n_lineages_discordant"], f["small_lineage_left_conservation"], f["small_modal_synteny"]) == (3, 2, 0, 1.0, "x|y")
     assert (g["status"], g["small_status"], g["small_n_occurrences"], g["small_modal_left"]) == ("NO_CONTEXT", "NO_CONTEXT", 0, None)
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    assert max(r["count"] for r in spread(t, 10).groupBy(F.spark_partition_id()).count().collect()) <= 20
+    assert spread(t).select(F.spark_partition_id()).distinct().count() <= spark.sparkContext.defaultParallelism

@@ -16,6 +16,8 @@ from umbral.specs import ContextSpec, Thresholds, TierSpec
 
 #: Length of every record: 30 days in seconds.
 LENGTH = 2_592_000
+#: Rows of a table that one task works on at most.
+TASK_ROWS = 500_000
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 CONTEXT = ContextSpec(max_gap=43_200, window=3)
 
@@ -39,7 +41,7 @@ def _occ(t: Tables) -> DataFrame:
     kind = F.array_position(F.array(*[F.lit(e) for e in EVENT_TYPES]), F.col("event_type")) - 1
     k = F.get_json_object("props", "$.k").cast("bigint")
     stop = F.col("start") + F.floor("value").cast("bigint")
-    return (spread(t.events).select(u.alias("plasmid_id"), F.col("event_id").alias("orf_id"), (F.expr(sec).cast("bigint") + 1).alias("start"),
+    return (spread(t.events, TASK_ROWS).select(u.alias("plasmid_id"), F.col("event_id").alias("orf_id"), (F.expr(sec).cast("bigint") + 1).alias("start"),
                             "value", kind.cast("bigint").alias("t"), k.alias("k"), "event_type")
             .select("plasmid_id", "orf_id", "start",
                     F.when((F.col("plasmid_id") % 2 == 0) & (stop > LENGTH), stop - LENGTH).otherwise(stop).alias("end"),
@@ -114,7 +116,7 @@ def hits(t: Tables) -> DataFrame:
     tier = F.when(F.col("l_returnflag") == "R", "T1").when(F.col("l_returnflag") == "A", "T2").otherwise("T3")
     ev = F.when(F.col("l_tax") == 0.07, "NA").otherwise(F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("e-6")))
     start = F.floor("l_quantity").cast("int")
-    return spread(t.lineitem).join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+    return spread(t.lineitem, TASK_ROWS).join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_partkey").alias("seq_id"), tier.alias("tier"),
         F.when(tier == "T1", "pfam").when(tier == "T2", "swissprot").otherwise("nr").alias("source"),
         label.alias("label"), ev.alias("evalue"), F.when(~spanless, start).alias("start"), F.when(~spanless, start + n * 5).alias("end"),
