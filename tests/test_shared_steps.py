@@ -5,12 +5,15 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from umbral.operators import classify as C
 from umbral.operators import context as K
 from umbral.operators import neighbours as N
 from umbral.operators import synteny as S
 from umbral.plans import load_catalog
-from umbral.session import spread
-from umbral.specs import ContextSpec
+from umbral.plans.bindings import hits
+from umbral.plans.catalog import Tables
+from umbral.session import gather, spread
+from umbral.specs import ContextSpec, TierSpec
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +72,18 @@ def test_spread_bounds_the_rows_of_a_task(spark, tmp_path):
     t = spark.read.parquet(str(tmp_path / "t"))
     assert max(r["count"] for r in spread(t, 10).groupBy(F.spark_partition_id()).count().collect()) <= 20
     assert spread(t).select(F.spark_partition_id()).distinct().count() <= spark.sparkContext.defaultParallelism
+
+
+def test_gather_deals_a_key_to_one_partition_and_a_large_one_to_many(spark):
+    t = spark.range(20000).select(F.when(F.col("id") < 8000, 7).when(F.col("id") < 8100, None).otherwise(F.col("id") % 400 + 10).alias("k"), "id")
+    g = gather(t, "k", 1000).withColumn("p", F.spark_partition_id())
+    parts = {r.k: (r.p, r.n) for r in g.groupBy("k").agg(F.countDistinct("p").alias("p"), F.count(F.lit(1)).alias("n")).collect()}
+    assert sum(n for _, n in parts.values()) == 20000 and parts[7][1] == 8000 and parts[None][1] == 100
+    assert parts[7][0] > 3 and all(p == 1 for k, (p, _) in parts.items() if k not in (7, None))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
+def test_hits_are_shuffled_once_for_the_work_of_an_entity(spark):
+    adm = C.admit_hits(hits(Tables(spark, SF)), (TierSpec("T1", "pfam", None), TierSpec("T2", "swissprot", 5e-6)))
+    for df in (C.summarise_hits(adm), C.ordered_distinct_concat(adm)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

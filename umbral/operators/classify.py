@@ -46,18 +46,19 @@ def summarise_hits(admitted: DataFrame, key: str = "seq_id", tie: Sequence[str]
 
     Winner for the label: informative first, then tier order, then E-value, then ``tie``.
     Winner for the strongest: informative first, then E-value, then tier order, then ``tie``.
+    A winner is the smallest struct that starts with its order: one value is kept per entity and order.
     """
     inf = F.col("informative")
     t = [F.col(c) for c in tie]
-    shown = F.struct("tier", "label", "coverage", "target_coverage", "evalue")
-    by_tier = F.struct((~inf).alias("u"), F.col("tier_idx"), F.col("ev"), *t)
+    also = lambda *shown: [F.col(c) for c in shown if c not in tie]
+    by_tier = F.struct((~inf).alias("u"), F.col("tier_idx"), F.col("ev"), *t, *also("tier", "label", "coverage", "target_coverage", "evalue"))
     by_ev = F.struct((~inf).alias("u"), F.when(inf, F.col("ev")).otherwise(F.col("tier_idx").cast("double")).alias("a"),
-                     F.when(inf, F.col("tier_idx").cast("double")).otherwise(F.col("ev")).alias("b"), *t)
+                     F.when(inf, F.col("tier_idx").cast("double")).otherwise(F.col("ev")).alias("b"), *t, *also("tier", "label"))
     rung = (F.when(F.col("label").rlike(X.RUNG_CURATED), 0)
             .when(F.col("label").rlike(X.RUNG_CONSERVED), 1)
             .when(~(F.coalesce(F.col("label"), F.lit("")) == ""), 2).otherwise(3))
     return admitted.groupBy(key).agg(
-        F.min_by(shown, by_tier).alias("_best"), F.min_by(shown, by_ev).alias("_strong"),
+        F.min(by_tier).alias("_best"), F.min(by_ev).alias("_strong"),
         F.coalesce(F.min(F.when(inf, F.col("tier_idx"))), F.min("tier_idx")).alias("_depth"),
         F.count_if(inf).alias("n_informative_hits"),
         F.count_if(~inf).alias("n_uninformative_hits"),
@@ -71,21 +72,18 @@ def summarise_hits(admitted: DataFrame, key: str = "seq_id", tie: Sequence[str]
 def ordered_distinct_concat(admitted: DataFrame, key: str = "seq_id", order: Sequence[str] = ("tier_idx", "ev", "label")) -> DataFrame:
     """First-seen distinct labels (' | ') and tiers (',') of the informative and the other hits.
 
-    Repeats are removed before anything is collected, so a list is as long as the output.
+    Repeats are removed before anything is collected, so a list is as long as the output (once per tier),
+    and both lists come from one pass over the hits.
     """
-    inf = F.col("informative")
-    first = admitted.groupBy(key, "informative", "label", "tier").agg(
-        F.min(F.struct(*order)).alias("_at"))
-    labels = first.groupBy(key, "informative", "label").agg(F.min("_at").alias("_at"))
-    tiers = first.groupBy(key, "informative", "tier").agg(F.min("_at").alias("_at"))
-
-    def joined(df, what, sep, a, b):
-        lst = lambda cond: F.concat_ws(sep, F.transform(F.sort_array(F.collect_list(
-            F.when(cond, F.struct("_at", what)))), lambda x: x[what]))
-        return df.groupBy(key).agg(lst(inf).alias(a), lst(~inf).alias(b))
-
-    return joined(labels, "label", " | ", "informative_labels", "uninformative_labels").join(
-        joined(tiers, "tier", ",", "informative_tiers", "uninformative_tiers"), key)
+    first = admitted.groupBy(key, "informative", "label", "tier").agg(F.min(F.struct(*order)).alias("_at"))
+
+    def joined(what, sep, informative):
+        rows = F.filter("_seen", lambda x: x["informative"] == F.lit(informative))
+        return F.concat_ws(sep, F.array_distinct(F.transform(F.sort_array(F.transform(rows, lambda x: F.struct(x["_at"], x[what].alias(what)))), lambda x: x[what])))
+
+    return first.groupBy(key).agg(F.collect_list(F.struct("informative", "_at", "label", "tier")).alias("_seen")).select(
+        key, joined("label", " | ", True).alias("informative_labels"), joined("label", " | ", False).alias("uninformative_labels"),
+        joined("tier", ",", True).alias("informative_tiers"), joined("tier", ",", False).alias("uninformative_tiers"))
 
 
 def classify(hits: DataFrame, lengths: DataFrame, tiers: Sequence[TierSpec], thr: Thresholds = Thresholds(),

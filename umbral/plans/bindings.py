@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from umbral.plans.catalog import Tables
-from umbral.session import spread
+from umbral.session import gather, spread
 from umbral.specs import ContextSpec, Thresholds, TierSpec
 
 #: Length of every record: 30 days in seconds.
@@ -116,7 +116,7 @@ def hits(t: Tables) -> DataFrame:
     tier = F.when(F.col("l_returnflag") == "R", "T1").when(F.col("l_returnflag") == "A", "T2").otherwise("T3")
     ev = F.when(F.col("l_tax") == 0.07, "NA").otherwise(F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("e-6")))
     start = F.floor("l_quantity").cast("int")
-    return spread(t.lineitem, TASK_ROWS).join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+    return gather(t.lineitem, "l_partkey", TASK_ROWS // 2).join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_partkey").alias("seq_id"), tier.alias("tier"),
         F.when(tier == "T1", "pfam").when(tier == "T2", "swissprot").otherwise("nr").alias("source"),
         label.alias("label"), ev.alias("evalue"), F.when(~spanless, start).alias("start"), F.when(~spanless, start + n * 5).alias("end"),
