@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from umbral.operators import classify as C
 from umbral.operators import context as K
+from umbral.operators import graph as G
 from umbral.operators import neighbours as N
 from umbral.operators import synteny as S
 from umbral.plans import load_catalog
@@ -87,3 +88,14 @@ def test_hits_are_shuffled_once_for_the_work_of_an_entity(spark):
     adm = C.admit_hits(hits(Tables(spark, SF)), (TierSpec("T1", "pfam", None), TierSpec("T2", "swissprot", 5e-6)))
     for df in (C.summarise_hits(adm), C.ordered_distinct_concat(adm)):
         assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_components_of_a_large_graph_are_dealt_by_node(spark, rows, monkeypatch):
+    ids, dealt = list(range(60)), []
+    edges = [(i, i + 1) for i in range(19)] + [(59, i) for i in range(30, 59)] + [(25, i) for i in range(21, 25)] * 2
+    want = [(i, 0 if i < 20 else 30 if i >= 30 else 21 if 21 <= i <= 25 else i) for i in ids]
+    monkeypatch.setattr(G, "TASK_ROWS", 8)
+    monkeypatch.setattr(G, "gather", lambda df, key, n: (dealt.append(key), gather(df, key, n))[1])
+    got = G.connected_components(spark.createDataFrame([(i,) for i in ids], "id int"), spark.createDataFrame(edges, "a int, b int"))
+    assert rows(got, "id", "component") == want
+    assert set(dealt) == {"u", "id"}

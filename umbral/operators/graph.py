@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from umbral.functions.predicates import is_informative
-from umbral.session import cut
+from umbral.session import cut, gather
 from umbral.sources.sinks import summary_kv
 from umbral.specs import NetworkSpec
 
 
+#: Edges or nodes that one task of a round works on, about; fewer in all are left to adaptive execution.
+TASK_ROWS = 500_000
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", a: str = "a", b: str = "b",
                          component: str = "component", max_rounds: int = 60) -> DataFrame:
     """(node, component): the component id is its smallest member; a node without edges is alone.
@@ -22,13 +26,18 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", a
     the smaller ones; the number of edges never grows and rounds are logarithmic. Each step is
     a min per node (partial aggregation) and a join whose other side is unique per node, so a
     hub is split by adaptive skew handling. Every round is cut into the checkpoint folder.
+    More than ``TASK_ROWS`` edges are dealt by node over as many partitions as they fill before
+    each star, so that what a task holds does not grow with the graph.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     e, mark = cut(e), None
+    big = e.count() > TASK_ROWS
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = gather(both, "u", TASK_ROWS) if big else both
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = (gather(cut(large), "u", TASK_ROWS) if big else large).distinct()
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low2, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
                                               F.col("m").alias("v")).filter("u <> v").distinct())
@@ -40,7 +49,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", a
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     label = e.groupBy("u").agg(F.min("v").alias(component)).withColumnRenamed("u", node)
-    return nodes.select(node).distinct().join(label, node, "left").withColumn(component, F.coalesce(component, node))
+    names = gather(nodes.select(node), node, TASK_ROWS) if big else nodes.select(node)
+    return names.distinct().join(label, node, "left").withColumn(component, F.coalesce(component, node))
 
 
 def extend_components(comp: DataFrame, edges: DataFrame, node: str = "id", a: str = "a", b: str = "b", component: str = "component") -> DataFrame:
