@@ -6,6 +6,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +189,46 @@ def test_join_cases(spark):
     assert jaccard.near_duplicates(docs.filter("false")).count() == 0
 
 
+def shuffled_bytes(spark):
+    """Bytes that the stages of the session have written to shuffles so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_only_texts_to_be_compared_are_shuffled(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.randbytes(30).hex() for _ in range(100)) for _ in range(400)]
+    texts += [texts[7] + " tail", texts[9] + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = shuffled_bytes(spark)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {i: {400: 7, 401: 9}.get(i, i) for i in range(402)}
+    assert shuffled_bytes(spark) - before < sum(map(len, texts))
+
+
+def test_among_is_an_exact_join(spark):
+    docs = spark.range(500).selectExpr("if(id % 50 = 0, null, id % 300) AS doc_id", "cast(id AS string) AS text")
+    ids = spark.range(0, 900, 7).withColumnRenamed("id", "doc_id")
+    want = sorted(map(tuple, docs.join(ids, "doc_id", "left_semi").collect()))
+    for words in (1, 1 << 17):
+        assert sorted(map(tuple, jaccard.among(docs, ids, "doc_id", words).collect())) == want and want
+    assert jaccard.among(docs, ids.filter("false"), "doc_id").count() == 0
+
+
+def test_words_are_hashed_together(monkeypatch):
+    rng = random.Random(4)
+    words = ["ab" * k + c for k in range(40) for c in ("", "x", "y", "\0", "é")] + ["".join(rng.choices("abc", k=rng.randint(1, 30))) for _ in range(3000)]
+    for kind in (pa.string(), pa.large_string()):
+        for part in (pa.array(words, kind), pa.array(["drop", *words, "drop"], kind).slice(1, len(words)), pa.array(words, kind).slice(5, 0)):
+            found = dict(zip(part.to_pylist(), jaccard.word_hashes(part).tolist()))
+            assert len(set(found.values())) == len(found)
+            assert [found[w] for w in part.to_pylist()] == jaccard.word_hashes(part).tolist()
+    monkeypatch.setattr(jaccard, "xxhash", None)        # no call a word, unless it is a long one
+    offsets, h = jaccard.shingle_sets(pa.array(["A b c d e f", "a B c d e", "", "a b", "a b c d e f"]), 5)
+    assert offsets.tolist() == [0, 2, 3, 3, 4, 6] and h[2] in h[:2] and h[:2].tolist() == h[4:].tolist()
+
+
 def test_tree_bounds_never_lose_a_pair():
     rng = np.random.default_rng(1)
     spec = jaccard.JaccardSpec(groups=16, leaf=4)

@@ -35,6 +35,8 @@ from umbral.llm.common import SMALL_SLICE_BYTES, delete_path, doc_frame, give_ba
 from umbral.operators.graph import connected_components
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Which bits the first 0 to 8 bytes of eight are; bytes of a word that is hashed on its own.
+_MASKS, _LONG = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64), 64
 
 
 @dataclass(frozen=True)
@@ -49,36 +51,72 @@ class JaccardSpec:
     star_rounds: int = 4          # at most; none follows a round that finds no link
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A number for each word, equal for equal words: eight bytes of all words at a time; long words one by one."""
+    wide = np.int64 if pa.types.is_large_string(words.type) else np.int32
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, starts, data = words.buffers()
+    edge = np.frombuffer(starts, wide)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    at, left = edge[:-1], np.diff(edge)
+    out = left.astype(np.uint64) * _B
+    long = np.flatnonzero(left > _LONG)
+    row = np.flatnonzero(left <= _LONG) if len(long) else np.arange(len(out))
+    while len(row):
+        some = left[row]
+        h = eight[at[row]] & _MASKS[np.minimum(some, 8)]
+        h ^= out[row]
+        for shift, by in ((32, _A), (29, _B)):
+            h ^= h >> np.uint64(shift)
+            h *= by
+        h ^= h >> np.uint64(32)
+        out[row] = h
+        row = row[some > 8]
+        at, left = at + 8, left - 8
+    for i in long.tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[edge[i]:edge[i + 1]])
+    return out
+
+
 def shingle_sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, hashes): the distinct shingles of every text, ascending as unsigned numbers."""
     offsets, words = split_words(text)
-    coded = words.dictionary_encode()
-    word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in pc.ascii_lower(coded.dictionary).cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
-    code = np.asarray(coded.indices, dtype=np.int64)
-    w = word[code] if len(code) else np.zeros(0, np.uint64)
+    w = word_hashes(pc.ascii_lower(words))
     n = np.diff(offsets)
-    owner = np.repeat(np.arange(len(n)), n)
-    first = np.flatnonzero(np.arange(len(w)) + width <= offsets[1:][owner]) if len(w) else np.zeros(0, np.int64)
-    h = np.full(len(first), width, np.uint64)
+    many = max(len(w) - width + 1, 0)
+    h = np.full(many, width, np.uint64)
     for k in range(width):
-        h = (h ^ w[first + k]) * _A
+        h ^= w[k:k + many]
+        h *= _A
         h ^= h >> np.uint64(32)
-    row = owner[first] if len(w) else np.zeros(0, np.int64)
+    inside = np.ones(many, bool)        # shingles that do not run into the next text
+    for k in range(1, width):
+        last = offsets[1:] - k
+        inside[last[(n >= k) & (last < many)]] = False
+    h = h[inside]
     short = np.flatnonzero((n > 0) & (n < width))
+    edge = np.concatenate([[0], np.cumsum(np.where(n < width, n > 0, n - width + 1))]).astype(np.int64)
     if len(short):
         s = n[short].astype(np.uint64) + np.uint64(1 << 20)
         for k in range(width - 1):
             has = n[short] > k
             s[has] = (s[has] ^ w[offsets[short[has]] + k]) * _A
             s ^= s >> np.uint64(32)
-        h, row = np.concatenate([h, s]), np.concatenate([row, short])
-    order = np.argsort(h, kind="stable")
-    order = order[np.argsort(row[order], kind="stable")]
-    h, row = h[order], row[order]
+        h = np.insert(h, edge[short] - np.arange(len(short)), s)
+    sort_each(edge, h)
     keep = np.ones(len(h), bool)
-    keep[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-    h, row = h[keep], row[keep]
-    return np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(n)))]).astype(np.int64), h
+    keep[1:] = h[1:] != h[:-1]
+    keep[edge[:-1][np.diff(edge) > 0]] = True
+    return np.concatenate([[0], np.cumsum(keep)])[edge].astype(np.int64), h[keep]
+
+
+def sort_each(offsets: np.ndarray, values: np.ndarray) -> None:
+    """Sort, in place, what stands between consecutive ``offsets``."""
+    edge = offsets.tolist()
+    for start, end in zip(edge, edge[1:]):
+        values[start:end].sort()
 
 
 def class_of(offsets: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -165,16 +203,16 @@ def points(frame: DataFrame, spec: JaccardSpec) -> DataFrame:
             if len(known):
                 at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 rank = np.where(known[at] == h, level[at], 0).astype(np.uint64)
-            # one order for all: rare first, then by a mixed hash
-            mixed = (h * _B) ^ ((h * _B) >> np.uint64(33))
-            key = (rank << np.uint64(56)) | (mixed >> np.uint64(8))
-            row = np.repeat(np.arange(len(n)), n)
-            order = np.argsort(key, kind="stable")
-            order = order[np.argsort(row[order], kind="stable")]
+            # one order for all: rare first, then by a mixed hash, which the key keeps
+            key = h * _B
+            key ^= key >> np.uint64(33)
+            key >>= np.uint64(8)
+            key |= rank << np.uint64(56)
+            sort_each(offsets, key)
             keep = n - -(-spec.percent * n // 100) + 1
             keep = np.where(n > 0, keep, 0)
-            first = order[(np.arange(len(h)) - offsets[:-1][row]) < keep[row]] if len(h) else order
-            cell = (mixed[first] >> np.uint64(16)).view(np.int64)
+            first = np.repeat(offsets[1:] - n - (np.cumsum(keep) - keep), keep) + np.arange(keep.sum())
+            cell = ((key[first] & np.uint64((1 << 56) - 1)) >> np.uint64(8)).view(np.int64)
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(class_of(offsets, h)), pack_vectors(count_vectors(offsets, h, spec.groups)),
                                    list_array(np.concatenate([[0], np.cumsum(keep)]), cell, pa.int64())], names=["doc_id", "n", "cls", "vec", "cells"])
         give_back()
@@ -356,6 +394,20 @@ def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
 
 
+def among(frame: DataFrame, ids: DataFrame, key: str, words: int = 1 << 17) -> DataFrame:
+    """The rows of ``frame`` whose ``key`` is in ``ids`` (one row a key): few of many rows, and wide ones.
+
+    Each key sets one bit among 64 * ``words``; this table of at most ``words`` numbers goes to every task, and
+    rows whose bit is not set stay out of the shuffle of the exact join that follows. (Spark would move a
+    semi join below the filter.)
+    """
+    hashed = F.xxhash64(key)
+    word, bit = F.pmod(hashed, F.lit(words)), F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int")
+    bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    may = frame.withColumn("_word", word).join(F.broadcast(bits), "_word").filter(F.getbit("_bits", bit) == 1)
+    return may.join(ids, key).select(*frame.columns)
+
+
 def similar(pairs: DataFrame, frame: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
     """Those (a, b) of ``pairs`` whose sets are similar enough: the exact check, written as a table.
 
@@ -365,7 +417,7 @@ def similar(pairs: DataFrame, frame: DataFrame, info: DataFrame, spec: JaccardSp
     pairs, pairs_path = materialise(pairs)
     named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     ids = info.join(named, "cls", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    source = (frame.filter(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
+    source = (among(frame.filter(F.col("doc_id").isNotNull()), ids, "doc_id")
               .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")))     # a row that repeats counts once
 
     def sets_of(batches):
