@@ -395,44 +395,48 @@ def cell_candidates(rows: DataFrame, spec: JaccardSpec) -> DataFrame:
 
 
 def among(frame: DataFrame, ids: DataFrame, key: str, words: int = 1 << 17) -> DataFrame:
-    """The rows of ``frame`` whose ``key`` is in ``ids`` (one row a key): few of many rows, and wide ones.
+    """The rows of ``frame`` whose ``key`` is in ``ids``, and a few others: nothing of ``frame`` is shuffled.
 
-    Each key sets one bit among 64 * ``words``; this table of at most ``words`` numbers goes to every task, and
-    rows whose bit is not set stay out of the shuffle of the exact join that follows. (Spark would move a
-    semi join below the filter.)
+    Each key sets one bit among 64 * ``words``, and this table of at most ``words`` numbers goes to every task.
     """
     hashed = F.xxhash64(key)
     word, bit = F.pmod(hashed, F.lit(words)), F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int")
     bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
-    may = frame.withColumn("_word", word).join(F.broadcast(bits), "_word").filter(F.getbit("_bits", bit) == 1)
-    return may.join(ids, key).select(*frame.columns)
+    return frame.withColumn("_word", word).join(F.broadcast(bits), "_word").filter(F.getbit("_bits", bit) == 1).select(*frame.columns)
 
 
 def similar(pairs: DataFrame, frame: DataFrame, info: DataFrame, spec: JaccardSpec) -> DataFrame:
     """Those (a, b) of ``pairs`` whose sets are similar enough: the exact check, written as a table.
 
-    The sets of the classes that the pairs name are made from the texts of their representatives.
+    The texts of the representatives of the classes that the pairs name are brought together, as they are
+    shorter than their sets; which class a text has is seen from the text, so other texts do no harm.
     """
     spark = frame.sparkSession
     pairs, pairs_path = materialise(pairs)
     named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = info.join(named, "cls", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    source = (among(frame.filter(F.col("doc_id").isNotNull()), ids, "doc_id")
-              .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")))     # a row that repeats counts once
+    ids = info.join(named, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
 
-    def sets_of(batches):
+    def class_and_text(batches):
         for batch in slices(batches, limit=SMALL_SLICE_BYTES):
-            offsets, h = shingle_sets(batch.column("text"), spec.width)
-            yield pa.record_batch([pa.array(class_of(offsets, h)), list_array(offsets, h.view(np.int64), pa.int64())], names=["cls", "h"])
+            yield pa.record_batch([pa.array(class_of(*shingle_sets(batch.column("text"), spec.width))), batch.column("text")], names=["cls", "text"])
+        give_back()
+
+    def linked(batches):
+        for batch in slices(batches, column="ta", limit=SMALL_SLICE_BYTES):
+            cls = np.concatenate([np.asarray(batch.column(c), np.int64) for c in ("a", "b")])
+            _, one, at = np.unique(cls, return_index=True, return_inverse=True)     # a class's set is made once
+            offsets, h = shingle_sets(pa.concat_arrays([batch.column("ta"), batch.column("tb")]).take(pa.array(one)), spec.width)
+            n, i, j = np.diff(offsets), at[:len(batch)], at[len(batch):]
+            shared = np.fromiter((len(np.intersect1d(h[offsets[x]:offsets[x + 1]], h[offsets[y]:offsets[y + 1]], assume_unique=True)) for x, y in zip(i.tolist(), j.tolist())), np.int64, len(i))
+            yield batch.select(["a", "b"]).filter(pa.array((100 + spec.percent) * shared >= spec.percent * (n[i] + n[j])))
         give_back()
 
-    sets, sets_path = materialise(source.mapInArrow(sets_of, "cls long, h array<long>"))
-    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("h").alias("_ha")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("h").alias("_hb")), "b"))
-    shared = F.size(F.array_intersect("_ha", "_hb"))
-    found, _ = materialise(both.filter((100 + spec.percent) * shared >= spec.percent * (F.size("_ha") + F.size("_hb"))).select("a", "b"))
+    texts, texts_path = materialise(among(frame.filter(F.col("doc_id").isNotNull()), ids, "doc_id").select("text").mapInArrow(class_and_text, "cls long, text string"))
+    texts = texts.groupBy("cls").agg(F.first("text").alias("text"))
+    side = lambda c: texts.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}"))
+    found, _ = materialise(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long"))
     delete_path(spark, pairs_path)
-    delete_path(spark, sets_path)
+    delete_path(spark, texts_path)
     return found
 
 
