@@ -201,8 +201,12 @@ def test_only_texts_to_be_compared_are_shuffled(spark):
     texts = [" ".join(rng.randbytes(30).hex() for _ in range(100)) for _ in range(400)]
     texts += [texts[7] + " tail", texts[9] + " end"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    before = shuffled_bytes(spark)
-    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    before, key = shuffled_bytes(spark), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")           # as if the ids of the texts were many
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    finally:
+        spark.conf.unset(key)
     assert got == {i: {400: 7, 401: 9}.get(i, i) for i in range(402)}
     assert shuffled_bytes(spark) - before < sum(map(len, texts))
 
